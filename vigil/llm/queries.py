@@ -6,8 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import table
+from .common import fresh_path, table
 from .exact_dedup import exact_groups
+from .packing import pack
+from .token_counts import token_counts
+
+
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,6 +23,15 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"), tokenizer_path(), capacity=1024, end_id=2)
+
+
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # A cache of its own for each call: the query counts every text, whatever ran before.
+    return token_counts(table(spark, sf_dir, "documents"), tokenizer_path(), cache=fresh_path(spark, "token-cache"), limit=512)
+
+
 ORACLE: dict[str, str] = {
     "op1_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
@@ -25,7 +42,7 @@ ORACLE: dict[str, str] = {
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_exact_dedup,)}
+    return {f.__name__: f for f in (op1_exact_dedup, op3_best_fit_packing, op4_token_counts)}
 
 
 def oracle_sql() -> dict[str, str]:

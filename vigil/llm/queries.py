@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import fresh_path, table
 from .exact_dedup import exact_groups
 from .packing import pack
+from .quality_rules import judge
 from .token_counts import token_counts
 
 
@@ -32,6 +33,11 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), tokenizer_path(), cache=fresh_path(spark, "token-cache"), limit=512)
 
 
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), risk=0.05, delta=0.05)
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 ORACLE: dict[str, str] = {
     "op1_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
@@ -41,8 +47,57 @@ ORACLE: dict[str, str] = {
 }
 
 
+def _op7_sql(risk: float = 0.05, delta: float = 0.05) -> str:
+    from .quality_rules import RULES
+
+    each = risk / len(RULES)
+    rungs = " UNION ALL ".join(
+        f"SELECT doc_id, stratum, '{rule}' AS rule, CASE {' '.join(f'WHEN 1000 * {num} > {c} * {den} THEN {k}' for k, c in enumerate(cutoffs))} ELSE {len(cutoffs)} END AS rung FROM measured WHERE NOT base_failed"
+        for rule, (num, den, cutoffs) in RULES.items()
+    )
+    ladder = ", ".join(f"('{rule}', {k})" for rule, (_, _, cutoffs) in RULES.items() for k in range(len(cutoffs)))
+    return f"""
+        WITH d AS (SELECT doc_id, coalesce(lang, '') || '/' || (lang IS NULL) AS stratum, coalesce(text, '') AS t FROM documents),
+        w AS (SELECT *, list_filter(regexp_split_to_array(t, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS words,
+                     list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines FROM d),
+        windows AS (SELECT doc_id, i, array_to_string(list_slice(words, i, i + 7), ' ') AS win
+                    FROM (SELECT doc_id, words, unnest(range(1, len(words) - 6)) AS i FROM w WHERE len(words) > 8)),
+        again AS (SELECT doc_id, i FROM windows QUALIFY count(*) OVER (PARTITION BY doc_id, win) > 1),
+        covered AS (SELECT doc_id, count(DISTINCT i + j) AS n FROM again, range(8) AS r(j) GROUP BY doc_id),
+        measured AS (
+            SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM (
+                SELECT w.doc_id, stratum, len(words) AS n_words, len(array_to_string(words, '')) AS word_chars,
+                       len(t) - len(translate(t, '#*$%&|<>', '')) AS n_symbols, len(lines) AS n_lines, len(lines) - len(list_distinct(lines)) AS n_dup_lines,
+                       len(t) - len(translate(t, '!', '')) AS n_exclamations, len(t) - len(regexp_replace(t, '\\p{{Lu}}', '', 'g')) AS n_upper,
+                       coalesce(covered.n, 0) AS n_repeat_words
+                FROM w LEFT JOIN covered USING (doc_id))),
+        rungs AS ({rungs}),
+        agreed AS (SELECT doc_id, min(quality) AS good FROM labels WHERE quality IS NOT NULL GROUP BY doc_id HAVING min(quality) = max(quality)),
+        held AS (SELECT stratum, rule, rung, good FROM rungs JOIN agreed USING (doc_id)),
+        totals AS (SELECT stratum, rule, count(*) FILTER (good = 1) AS n_good, count(*) FILTER (good <> 1) AS n_bad FROM held GROUP BY ALL),
+        steps AS (
+            SELECT stratum, t.rule, l.rung, n_good, n_bad,
+                   (SELECT count(*) FROM held h WHERE h.stratum = t.stratum AND h.rule = t.rule AND h.rung <= l.rung AND good = 1) AS k,
+                   (SELECT count(*) FROM held h WHERE h.stratum = t.stratum AND h.rule = t.rule AND h.rung <= l.rung AND good <> 1) AS bad
+            FROM totals t JOIN (VALUES {ladder}) AS l(rule, rung) ON l.rule = t.rule),
+        tested AS (
+            SELECT *, CASE WHEN k >= n_good * {each!r} THEN 1 ELSE list_sum(list_transform(range(0, k + 1), lambda i:
+                       exp(lgamma(n_good + 1) - lgamma(i + 1) - lgamma(n_good - i + 1) + i * ln({each!r}) + (n_good - i) * ln(1 - {each!r})))) END
+                   <= {delta!r} / ((SELECT count(DISTINCT stratum) FROM totals) * {len(RULES)}) AND n_good > 0 AS ok FROM steps),
+        valid AS (SELECT *, bool_and(ok) OVER (PARTITION BY stratum, rule ORDER BY rung) AS good_so_far FROM tested),
+        chosen AS (SELECT stratum, rule, rung AS cut FROM valid WHERE good_so_far AND bad > 0
+                   QUALIFY row_number() OVER (PARTITION BY stratum, rule ORDER BY bad * n_good - k * n_bad DESC, rung) = 1),
+        rejected AS (SELECT DISTINCT doc_id FROM rungs JOIN chosen USING (stratum, rule) WHERE rung <= cut)
+        SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+               NOT base_failed AND doc_id NOT IN (SELECT doc_id FROM rejected) AS kept FROM measured
+    """
+
+
+ORACLE["op7_quality_rules"] = _op7_sql()
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_exact_dedup, op3_best_fit_packing, op4_token_counts)}
+    return {f.__name__: f for f in (op1_exact_dedup, op3_best_fit_packing, op4_token_counts, op7_quality_rules)}
 
 
 def oracle_sql() -> dict[str, str]:

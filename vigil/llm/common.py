@@ -74,16 +74,16 @@ def spread(*cols: Column | str) -> Column:
     return F.xxhash64(F.lit(7919), *[F.col(c) if isinstance(c, str) else c for c in cols])
 
 
-def rank_within(df: DataFrame, key: list[str], order: list[str], rows_per_bucket: int = 100_000, out: str = "rank") -> DataFrame:
+def rank_within(df: DataFrame, key: list[str], order: list[str], rows_per_bucket: int = 50_000, out: str = "rank") -> DataFrame:
     """df with a rank from 0 within key, gapless, and `<out>_of`, the key's number of rows.
 
     Rows of a key are dealt over buckets by a hash of `order`, numbered within each, and shifted by the counts of the
     buckets before; so a key with a third of all rows still spreads over many tasks. The order within a key is by
     (bucket, order): fixed for given rows, and mixed. df should be a written table: it is read twice.
     """
-    largest = df.groupBy(*key).count().agg(F.max("count")).first()[0] or 0
-    n = 1
-    while n * rows_per_bucket < largest:
+    largest, total = df.groupBy(*key).count().agg(F.coalesce(F.max("count"), F.lit(0)), F.coalesce(F.sum("count"), F.lit(0))).first()
+    n, bucket = 1, max(200, min(rows_per_bucket, total // 400))
+    while n * bucket < largest:
         n *= 2
     dealt = df.withColumn("__bucket", F.pmod(spread(*order), F.lit(n)).cast("int"))
     counts = dealt.groupBy(*key, "__bucket").agg(F.count(F.lit(1)).alias("__n"))

@@ -11,6 +11,7 @@ from .exact_dedup import exact_groups
 from .packing import pack
 from .quality_rules import judge
 from .token_counts import token_counts
+from .toxicity import toxicity
 
 
 def tokenizer_path() -> str:
@@ -38,6 +39,10 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), threshold=0.7)
+
+
 ORACLE: dict[str, str] = {
     "op1_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
@@ -97,7 +102,7 @@ ORACLE["op7_quality_rules"] = _op7_sql()
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_exact_dedup, op3_best_fit_packing, op4_token_counts, op7_quality_rules)}
+    return {f.__name__: f for f in (op1_exact_dedup, op3_best_fit_packing, op4_token_counts, op7_quality_rules, op8_toxicity)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .common import fresh_path, table
 from .exact_dedup import exact_groups
+from .mixing import mix
 from .packing import pack
 from .quality_rules import judge
 from .token_counts import token_counts
@@ -43,6 +44,14 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), threshold=0.7)
 
 
+#: Target weights of the standard tables' sources: the first source gets three parts, every other source one.
+MIX_WEIGHTS = {"src0": 3.0}
+
+
+def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(table(spark, sf_dir, "documents"), MIX_WEIGHTS, other=1.0)
+
+
 ORACLE: dict[str, str] = {
     "op1_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
@@ -102,7 +111,7 @@ ORACLE["op7_quality_rules"] = _op7_sql()
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_exact_dedup, op3_best_fit_packing, op4_token_counts, op7_quality_rules, op8_toxicity)}
+    return {f.__name__: f for f in (op1_exact_dedup, op3_best_fit_packing, op4_token_counts, op7_quality_rules, op8_toxicity, op10_mix_sources)}
 
 
 def oracle_sql() -> dict[str, str]:

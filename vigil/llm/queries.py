@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import fresh_path, table
 from .exact_dedup import exact_groups
 from .mixing import mix
+from .ngram_join import ngram_join
 from .packing import pack
 from .quality_rules import judge
 from .token_counts import token_counts
@@ -44,6 +45,11 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), threshold=0.7)
 
 
+def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = ngram_join(table(spark, sf_dir, "documents"), words=5, threshold=0.8, tolerance=1e-4)
+    return out.select("doc_id", "cluster_id", "n_links", "copies")
+
+
 #: Target weights of the standard tables' sources: the first source gets three parts, every other source one.
 MIX_WEIGHTS = {"src0": 3.0}
 
@@ -111,7 +117,7 @@ ORACLE["op7_quality_rules"] = _op7_sql()
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_exact_dedup, op3_best_fit_packing, op4_token_counts, op7_quality_rules, op8_toxicity, op10_mix_sources)}
+    return {f.__name__: f for f in (op1_exact_dedup, op3_best_fit_packing, op4_token_counts, op7_quality_rules, op8_toxicity, op9_ngram_jaccard_join, op10_mix_sources)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -56,9 +56,13 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return out.select("doc_id", "keep_id", F.col("group_size").cast("long").alias("group_size"), kept.alias("kept"), "text_sha256", "text_hash")
 
 
-def drop_exact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "min") -> DataFrame:
-    """docs without the rows whose text another row, which stays, has too; columns unchanged."""
-    gone = exact_groups(docs, id_col, text_col, keep).where("not kept").select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"))
-    gone = written(gone.distinct(), "exact-gone")
+def without(docs: DataFrame, gone: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """docs without the rows of gone (doc_id, text_hash), columns unchanged; broadcasts gone only if it is small."""
+    gone = written(gone.select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")).distinct(), "gone")
     text_hash = content_hash(F.coalesce(F.col(text_col), F.lit("")).cast("string"))
     return docs.join(checked(gone), F.col(id_col).eqNullSafe(F.col("__id")) & (text_hash == F.col("__hash")), "left_anti")
+
+
+def drop_exact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "min") -> DataFrame:
+    """docs without the rows whose text another row, which stays, has too; columns unchanged."""
+    return without(docs, exact_groups(docs, id_col, text_col, keep).where("not kept"), id_col, text_col)

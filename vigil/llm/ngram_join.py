@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import BROADCAST_ROWS, attach_groups, checked, connected, ship, written
-from .exact_dedup import content_hash
+from .exact_dedup import content_hash, without
 from .words import chunks, constants, shingles, word_hashes
 
 BANDS, ROWS = 24, 5
@@ -217,3 +217,10 @@ def ngram_join(docs: DataFrame, words: int = 5, threshold: float = 0.8, toleranc
     )
     out = attach_groups(rows, written(full, "join-full"), "node", "copies", n_rows)
     return out.select("doc_id", "cluster_id", "n_links", "copies", F.col("node").alias("text_hash"))
+
+
+def drop_near(docs: DataFrame, words: int = 5, threshold: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """docs with one document of each group of linked ones, that with the least id; columns unchanged. Rows without an
+    id can't be told apart: they go if their group has an id, and all stay if it has none."""
+    found = ngram_join(docs, words, threshold, id_col=id_col, text_col=text_col)
+    return without(docs, found.where(~F.col("doc_id").eqNullSafe(F.col("cluster_id"))), id_col, text_col)

@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import checked, written
+from .exact_dedup import content_hash, without
 
 # Fixed values of the base.
 SPACE = r"[\x20\x09-\x0D]+"
@@ -45,12 +46,13 @@ def measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", st
     """doc_id, stratum and the counts of each row's whole text."""
     text = F.coalesce(F.col(text_col), F.lit("")).cast("string")
     x = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(stratum_col).cast("string"), F.lit("")).alias("stratum"), F.col(stratum_col).isNull().alias("no_stratum"), text.alias("t"))
+    x = x.withColumn("text_hash", content_hash(F.col("t")))
     x = x.withColumn("words", F.filter(F.split("t", SPACE), lambda w: w != ""))
     x = x.withColumn("n_words", F.size("words").cast("long"))
     x = x.withColumn("lines", F.filter(F.split("t", "\n"), lambda line: line.rlike(NOT_SPACE)))
     x = x.withColumn("hashes", F.transform("words", lambda w: F.xxhash64(w)))
     x = x.select(
-        "doc_id", "stratum", "no_stratum", "n_words",
+        "doc_id", "stratum", "no_stratum", "text_hash", "n_words",
         F.length(F.array_join("words", "")).cast("long").alias("word_chars"),
         _n(F.col("t"), SYMBOLS).cast("long").alias("n_symbols"),
         F.size("lines").cast("long").alias("n_lines"),
@@ -134,3 +136,8 @@ def judge(
     failed = F.filter(F.array(*[F.when(_rung(rule) <= F.col("rungs")[rule], F.lit(rule)) for rule in RULES]), lambda r: r.isNotNull())
     x = x.withColumn("base_failed", base_failed()).withColumn("failed_rules", failed)
     return x.withColumn("kept", ~F.col("base_failed") & (F.size("failed_rules") == 0)).drop("rungs")
+
+
+def drop_rejected(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
+    """docs that the rules keep; columns unchanged. Of rows with equal id and text in several strata, one verdict against is enough."""
+    return without(docs, judge(docs, labels, id_col=id_col, text_col=text_col, **how).where("not kept"), id_col, text_col)

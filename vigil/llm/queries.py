@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .common import fresh_path, table
 from .exact_dedup import exact_groups
@@ -12,6 +13,7 @@ from .mixing import mix
 from .ngram_join import ngram_join
 from .packing import pack
 from .quality_rules import judge
+from .sharding import ShardStore, ingest, placed
 from .token_counts import token_counts
 from .toxicity import toxicity
 
@@ -36,6 +38,23 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), tokenizer_path(), cache=fresh_path(spark, "token-cache"), limit=512)
 
 
+#: The documents' files arrive in this many appends at most.
+ARRIVALS = 16
+
+
+def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    files = sorted(docs.inputFiles())
+    per = -(-len(files) // ARRIVALS)
+    arrivals = [spark.read.schema(docs.schema).parquet(*files[i : i + per]) for i in range(0, len(files), per)]
+    store = ingest(ShardStore(spark, fresh_path(spark, "shards"), target_bytes=128 << 20, fan=4), arrivals)
+    text = F.coalesce("text", F.lit(""))
+    return placed(store).select(
+        "doc_id", F.col("__run").alias("run"), F.col("__shard").alias("shard"), F.col("__bytes").alias("shard_bytes"),
+        F.octet_length(text).cast("long").alias("n_bytes"), F.sha2(text, 256).alias("text_sha256"),
+    )
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), risk=0.05, delta=0.05)
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -117,7 +136,7 @@ ORACLE["op7_quality_rules"] = _op7_sql()
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_exact_dedup, op3_best_fit_packing, op4_token_counts, op7_quality_rules, op8_toxicity, op9_ngram_jaccard_join, op10_mix_sources)}
+    return {f.__name__: f for f in (op1_exact_dedup, op3_best_fit_packing, op4_token_counts, op6_sharding, op7_quality_rules, op8_toxicity, op9_ngram_jaccard_join, op10_mix_sources)}
 
 
 def oracle_sql() -> dict[str, str]:

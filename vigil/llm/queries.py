@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import lm_scoring
 from .common import fresh_path, table
 from .exact_dedup import exact_groups
 from .mixing import mix
@@ -38,6 +39,10 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), tokenizer_path(), cache=fresh_path(spark, "token-cache"), limit=512)
 
 
+def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.score(table(spark, sf_dir, "documents"))
+
+
 #: The documents' files arrive in this many appends at most.
 ARRIVALS = 16
 
@@ -136,7 +141,7 @@ ORACLE["op7_quality_rules"] = _op7_sql()
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_exact_dedup, op3_best_fit_packing, op4_token_counts, op6_sharding, op7_quality_rules, op8_toxicity, op9_ngram_jaccard_join, op10_mix_sources)}
+    return {f.__name__: f for f in (op1_exact_dedup, op3_best_fit_packing, op4_token_counts, op5_lm_scoring, op6_sharding, op7_quality_rules, op8_toxicity, op9_ngram_jaccard_join, op10_mix_sources)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -15,6 +15,7 @@ from .ngram_join import ngram_join
 from .packing import pack
 from .quality_rules import judge
 from .sharding import ShardStore, ingest, placed
+from .substring_dedup import repeated_passages
 from .token_counts import token_counts
 from .toxicity import toxicity
 
@@ -30,6 +31,10 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_passages(table(spark, sf_dir, "documents"), min_words=50, identity=0.8)
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), tokenizer_path(), capacity=1024, end_id=2)
 
@@ -141,7 +146,7 @@ ORACLE["op7_quality_rules"] = _op7_sql()
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_exact_dedup, op3_best_fit_packing, op4_token_counts, op5_lm_scoring, op6_sharding, op7_quality_rules, op8_toxicity, op9_ngram_jaccard_join, op10_mix_sources)}
+    return {f.__name__: f for f in (op1_exact_dedup, op2_substring_dedup, op3_best_fit_packing, op4_token_counts, op5_lm_scoring, op6_sharding, op7_quality_rules, op8_toxicity, op9_ngram_jaccard_join, op10_mix_sources)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -1,0 +1,53 @@
+import os
+import random
+import sys
+
+import pytest
+
+sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+from helpers import SCHEMA, sentence  # noqa: E402
+
+
+@pytest.fixture(scope="session")
+def edge_rows():
+    """Nulls in any column, empty and long texts, ties and repeated rows."""
+    rng = random.Random(5)
+    long = "\n".join(sentence(rng, 40) + "." for _ in range(120))
+    return [
+        (1, None, None, None, None), (2, "", "en", "a", 0), (3, "", "en", "a", 0), (None, "no id here", None, "b", 10), (None, "no id here", "fr", None, 10),
+        (4, long, "en", "a", len(long)), (5, long, "en", "b", len(long)), (6, "twice the same", "de", "b", 14), (6, "twice the same", "de", "b", 14),
+        (6, "another text of this id", "de", "b", 23), (7, " \t\n ", "es", "c", 4), (8, "!!! ??? ***", "es", "c", 11), (9, "Ñandú Łódź ß 漢字 <|endoftext|>", "es", "c", 20), (10, "one", "en", "a", 3),
+    ]
+
+
+@pytest.fixture
+def edges(spark, edge_rows):
+    return spark.createDataFrame(edge_rows, SCHEMA)
+
+
+@pytest.fixture
+def nothing(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+@pytest.fixture
+def clashing(spark, edge_rows):
+    """The same rows with columns named like the operators' own."""
+    from pyspark.sql import functions as F
+
+    df = spark.createDataFrame(edge_rows, SCHEMA)
+    for c in ("text_hash", "node", "rank", "kept", "row", "position", "block", "digest", "key", "length", "words", "score", "__id", "group_size", "n_words", "t", "a", "b"):
+        df = df.withColumn(c, F.lit("x"))
+    return df
+
+
+@pytest.fixture(scope="session")
+def tokenizer():
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+@pytest.fixture
+def labels(spark):
+    return spark.createDataFrame([(i, 1, 0) for i in range(8)] + [(2, 0, 1), (9, None, None), (None, 1, 1)], "doc_id long, quality int, toxic int")

@@ -1,0 +1,51 @@
+import random
+
+import pytest
+from helpers import SCHEMA, edited, rows_of, sentence
+from test_dedup import brute_near
+from test_tokens import check_packing
+
+import corpus_pipeline
+from vigil.llm.quality_rules import judge
+
+
+@pytest.fixture
+def sf_dir(spark, tmp_path):
+    rng = random.Random(12)
+    texts = []
+    for i in range(60):
+        base = sentence(rng, rng.randint(30, 120))
+        texts += [base] + [base] * (i % 3 == 0) + [edited(rng, base, 0.01)] * (i % 5 == 0) + [sentence(rng, 5)] * (i % 7 == 0)
+    rows = [(i, t, rng.choice(["en", "de"]), f"src{i % 4}", len(t)) for i, t in enumerate(texts)] + [(500, None, "en", None, None)]
+    spark.createDataFrame(rows, SCHEMA).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(i, 1, 0) for i in range(0, 100, 2)], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    return str(tmp_path)
+
+
+def test_pipeline_against_brute_force(spark, sf_dir, tokenizer):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    rows = [tuple(r) for r in docs.collect()]
+    kept = {r.doc_id for r in judge(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")).collect() if r.kept}
+    rows = [r for r in rows if r[0] in kept]
+    last = {r[1]: max(x[0] for x in rows if x[1] == r[1]) for r in rows}
+    rows = [r for r in rows if last[r[1]] == r[0]]
+    named = {r[0]: r[1] for r in brute_near(rows)}
+    rows = [r for r in rows if named[r[0]] == r[0]]
+    assert 40 < len(rows) < 70
+    n, least = check_packing(rows, corpus_pipeline.run(spark, sf_dir).collect(), tokenizer, 1024)
+    assert n <= least + 1
+
+
+def test_stages_keep_the_columns(spark, sf_dir, edges, nothing):
+    for df in (edges, nothing):
+        for _, stage in corpus_pipeline.STAGES[:-1]:
+            assert stage(spark, df, sf_dir).columns == df.columns
+    assert [name for name, _ in corpus_pipeline.STAGES] == ["quality rules", "exact dedup", "n-gram Jaccard join", "mixing sources", "best-fit packing"]
+
+
+def test_queries_register(spark):
+    import __spark_entry__
+
+    names = [q for q in __spark_entry__.queries() if q.startswith("op")]
+    assert [int(q[2:].split("_")[0]) for q in names] == list(range(1, 11)) and "pipeline" in __spark_entry__.queries()
+    assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())

@@ -58,9 +58,9 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def without(docs: DataFrame, gone: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs without the rows of gone (doc_id, text_hash), columns unchanged; broadcasts gone only if it is small."""
-    gone = written(gone.select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")).distinct(), "gone")
-    text_hash = content_hash(F.coalesce(F.col(text_col), F.lit("")).cast("string"))
-    return docs.join(checked(gone), F.col(id_col).eqNullSafe(F.col("__id")) & (text_hash == F.col("__hash")), "left_anti")
+    gone = checked(written(gone.select("doc_id", "text_hash").distinct(), "gone")).alias("g")
+    text_hash = content_hash(F.coalesce(F.col(f"d.{text_col}"), F.lit("")).cast("string"))
+    return docs.alias("d").join(gone, F.col(f"d.{id_col}").eqNullSafe(F.col("g.doc_id")) & (text_hash == F.col("g.text_hash")), "left_anti")
 
 
 def drop_exact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "min") -> DataFrame:

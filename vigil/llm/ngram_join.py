@@ -179,7 +179,7 @@ def ngram_join(docs: DataFrame, words: int = 5, threshold: float = 0.8, toleranc
     n_rows, n_classes = rows.count(), classes.count()
     # One row of each class is sketched. Copies may be sketched again if they are many: the sketches are the same.
     if n_rows - n_classes <= BROADCAST_ROWS:
-        again = rows.join(classes.where("copies > 1"), "node").where(~F.col("doc_id").eqNullSafe(F.col("first_id"))).select("node", "doc_id").distinct()
+        again = attach_groups(rows, classes.where("copies > 1"), "node", "copies", n_rows).where(~F.col("doc_id").eqNullSafe(F.col("first_id"))).select("node", "doc_id").distinct()
         same = F.col("s.node").eqNullSafe(F.col("g.node")) & F.col("s.doc_id").eqNullSafe(F.col("g.doc_id"))
         first = source.alias("s").join(F.broadcast(again.alias("g")), same, "left_anti")
     else:

@@ -69,7 +69,7 @@ def token_counts(
             few = F.broadcast(misses) if n_misses <= BROADCAST_ROWS else misses
             todo = source.alias("s").join(few.alias("m"), same, "left_semi")
         counted = todo.select("digest", F.col("text")).mapInArrow(_count(tokenizer), "digest binary, n_tokens long")
-        counted.write.mode("append").parquet(folder)
+        counted.dropDuplicates(["digest"]).write.mode("append").parquet(folder)  # repeated rows give a digest twice
     known = sizes.join(_cached(spark, folder), "digest").select("digest", "n", "n_tokens")
     out = attach_groups(rows, known, "digest", "n", n_rows)
     return out.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))

@@ -5,6 +5,7 @@ The portfolio is all of documents (names are the first words of a text), the lis
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 from collections.abc import Callable
 
@@ -34,12 +35,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _landing(spark: SparkSession, name: str) -> str:
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        import tempfile
-
-        root = tempfile.mkdtemp(prefix="vigil-")
-        spark.conf.set("spark.checkpoint.dir", root)
+    """A fresh folder that all machines share: below spark.checkpoint.dir, or a temporary one where that is unset."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="vigil-")
     return f"{root.rstrip('/')}/vigil-landing/{name}-{uuid.uuid4().hex}"
 
 

@@ -23,8 +23,9 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder all machines share: spark.checkpoint.dir where it is set, else a temporary one (local mode, tests)."""
     path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not path:
-        path = tempfile.mkdtemp(prefix="vigil-shared-")
-        spark.conf.set("spark.checkpoint.dir", path)
+        # The setting can't be changed in a running session, so the context remembers the folder.
+        context = spark.sparkContext
+        path = context._vigil_shared = getattr(context, "_vigil_shared", None) or tempfile.mkdtemp(prefix="vigil-shared-")
     return path.rstrip("/")
 
 

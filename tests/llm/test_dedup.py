@@ -169,3 +169,19 @@ def test_passage_edges(spark, edges, nothing, clashing):
     assert got == {(5, 4)}
     assert repeated_passages(nothing).count() == 0
     assert repeated_passages(clashing).count() == 1
+
+
+def test_hot_groups_give_the_same(spark, edges, edge_rows, monkeypatch):
+    """With groups hot from three rows on: copies, stars and ranks come out alike."""
+    import vigil.llm.common as common
+
+    monkeypatch.setattr(common, "HOT_LEAST", 3)
+    monkeypatch.setattr(common, "HOT_SHARE", 0.0)
+    rows = near_rows()[-60:] + [(900 + i, "copy of a text", "en", "s", 1) for i in range(6)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = exact_groups(df, keep="max").select("doc_id", "keep_id", "group_size", "kept").collect()
+    assert sorted([tuple(r) for r in got], key=str) == brute_exact(rows, max)
+    got = ngram_join(df).select("doc_id", "cluster_id", "n_links").collect()
+    assert sorted([tuple(r) for r in got], key=str) == brute_near(rows)
+    ranked = common.rank_within(common.written(df, "t"), ["lang"], ["doc_id"], rows_per_bucket=5).collect()
+    assert sorted(r["rank"] for r in ranked) == list(range(len(rows))) and all(r["rank_of"] == len(rows) for r in ranked)

@@ -118,8 +118,9 @@ def connected(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     before = mark(e)
     while before[0]:
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
-        large = both.where(F.col("v") > F.col("u")).join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        least = both.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n")).withColumn("m", F.least("u", "m"))
+        # A node with very many links is the centre of a star; such centres are few, so they are broadcast.
+        large = attach_groups(both.where(F.col("v") > F.col("u")), least, "u", "n", 2 * before[0]).select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = large.where("u <> v").distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         down = large.join(least, "u")

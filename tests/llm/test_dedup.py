@@ -185,3 +185,38 @@ def test_hot_groups_give_the_same(spark, edges, edge_rows, monkeypatch):
     assert sorted([tuple(r) for r in got], key=str) == brute_near(rows)
     ranked = common.rank_within(common.written(df, "t"), ["lang"], ["doc_id"], rows_per_bucket=5).collect()
     assert sorted(r["rank"] for r in ranked) == list(range(len(rows))) and all(r["rank_of"] == len(rows) for r in ranked)
+
+
+def with_edits(rng, words, n):
+    """words with n of them replaced, the first and last too."""
+    out = list(words)
+    for i in [0, len(out) - 1, *rng.sample(range(1, len(out) - 1), n - 2)]:
+        out[i] = f"new{rng.randrange(10**9)}"
+    return out
+
+
+def fresh_words(rng, n):
+    return [f"w{rng.randrange(10**9)}" for _ in range(n)]
+
+
+def test_passages_at_the_threshold(spark):
+    """Of 40 pairs each with a passage of 50 to 60 words at identity 0.80 to 0.85, nearly all are found; pairs just below are not."""
+    rng = random.Random(5)
+    texts, below = [], []
+    for i in range(40):
+        passage = fresh_words(rng, 50 + i % 11)
+        n = int(len(passage) * (0.2 if i % 2 else 0.15))
+        for words in (passage, with_edits(rng, passage, n)):
+            texts.append(" ".join([*fresh_words(rng, 30), *words, *fresh_words(rng, 30)]))
+    for i in range(10):
+        passage = fresh_words(rng, 50)
+        below.append(len(texts))
+        for words in (passage, with_edits(rng, passage, 13)):
+            texts.append(" ".join([*fresh_words(rng, 30), *words, *fresh_words(rng, 30)]))
+    got = repeated_passages(spark.createDataFrame(rows_of(texts), SCHEMA)).collect()
+    found = {min(r.doc_id, r.other_doc_id) for r in got}
+    assert len(found & set(range(0, 80, 2))) >= 38 and not found & set(below)
+    for r in got:
+        assert abs(r.doc_id - r.other_doc_id) == 1
+        x, y = texts[r.doc_id].split()[r.start : r.end], texts[r.other_doc_id].split()[r.other_start : r.other_end]
+        assert len(x) >= 50 and r.matched >= 0.8 * len(x) and sum(u == v for u, v in zip(x, y)) >= 0.8 * len(x)

@@ -220,3 +220,18 @@ def test_passages_at_the_threshold(spark):
         assert abs(r.doc_id - r.other_doc_id) == 1
         x, y = texts[r.doc_id].split()[r.start : r.end], texts[r.other_doc_id].split()[r.other_start : r.other_end]
         assert len(x) >= 50 and r.matched >= 0.8 * len(x) and sum(u == v for u, v in zip(x, y)) >= 0.8 * len(x)
+
+
+def test_passages_of_frequent_lines(spark):
+    """Ten 60-word passages in two texts each; either half occurs in 20 other texts as well."""
+    rng = random.Random(6)
+    texts, whole = [], []
+    for _ in range(10):
+        halves = [fresh_words(rng, 30), fresh_words(rng, 30)]
+        own = [" ".join([*fresh_words(rng, 30), *halves[0], *halves[1], *fresh_words(rng, 30)]) for _ in range(2)]
+        texts += [" ".join([*fresh_words(rng, 40), *half, *fresh_words(rng, 40)]) for half in halves for _ in range(20)]
+        texts += own
+        whole.append(frozenset(own))
+    rng.shuffle(texts)
+    got = repeated_passages(spark.createDataFrame(rows_of(texts), SCHEMA)).collect()
+    assert {frozenset((texts[r.doc_id], texts[r.other_doc_id])) for r in got} == set(whole)

@@ -1,8 +1,8 @@
 """From raw documents to packed training sequences: filter, dedup twice, mix, pack.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which run() writes as Parquet and reads again for the
-next stage. All but the last return the columns of docs; mixing keeps every row, and its decision is the order in which
-the written files hold them.
+next stage. All but the last return the columns of docs; mixing keeps every row, its decision is the order in which the
+written files hold them, and packing follows that order.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from vigil.llm.common import fresh_path, table
 from vigil.llm.exact_dedup import drop_exact
 from vigil.llm.mixing import mixed_order
 from vigil.llm.ngram_join import drop_near
-from vigil.llm.packing import pack
+from vigil.llm.packing import pack_in_order
 from vigil.llm.quality_rules import drop_rejected
 from vigil.llm.queries import MIX_WEIGHTS, tokenizer_path
 
@@ -37,7 +37,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return pack(docs, tokenizer_path(), capacity=1024, end_id=2)
+    return pack_in_order(docs, tokenizer_path(), capacity=1024, end_id=2)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

@@ -49,3 +49,26 @@ def test_queries_register(spark):
     names = [q for q in __spark_entry__.queries() if q.startswith("op")]
     assert [int(q[2:].split("_")[0]) for q in names] == list(range(1, 11)) and "pipeline" in __spark_entry__.queries()
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
+
+
+def test_packing_follows_the_mixture(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("vigil.llm.packing.STRETCH", 96)
+    rng = random.Random(4)
+    rows = [(i, sentence(rng, rng.randint(20, 200)), "en", "src0" if i < 288 else f"src{1 + i % 3}", 1) for i in range(576)]
+    spark.createDataFrame(rows, SCHEMA).coalesce(1).write.parquet(str(tmp_path / "plain"))
+    docs = spark.read.parquet(str(tmp_path / "plain"))
+    corpus_pipeline.mix_sources(spark, docs, "").write.parquet(str(tmp_path / "mixed"))
+
+    def shares(name):
+        packed = corpus_pipeline.best_fit_packing(spark, spark.read.parquet(str(tmp_path / name)), "").collect()
+        assert sorted({r.sequence_id for r in packed}) == list(range(1 + max(r.sequence_id for r in packed)))
+        parts = [[0, 0] for _ in range(6)]
+        for r in packed:
+            part = parts[6 * r.sequence_id // (1 + max(x.sequence_id for x in packed))]
+            part[0] += r.length * (r.doc_id < 288)
+            part[1] += r.length
+        return [a / b for a, b in parts]
+
+    assert all(0.3 < x < 0.7 for x in shares("mixed"))
+    plain = shares("plain")
+    assert min(plain[:2]) > 0.95 and max(plain[4:]) < 0.05

@@ -107,3 +107,21 @@ def test_lm_log_probs_are_normalised():
     assert abs(np.exp(lm_scoring.log_probs(net, context, np.arange(7))).sum() - 1) < 1e-5
     ids, counts = np.array([1, 2, 3, 4]), np.array([3, 1])
     assert lm_scoring.contexts(ids, counts, 2, 9).tolist() == [[9, 9, 2, 3], [1, 9, 3, 9], [2, 1, 9, 9], [9, 9, 9, 9]]
+
+
+def test_lm_scores_each_words_own_probability(spark):
+    """Words of one bucket differ by their shares of its tokens in the whole corpus; all shares add up to one."""
+    texts = ["aa " * 30 + "bb " * 20 + "cc cc cc dd", "dd ee ff gg hh", "aa bb cc", "aa bb hh"]
+    df = spark.createDataFrame(rows_of(texts), SCHEMA).coalesce(1)
+    how = {"frequent": 2, "buckets": 3, "width": 4}
+    got = {r.doc_id: r.log_prob for r in lm_scoring.score(df, **how).collect()}
+    net, vocabulary, _ = lm_scoring.fit(df.select("text"), **how)
+    hashed = {t: lm_scoring.word_hashes(d, o)[0] for t in texts for _, d, o in lm_scoring.chunks(lm_scoring.pa.array([t], lm_scoring.pa.large_string()))}
+    every = np.concatenate(list(hashed.values()))
+    n = {int(w): int((every == w).sum()) for w in every}
+    of = {b: int((vocabulary.ids(every) == b).sum()) for b in range(5)}
+    for i, t in enumerate(texts):
+        ids = vocabulary.ids(hashed[t])
+        own = lm_scoring.log_probs(net, lm_scoring.contexts(ids, np.array([len(ids)]), 2, vocabulary.size), ids).sum()
+        own += sum(np.log(n[int(w)] / of[int(b)]) for w, b in zip(hashed[t], ids) if b >= 2)
+        assert abs(got[i] - own) < 1e-3

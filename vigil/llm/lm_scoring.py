@@ -1,11 +1,13 @@
 """Masked pseudo-likelihood: every token is predicted from the tokens on both its sides, and a document's score is the
 sum of the log-probabilities.
 
-The vocabulary is the corpus's most frequent words, counted over all rows, and hash buckets for the others. The network
-embeds the `reach` tokens on either side (an embedding for each place), adds them, applies tanh and a softmax over the
+The network's outputs are the corpus's most frequent words, counted over all rows, and hash buckets for the others. A
+word of a bucket has the bucket's probability times its own share of the bucket's tokens in the whole corpus; these
+shares grow with the corpus, so they are joined: each chunk of texts meets only the words it holds. The network embeds the `reach` tokens on either side (an embedding for each place), adds them, applies tanh and a softmax over the
 vocabulary; it is trained in numpy by Adagrad. In each round every partition trains its own copy on a share of the
 positions of each of its texts, and the copies are averaged, weighted by positions, over a tree of tasks: no task and
-not the driver holds more than TREE copies. Scoring reads every whole text and every position.
+not the driver holds more than TREE copies. By default there is one round over all positions. Scoring reads every
+whole text and every position.
 
 Defined cases: null text counts as empty; a text without words has n_tokens 0, log_prob 0 and no mean; null ids are
 kept; rows repeated score alike; an empty table gives an empty result; other columns are ignored. Scores depend on how
@@ -19,6 +21,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,6 +32,9 @@ from .words import chunks, word_hashes
 TREE = 8
 #: Positions of a training step, and of a block that is scored at once.
 BATCH, SCORED = 512, 512
+#: Positions whose contexts are copied at once, a multiple of BATCH; tokens outside the frequent words in a chunk of scored texts.
+SLICE, CHUNK = 64 * BATCH, 4_000_000
+SCORES = "chunk long, word long, doc_id long, n_tokens long, log_prob double, rare binary"
 Net = dict[str, np.ndarray]
 
 
@@ -144,9 +150,11 @@ def _train(net: Net, vocabulary: Vocabulary, reach: int, share: float, rate: flo
                 words, counts = word_hashes(data, offsets)
                 ids = vocabulary.ids(words)
                 picked = rng.permutation(np.flatnonzero(rng.random(len(ids)) < share))
-                if len(picked):
-                    train(own, squares, contexts(ids, counts, reach, vocabulary.size)[picked], ids[picked], rate)
-                    trained += len(picked)
+                around = contexts(ids, counts, reach, vocabulary.size) if len(picked) else None
+                for i in range(0, len(picked), SLICE):
+                    some = picked[i : i + SLICE]
+                    train(own, squares, around[some], ids[some], rate)
+                trained += len(picked)
         if trained:
             yield pa.RecordBatch.from_arrays([pa.array([trained], pa.int64()), pa.array([(flat(own).astype(np.float64) * trained).tobytes()], pa.binary())], ["n", "total"])
 
@@ -159,9 +167,18 @@ def _add(copies: pd.DataFrame) -> pd.DataFrame:
 
 
 def _score(net: Net, vocabulary: Vocabulary, reach: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """A row of SCORES for each text, with the hashes of its words in buckets, and after each chunk one for each of its words in buckets."""
+
+    def words_of(chunk: int, found: list[np.ndarray]) -> pa.RecordBatch:
+        words = np.unique(np.concatenate([np.zeros(0, np.uint64), *found])).view(np.int64)
+        n = len(words)
+        columns = [pa.array(np.full(n, chunk)), pa.array(words), *(pa.nulls(n, t) for t in (pa.int64(), pa.int64(), pa.float64(), pa.binary()))]
+        return pa.RecordBatch.from_arrays(columns, ["chunk", "word", "doc_id", "n_tokens", "log_prob", "rare"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chunk, found, tokens = TaskContext.get().partitionId() << 32, [], 0
         for batch in batches:
-            n, total = np.zeros(batch.num_rows, np.int64), np.zeros(batch.num_rows)
+            n, total, rare = np.zeros(batch.num_rows, np.int64), np.zeros(batch.num_rows), [b""] * batch.num_rows
             for row, data, offsets in chunks(batch.column(1)):
                 words, counts = word_hashes(data, offsets)
                 if not len(words):
@@ -171,14 +188,51 @@ def _score(net: Net, vocabulary: Vocabulary, reach: int) -> Callable[[Iterator[p
                 some = np.flatnonzero(counts)
                 n[row + some] = counts[some]
                 total[row + some] = np.add.reduceat(logs, (np.cumsum(counts) - counts)[some])
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n), pa.array(total)], ["doc_id", "n_tokens", "log_prob"])
+                bucketed = ids >= len(vocabulary.hashes)
+                own = words[bucketed]
+                ends = np.append(0, np.cumsum(bucketed))[np.append(0, np.cumsum(counts))]
+                for i in some.tolist():
+                    rare[row + i] = own[ends[i] : ends[i + 1]].tobytes()
+                found.append(np.unique(own))
+                tokens += len(own)
+            columns = [pa.array(np.full(batch.num_rows, chunk)), pa.nulls(batch.num_rows, pa.int64()), batch.column(0), pa.array(n), pa.array(total), pa.array(rare, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["chunk", "word", "doc_id", "n_tokens", "log_prob", "rare"])
+            if tokens >= CHUNK:
+                yield words_of(chunk, found)
+                chunk, found, tokens = chunk + 1, [], 0
+        yield words_of(chunk, found)
 
     return run
 
 
-def fit(texts: DataFrame, frequent: int = 384, buckets: int = 128, width: int = 32, reach: int = 2, rounds: int = 2, share: float = 0.125, rate: float = 0.1) -> tuple[Net, Vocabulary]:
-    """The network and vocabulary of a one-column table of texts without nulls; `share` of all positions are trained on in each round."""
-    counts = texts.mapInArrow(_count_words, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
+def _add_shares(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by chunk, its words (with log_prob log P(word | bucket)) before its texts -> the texts' sums."""
+    at, known, logs, parts = None, np.zeros(0, np.uint64), np.zeros(0), []
+    for batch in batches:
+        chunk, is_word = batch.column(0).to_numpy(), batch.column(1).is_valid().to_numpy(zero_copy_only=False)
+        cuts = np.flatnonzero(np.append(True, (chunk[1:] != chunk[:-1]) | (is_word[1:] != is_word[:-1]))).tolist() if len(chunk) else []
+        for begin, end in zip(cuts, [*cuts[1:], len(chunk)]):
+            if chunk[begin] != at:
+                at, known, logs, parts = chunk[begin], np.zeros(0, np.uint64), np.zeros(0), []
+            own = batch.slice(begin, end - begin)
+            if is_word[begin]:
+                parts.append((own.column(1).to_numpy().view(np.uint64), own.column(4).to_numpy()))
+                continue
+            if parts:
+                known, logs = (np.concatenate(x) for x in zip(*parts))
+                order = np.argsort(known)
+                known, logs, parts = known[order], logs[order], []
+            total = own.column(4).to_numpy().copy()
+            for i, rare in enumerate(own.column(5)):
+                words = np.frombuffer(rare.as_buffer(), np.uint64)
+                if len(words):
+                    total[i] += logs[np.searchsorted(known, words)].sum()
+            yield pa.RecordBatch.from_arrays([own.column(2), own.column(3), pa.array(total)], ["doc_id", "n_tokens", "log_prob"])
+
+
+def fit(texts: DataFrame, frequent: int = 384, buckets: int = 128, width: int = 32, reach: int = 2, rounds: int = 2, share: float = 0.125, rate: float = 0.1) -> tuple[Net, Vocabulary, DataFrame]:
+    """The network, vocabulary and word counts of a one-column table of texts without nulls; `share` of all positions are trained on in each round."""
+    counts = written(texts.mapInArrow(_count_words, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")), "lm-words")
     top = [r[0] for r in counts.orderBy(F.desc("n"), "word").limit(frequent).collect()]  # at most `frequent`
     vocabulary = Vocabulary(top, buckets)
     net = new_net(vocabulary.size, width, reach, seed=1)
@@ -194,7 +248,7 @@ def fit(texts: DataFrame, frequent: int = 384, buckets: int = 128, width: int =
         row = copies.first()
         if row is not None:
             net = shaped(np.frombuffer(row["total"], np.float64) / row["n"], net)
-    return net, vocabulary
+    return net, vocabulary, counts
 
 
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
@@ -202,6 +256,17 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how
     ship(docs.sparkSession)
     text = F.coalesce(F.col(text_col), F.lit("")).cast("string").alias("text")
     reach = how.get("reach", 2)
-    net, vocabulary = fit(docs.select(text), **how)
-    scored = docs.select(F.col(id_col).cast("long").alias("doc_id"), text).mapInArrow(_score(net, vocabulary, reach), "doc_id long, n_tokens long, log_prob double")
-    return scored.withColumn("mean_log_prob", F.when(F.col("n_tokens") > 0, F.col("log_prob") / F.col("n_tokens")))
+    net, vocabulary, counts = fit(docs.select(text), **how)
+    scored = written(docs.select(F.col(id_col).cast("long").alias("doc_id"), text).mapInArrow(_score(net, vocabulary, reach), SCORES), "lm-scores")
+    # The share of each word outside the frequent ones in its bucket's tokens; hashes count as unsigned, as in Vocabulary.
+    b = vocabulary.buckets
+    unsigned = F.pmod(F.pmod("word", F.lit(b)) + F.when(F.col("word") < 0, F.lit((1 << 64) % b)).otherwise(F.lit(0)), F.lit(b))
+    frequent = docs.sparkSession.createDataFrame([(int(h),) for h in vocabulary.hashes.view(np.int64)], "word long")  # at most `frequent`
+    rare = counts.join(F.broadcast(frequent), "word", "left_anti").withColumn("bucket", unsigned)
+    totals = rare.groupBy("bucket").agg(F.sum("n").alias("of"))  # at most `buckets` rows
+    shares = rare.join(F.broadcast(totals), "bucket").select("word", F.log(F.col("n") / F.col("of")).alias("share"))
+    words = scored.where("word IS NOT NULL").select("chunk", "word").join(shares, "word")
+    words = words.select("chunk", "word", F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("long").alias("n_tokens"), F.col("share").alias("log_prob"), F.lit(None).cast("binary").alias("rare"))
+    both = scored.where("word IS NULL").unionByName(words).repartition("chunk").sortWithinPartitions("chunk", F.col("word").isNull())
+    out = both.mapInArrow(_add_shares, "doc_id long, n_tokens long, log_prob double")
+    return out.withColumn("mean_log_prob", F.when(F.col("n_tokens") > 0, F.col("log_prob") / F.col("n_tokens")))

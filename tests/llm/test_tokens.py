@@ -125,3 +125,13 @@ def test_lm_scores_each_words_own_probability(spark):
         own = lm_scoring.log_probs(net, lm_scoring.contexts(ids, np.array([len(ids)]), 2, vocabulary.size), ids).sum()
         own += sum(np.log(n[int(w)] / of[int(b)]) for w, b in zip(hashed[t], ids) if b >= 2)
         assert abs(got[i] - own) < 1e-3
+
+
+def test_lm_trains_on_every_position_by_default(spark):
+    import inspect
+
+    how = {k: p.default for k, p in inspect.signature(lm_scoring.fit).parameters.items() if k != "texts"}
+    net, vocabulary = lm_scoring.new_net(how["buckets"], 4, 2, 1), lm_scoring.Vocabulary([], how["buckets"])
+    batch = lm_scoring.pa.RecordBatch.from_arrays([lm_scoring.pa.array(["one two three four"] * 500)], ["text"])
+    trained = sum(r.column(0)[0].as_py() for r in lm_scoring._train(net, vocabulary, 2, how["share"], how["rate"], 1)(iter([batch])))
+    assert trained == 2000

@@ -230,7 +230,7 @@ def _add_shares(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([own.column(2), own.column(3), pa.array(total)], ["doc_id", "n_tokens", "log_prob"])
 
 
-def fit(texts: DataFrame, frequent: int = 384, buckets: int = 128, width: int = 32, reach: int = 2, rounds: int = 2, share: float = 0.125, rate: float = 0.1) -> tuple[Net, Vocabulary, DataFrame]:
+def fit(texts: DataFrame, frequent: int = 384, buckets: int = 128, width: int = 32, reach: int = 2, rounds: int = 1, share: float = 1.0, rate: float = 0.1) -> tuple[Net, Vocabulary, DataFrame]:
     """The network, vocabulary and word counts of a one-column table of texts without nulls; `share` of all positions are trained on in each round."""
     counts = written(texts.mapInArrow(_count_words, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")), "lm-words")
     top = [r[0] for r in counts.orderBy(F.desc("n"), "word").limit(frequent).collect()]  # at most `frequent`

@@ -235,3 +235,23 @@ def test_passages_of_frequent_lines(spark):
     rng.shuffle(texts)
     got = repeated_passages(spark.createDataFrame(rows_of(texts), SCHEMA)).collect()
     assert {frozenset((texts[r.doc_id], texts[r.other_doc_id])) for r in got} == set(whole)
+
+
+def test_passage_twice_in_a_text(spark):
+    """Every place of a shared passage is returned, whichever of the texts holds it more than once."""
+    rng = random.Random(7)
+    texts, places = [], {}
+    for _ in range(6):
+        passage = fresh_words(rng, 60)
+        once = [*fresh_words(rng, 30), *passage, *fresh_words(rng, 30)]
+        thrice = [*fresh_words(rng, 20), *passage, *fresh_words(rng, 90), *passage, *fresh_words(rng, 80), *passage]
+        places |= {len(texts): [30], len(texts) + 1: [20, 170, 310]}
+        texts += [" ".join(once), " ".join(thrice)]
+    got = repeated_passages(spark.createDataFrame(rows_of(texts), SCHEMA)).collect()
+    spans = defaultdict(list)
+    for r in got:
+        spans[r.doc_id].append((r.start, r.end))
+        spans[r.other_doc_id].append((r.other_start, r.other_end))
+    for i, starts in places.items():
+        for s in starts:
+            assert any(a <= s + 2 and b >= s + 58 for a, b in spans[i])

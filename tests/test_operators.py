@@ -183,3 +183,13 @@ def test_portfolio(spark):
     assert 0.66 < {r[0]: r[1] for r in people}["PERSONA_NATURAL"] / 5000 < 0.74
     r = evaluate(screen(rows, e, Settings(), TS), rows).first()
     assert r.recall > 0.9
+
+
+def test_metric_history_has_every_key(spark, tmp_path):
+    from vigil.queries import metric_history
+
+    rows = [(7 * k + i, f"2024-01-{1 + i:02d} 00:00:00", None if k == 120 else f"type{k}", float(i)) for k in range(121) for i in range(7)]
+    events = spark.createDataFrame(rows, "event_id long, ts string, event_type string, value double").selectExpr("event_id", "cast(ts AS timestamp) AS ts", "event_type", "value")
+    events.write.parquet(str(tmp_path / "events.parquet"))
+    got = metric_history(spark, str(tmp_path)).collect()
+    assert len({r.key for r in got}) == 121 and len(got) == 121 * 5 and {r.value for r in got} == {2.0, 3.0, 4.0, 5.0, 6.0}

@@ -9,7 +9,7 @@ import tempfile
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .functions.countries import COUNTRIES, normalize_country, prefixes
@@ -368,13 +368,9 @@ def latest_metrics(spark, sf_dir):
 @query("""SELECT event_type AS key, strftime(ts + to_microseconds(event_id), '%Y-%m-%d %H:%M:%S.%f') AS at, round(value, 6) AS value FROM events
     QUALIFY row_number() OVER (PARTITION BY event_type ORDER BY ts + to_microseconds(event_id) DESC) <= 5""")
 def metric_history(spark, sf_dir):
-    m = _metrics(spark, sf_dir).persist()
-    keys = [r[0] for r in m.select("key").distinct().limit(100).collect()]
-    out = None
-    for k in keys:
-        h = monitoring.history(m, k, 5).select(F.lit(k).alias("key"), F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("at"), F.round(F.col("value").cast("double"), 6).alias("value"))
-        out = h if out is None else out.unionByName(h)
-    return out
+    latest = Window.partitionBy("key").orderBy(F.desc("timestamp"))
+    m = _metrics(spark, sf_dir).withColumn("place", F.row_number().over(latest)).where("place <= 5")
+    return m.select("key", F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("at"), F.round(F.col("value").cast("double"), 6).alias("value"))
 
 
 @query("""WITH d AS (SELECT ts::DATE AS day, count(*)::DOUBLE AS v FROM events GROUP BY ALL),

@@ -5,6 +5,7 @@ from collections import defaultdict
 import numpy as np
 import pytest
 from helpers import SCHEMA, rows_of, sentence
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from vigil.llm import lm_scoring
@@ -18,11 +19,31 @@ def test_encoder_equals_library(tokenizer):
     alphabet = "ab'stREll  \n\t\r\x0b.,<|>endoftext1२é 漢　​\U0001f600"
     texts = ["".join(rng.choice(alphabet) for _ in range(rng.randint(0, 40))) for _ in range(3000)]
     texts += [t[:5] + "<|endoftext|>" + t[5:] for t in texts[:500]]
-    texts += [f"a{chr(c)}1 {chr(c)}{chr(c)} b{chr(c)}!" for c in range(1, 0x3000)]
+    texts += [f"a{chr(c)}1 {chr(c)}{chr(c)} b{chr(c)}!" for c in range(0x3000)]
     for t, e in zip(texts, whole.encode_batch(texts, add_special_tokens=False)):
         assert fast(t).tolist() == e.ids, repr(t)
 
 
+def test_encoder_equals_library_over_all_code_points(tokenizer):
+    whole, fast = Tokenizer.from_file(tokenizer), encoder(tokenizer)
+    points = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    for i in range(0, len(points), 4096):
+        t = "".join(f"a{chr(c)} {chr(c)}1" for c in points[i : i + 4096])
+        assert fast(t).tolist() == whole.encode(t, add_special_tokens=False).ids, points[i]
+
+
+def test_very_long_texts(spark, tokenizer, tmp_path):
+    """Runs of two million characters are counted and packed whole."""
+    whole, n = Tokenizer.from_file(tokenizer), 2_000_000
+    texts = [" " * n, "\n" * n, "a" * n, "x" + " \n" * (n // 2) + "y<|endoftext|> z"]
+    want = [len(whole.encode(t, add_special_tokens=False).ids) for t in texts]
+    docs = spark.createDataFrame(rows_of(texts), SCHEMA)
+    got = {r.doc_id: r for r in token_counts(docs, tokenizer, str(tmp_path / "long")).collect()}
+    assert [(got[i].n_tokens, got[i].n_bytes) for i in range(4)] == [(k, len(t)) for k, t in zip(want, texts)]
+    sizes = {r.doc_id: r.n for r in pack(docs, tokenizer).groupBy("doc_id").agg(F.sum("length").alias("n")).collect()}
+    assert [sizes[i] for i in range(4)] == [k + 1 for k in want]
+
+
 def test_counts(spark, edges, edge_rows, nothing, clashing, tokenizer, tmp_path):
     whole = Tokenizer.from_file(tokenizer)
     want = sorted([(r[0], len((r[1] or "").encode()), len(whole.encode(r[1] or "", add_special_tokens=False).ids)) for r in edge_rows], key=str)

@@ -255,3 +255,51 @@ def test_passage_twice_in_a_text(spark):
     for i, starts in places.items():
         for s in starts:
             assert any(a <= s + 2 and b >= s + 58 for a, b in spans[i])
+
+
+def test_filters_instead_of_broadcasts(spark, edges, edge_rows, clashing, tokenizer, tmp_path, monkeypatch):
+    """With no broadcast of keys and with filters, all operators that leave rows out give the same rows."""
+    import vigil.llm.common as common
+    import vigil.llm.exact_dedup as exact
+    from vigil.llm.token_counts import token_counts
+
+    near = near_rows()[-60:] + [(900 + i, "copy of a text", "en", "s", 1) for i in range(6)] + [(950, None, "en", "s", 1), (951, "", None, None, None)]
+    df = spark.createDataFrame(near, SCHEMA)
+    plain = sorted([tuple(r) for r in token_counts(df, tokenizer, str(tmp_path / "a")).collect()])
+    few = sorted([r.doc_id for r in drop_near(drop_exact(df, keep="max")).collect()])
+    for keys in (1 << 24, -1):  # by filters, and by shuffles beyond them
+        for module in (common, exact):
+            monkeypatch.setattr(module, "BROADCAST_ROWS", -1)
+            monkeypatch.setattr(module, "FILTER_KEYS", keys)
+        monkeypatch.setattr("vigil.llm.token_counts.FILTER_KEYS", keys)
+        for rows, frame in ((near, df), (edge_rows, edges), (edge_rows, clashing)):
+            got = exact_groups(frame, keep="max").select("doc_id", "keep_id", "group_size", "kept").collect()
+            assert sorted([tuple(r) for r in got], key=str) == brute_exact(rows, max)
+        assert sorted([tuple(r) for r in token_counts(df, tokenizer, str(tmp_path / f"b{keys}")).collect()]) == plain
+        assert spark.read.parquet(str(tmp_path / f"b{keys}")).count() == len({r[1] or "" for r in near})
+        assert sorted([r.doc_id for r in drop_near(drop_exact(df, keep="max")).collect()]) == few
+        assert drop_exact(clashing, keep="max").columns == clashing.columns
+
+
+def test_filter(spark):
+    import vigil.llm.common as common
+
+    keys = spark.range(0, 30_000, 3).select((F.col("id") * 17).alias("a"), F.when(F.col("id") % 2 == 0, F.col("id").cast("string")).alias("b"))
+    every = spark.range(30_000).select((F.col("id") * 17).alias("a"), F.when(F.col("id") % 2 == 0, F.col("id").cast("string")).alias("b"), F.lit("x").alias("bits"), F.lit("y").alias("word"))
+    found, key = common.Filter(keys, keys.count()), [F.col("s.a"), F.col("s.b")]
+    passing = found.joined(every.alias("s"), key, "f").where(found.passes(key, "f")).select("s.*")
+    assert passing.columns == every.columns and passing.join(keys.select("a"), "a").count() == 10_000
+    assert 10_000 <= passing.count() < 10_300
+
+
+def test_only_repeated_texts_move(spark, monkeypatch):
+    """Neither the rows to compare nor the rows to encode are shuffled before a filter; few others pass it."""
+    import vigil.llm.common as common
+
+    monkeypatch.setattr(common, "BROADCAST_ROWS", -1)
+    rows = spark.range(20_000).select(F.col("id").alias("doc_id"), F.col("id").cast("string").alias("text"))
+    few = rows.where("doc_id % 100 = 0").select("doc_id")
+    rest = rows.where("doc_id % 100 <> 0").select("doc_id")
+    for df, least, most in ((common.holding(rows, few), 200, 320), (common.lacking(rows, rows, rest), 200, 205)):
+        assert "Exchange hashpartitioning" not in df._jdf.queryExecution().executedPlan().toString()
+        assert least <= df.count() <= most and df.join(few, "doc_id").count() == 200

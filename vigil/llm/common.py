@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 #: A side is broadcast only if it has at most this many (narrow) rows; beyond it the join shuffles.
 BROADCAST_ROWS = 100_000
+#: Words of 64 bits of a broadcast filter at most, and keys that such a filter still tells apart well (4 bits set for each).
+FILTER_WORDS, FILTER_KEYS = 1 << 20, 1 << 24
 #: A group is hot from this share of all rows on, so there are at most 1 / HOT_SHARE hot groups.
 HOT_SHARE = 0.001
 HOT_LEAST = 1_000
@@ -20,11 +22,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all machines share: spark.checkpoint.dir where it is set, else a temporary one (local mode, tests)."""
+    """The folder all machines share: spark.checkpoint.dir where it is set, else, on one machine alone, a temporary one."""
     path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not path:
-        # The setting can't be changed in a running session, so the context remembers the folder.
         context = spark.sparkContext
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
+        # The setting can't be changed in a running session, so the context remembers the folder.
         path = context._vigil_shared = getattr(context, "_vigil_shared", None) or tempfile.mkdtemp(prefix="vigil-shared-")
     return path.rstrip("/")
 
@@ -35,10 +39,21 @@ def fresh_path(spark: SparkSession, name: str) -> str:
 
 def written(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
     """df, written once as Parquet to the shared folder: cuts lineage, and outlives any executor."""
+    return kept(df, name, compression)[0]
+
+
+def kept(df: DataFrame, name: str, compression: str = "zstd") -> tuple[DataFrame, str]:
+    """As written, with the table's path, for drop_table() once nothing reads it any more."""
     spark = df.sparkSession
     path = fresh_path(spark, name)
     df.write.option("compression", compression).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    spark.sparkContext._vigil_tables = [*getattr(spark.sparkContext, "_vigil_tables", []), path]
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def tables_since(spark: SparkSession, n: int = 0) -> list[str]:
+    """The paths of the tables that this session has written, from the n-th on; those dropped meanwhile among them."""
+    return getattr(spark.sparkContext, "_vigil_tables", [])[n:]
 
 
 def drop_table(spark: SparkSession, path: str) -> None:
@@ -56,6 +71,73 @@ def checked(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if at_most(df, rows) else df
 
 
+def equal(left: str, right: str, columns: list[str]) -> Column:
+    """Whether all columns of the frames aliased left and right agree, nulls with nulls."""
+    out = F.lit(True)
+    for c in columns:
+        out = out & F.col(f"{left}.{c}").eqNullSafe(F.col(f"{right}.{c}"))
+    return out
+
+
+class Filter:
+    """A Bloom filter over rows of keys, in DataFrame functions: a broadcast table of 64-bit words, at most FILTER_WORDS.
+
+    A key sets four bits of one word. With at most 16 keys a word about one row in 200 passes wrongly; no key is missed.
+    """
+
+    def __init__(self, keys: DataFrame, n: int):
+        self.words = 1 << max(4, min(FILTER_WORDS, n // 4).bit_length())
+        marks = keys.select(self._word([F.col(c) for c in keys.columns]).alias("word"), self._mask([F.col(c) for c in keys.columns]).alias("mask"))
+        self.table = written(marks.groupBy("word").agg(F.bit_or("mask").alias("bits")), "filter")
+
+    def _word(self, key: list[Column]) -> Column:
+        return F.pmod(F.xxhash64(F.lit(104_729), *key), F.lit(self.words))
+
+    @staticmethod
+    def _mask(key: list[Column]) -> Column:
+        h = F.xxhash64(F.lit(1_299_709), *key)
+        bits = [F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftrightunsigned(h, 6 * i).bitwiseAND(F.lit(63)).cast("int")) for i in range(4)]
+        return bits[0].bitwiseOR(bits[1]).bitwiseOR(bits[2]).bitwiseOR(bits[3])
+
+    def joined(self, df: DataFrame, key: list[Column], name: str) -> DataFrame:
+        """df with the filter's words, aliased name, beside its columns."""
+        return df.join(F.broadcast(self.table.alias(name)), self._word(key) == F.col(f"{name}.word"), "left")
+
+    def passes(self, key: list[Column], name: str) -> Column:
+        """False where the key is certainly none of the filter's."""
+        mask = self._mask(key)
+        return F.coalesce(F.col(f"{name}.bits").bitwiseAND(mask) == mask, F.lit(False))
+
+
+def lacking(source: DataFrame, rows: DataFrame, skip: DataFrame) -> DataFrame:
+    """source without the rows whose keys, the columns of skip, are in skip; no row of source moves for up to FILTER_KEYS
+    keys. rows: the keys of source, a narrow table. Where skip isn't small enough to broadcast, a row in tens of
+    thousands may stay that is in skip; none goes that isn't."""
+    columns, n = skip.columns, skip.count()
+    if n <= BROADCAST_ROWS or n > FILTER_KEYS:
+        few = F.broadcast(skip) if n <= BROADCAST_ROWS else skip
+        return source.alias("s").join(few.alias("g"), equal("s", "g", columns), "left_anti")
+    key = [F.col(f"s.{c}") for c in columns]
+    first = Filter(skip, n)
+    passing = first.joined(rows.select(*columns).alias("s"), key, "f").where(first.passes(key, "f")).select("s.*")
+    wrongly = written(passing.alias("s").join(skip.alias("g"), equal("s", "g", columns), "left_anti").distinct(), "filter-wrongly")
+    second = Filter(wrongly, wrongly.count())
+    both = second.joined(first.joined(source.alias("s"), key, "f"), key, "w")
+    return both.where(~first.passes(key, "f") | second.passes(key, "w")).select("s.*")
+
+
+def holding(source: DataFrame, keys: DataFrame) -> DataFrame:
+    """The rows of source whose keys, the columns of keys, are in keys. No row moves; where keys isn't small enough to
+    broadcast, a row in 200 stays that isn't in keys, and beyond FILTER_KEYS keys all stay."""
+    columns, n = keys.columns, keys.count()
+    if n <= BROADCAST_ROWS:
+        return source.alias("s").join(F.broadcast(keys).alias("k"), equal("s", "k", columns), "left_semi")
+    if n > FILTER_KEYS:
+        return source
+    found, key = Filter(keys, n), [F.col(f"s.{c}") for c in columns]
+    return found.joined(source.alias("s"), key, "f").where(found.passes(key, "f")).select("s.*")
+
+
 def attach_groups(rows: DataFrame, groups: DataFrame, key: str, size: str, total: int) -> DataFrame:
     """rows inner-joined with groups on key, where groups has one row a key and its number of rows in `size`.
 
@@ -110,7 +192,7 @@ def connected(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     short. Rounds grow with the logarithm of the longest path. Nodes without an edge are not returned.
     """
     e = edges.where(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col(a) != F.col(b)))
-    e = written(e.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct(), "edges")
+    e, path = kept(e.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct(), "edges")
 
     def mark(x: DataFrame):
         return x.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.pmod(F.xxhash64("u", "v"), F.lit(1 << 40))), F.lit(0))).first()
@@ -125,7 +207,9 @@ def connected(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         down = large.join(least, "u")
         small = down.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
-        e = written(small.where("u <> v").distinct(), "edges")
+        old = path
+        e, path = kept(small.where("u <> v").distinct(), "edges")
+        drop_table(edges.sparkSession, old)
         after = mark(e)
         if after == before:
             break

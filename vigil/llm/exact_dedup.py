@@ -1,9 +1,10 @@
 """Exact dedup: rows are grouped by a 128-bit content hash, and bytes are compared inside groups.
 
 The hash table that is grouped is narrow (id, 16-byte hash, digest), so text moves only for the rows whose hash occurs
-more than once, and those are compared by the least and greatest text of each group, which combine before the
-shuffle: a group with a third of all rows sends one pair of texts a task. If the two differ, the hash collided, and the
-text itself becomes part of the key.
+more than once: the scan finds them by the broadcast hashes, or by a filter of fixed size where those are too many to
+broadcast (it lets one other row in 200 pass). They are compared by the least and greatest text of each group, which
+combine before the shuffle: a group with a third of all rows sends one pair of texts a task. If the two differ, the
+hash collided, and the text itself becomes part of the key.
 
 Defined cases: null text counts as empty; a null id never stays if its group has another id; rows repeated with the
 same id and text get the same verdict; an empty table gives an empty result; other columns of the input are ignored.
@@ -16,7 +17,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import attach_groups, checked, written
+from .common import BROADCAST_ROWS, FILTER_KEYS, Filter, attach_groups, checked, holding, written
 
 
 def content_hash(text: Column) -> Column:
@@ -35,10 +36,7 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     rows = written(hashed.select("doc_id", "text_hash", F.sha2("__text", 256).alias("text_sha256")), "exact-rows")
     groups = written(rows.groupBy("text_hash").agg(F.count(F.lit(1)).alias("group_size"), pick("doc_id").alias("keep_id")), "exact-groups")
     several = groups.where("group_size > 1").select("text_hash")
-    compared = (
-        hashed.join(checked(several), "text_hash", "left_semi").groupBy("text_hash")
-        .agg(F.min("__text").alias("lo"), F.max("__text").alias("hi"))
-    )
+    compared = holding(hashed, several).groupBy("text_hash").agg(F.min("__text").alias("lo"), F.max("__text").alias("hi"))
     collided = written(compared.where("lo <> hi").select("text_hash"), "exact-collided")
     total = rows.count()
     if not collided.isEmpty():
@@ -57,10 +55,23 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def without(docs: DataFrame, gone: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs without the rows of gone (doc_id, text_hash), columns unchanged; broadcasts gone only if it is small."""
-    gone = checked(written(gone.select("doc_id", "text_hash").distinct(), "gone")).alias("g")
-    text_hash = content_hash(F.coalesce(F.col(f"d.{text_col}"), F.lit("")).cast("string"))
-    return docs.alias("d").join(gone, F.col(f"d.{id_col}").eqNullSafe(F.col("g.doc_id")) & (text_hash == F.col("g.text_hash")), "left_anti")
+    """docs without the rows of gone (doc_id, text_hash), columns unchanged.
+
+    gone is broadcast if it is small. Else only rows that pass a filter of gone, so few besides those that go, are
+    shuffled and compared with it; beyond FILTER_KEYS rows all are.
+    """
+    gone = written(gone.select("doc_id", "text_hash").distinct(), "gone")
+    n = gone.count()
+    key = [F.col(f"d.{id_col}"), content_hash(F.coalesce(F.col(f"d.{text_col}"), F.lit("")).cast("string"))]
+
+    def rest(rows: DataFrame, less: DataFrame) -> DataFrame:
+        return rows.alias("d").join(less.alias("g"), key[0].eqNullSafe(F.col("g.doc_id")) & (key[1] == F.col("g.text_hash")), "left_anti")
+
+    if n <= BROADCAST_ROWS or n > FILTER_KEYS:
+        return rest(docs, F.broadcast(gone) if n <= BROADCAST_ROWS else gone)
+    found = Filter(gone, n)
+    flagged = found.joined(docs.alias("d"), key, "f")
+    return flagged.where(~found.passes(key, "f")).select("d.*").union(rest(flagged.where(found.passes(key, "f")).select("d.*"), gone))
 
 
 def drop_exact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "min") -> DataFrame:

@@ -2,8 +2,9 @@
 are encoded, and their counts are appended to the cache.
 
 The cache is a Parquet table (digest, n_tokens) in a folder for each tokenizer version. The content digest is SHA-256
-of the normalised text; a byte-level tokenizer normalises nothing, so by default only null becomes empty. Text moves
-only if neither the rows to encode nor the rows to skip are few enough to broadcast their digests.
+of the normalised text; a byte-level tokenizer normalises nothing, so by default only null becomes empty. Texts are
+encoded where they are read: of the rows to encode and those to skip, the fewer are broadcast, or a filter of fixed
+size stands for them, so no text is shuffled until both are more than common.FILTER_KEYS.
 
 Defined cases: null text counts as empty (0 tokens); rows repeated, or texts repeated under other ids, are encoded
 once and all get the count; null ids are kept; an empty table gives an empty result; other columns are ignored.
@@ -18,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
-from .common import BROADCAST_ROWS, attach_groups, ship, written
+from .common import FILTER_KEYS, attach_groups, equal, holding, lacking, ship, written
 from .encoding import encoder, tokenizer_digest
 
 
@@ -60,15 +61,17 @@ def token_counts(
     sizes = written(rows.groupBy("digest").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("first_id")), "count-sizes")
     misses = written(sizes.join(_cached(spark, folder).select("digest"), "digest", "left_anti").select("digest", "first_id"), "count-misses")
     n_rows, n_misses = rows.count(), misses.count()
-    same = F.col("s.digest").eqNullSafe(F.col("m.digest")) & F.col("s.doc_id").eqNullSafe(F.col("m.first_id"))
     if n_misses:
-        if n_rows - n_misses <= BROADCAST_ROWS:
-            skip = rows.alias("s").join(misses.alias("m"), same, "left_anti").select("digest", F.col("doc_id").alias("first_id")).distinct()
-            todo = source.alias("s").join(F.broadcast(skip.alias("m")), same, "left_anti")
+        # The first row of each missed class is encoded. Whichever are fewer, those rows or the others, are known to the scan.
+        first = misses.select("digest", F.col("first_id").alias("doc_id"))
+        if min(n_misses, n_rows - n_misses) > FILTER_KEYS:
+            todo = source.alias("s").join(first.alias("m"), equal("s", "m", ["digest", "doc_id"]), "left_semi")
+        elif n_misses <= n_rows - n_misses:
+            todo = holding(source, first)
         else:
-            few = F.broadcast(misses) if n_misses <= BROADCAST_ROWS else misses
-            todo = source.alias("s").join(few.alias("m"), same, "left_semi")
-        counted = todo.select("digest", F.col("text")).mapInArrow(_count(tokenizer), "digest binary, n_tokens long")
+            others = rows.alias("s").join(first.alias("m"), equal("s", "m", ["digest", "doc_id"]), "left_anti").select("digest", "doc_id").distinct()
+            todo = lacking(source, rows, written(others, "count-others"))
+        counted = todo.select("digest", "text").mapInArrow(_count(tokenizer), "digest binary, n_tokens long")
         counted.dropDuplicates(["digest"]).write.mode("append").parquet(folder)  # repeated rows give a digest twice
     known = sizes.join(_cached(spark, folder), "digest").select("digest", "n", "n_tokens")
     out = attach_groups(rows, known, "digest", "n", n_rows)

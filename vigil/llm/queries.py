@@ -14,7 +14,7 @@ from .mixing import mix
 from .ngram_join import ngram_join
 from .packing import pack
 from .quality_rules import judge
-from .sharding import ShardStore, ingest, placed
+from .sharding import ShardStore, ingest
 from .substring_dedup import repeated_passages
 from .token_counts import token_counts
 from .toxicity import toxicity
@@ -48,20 +48,17 @@ def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scoring.score(table(spark, sf_dir, "documents"))
 
 
-#: The documents' files arrive in this many appends at most.
+#: The documents arrive in this many appends.
 ARRIVALS = 16
 
 
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    files = sorted(docs.inputFiles())
-    per = -(-len(files) // ARRIVALS)
-    arrivals = [spark.read.schema(docs.schema).parquet(*files[i : i + per]) for i in range(0, len(files), per)]
-    store = ingest(ShardStore(spark, fresh_path(spark, "shards"), target_bytes=128 << 20, fan=4), arrivals)
+    """The rows as the compacted store gives them back."""
+    store = ShardStore(spark, fresh_path(spark, "shards"), target_bytes=128 << 20, fan=4)
+    arrivals = store.append_split(table(spark, sf_dir, "documents"), ARRIVALS, by=["doc_id"])
     text = F.coalesce("text", F.lit(""))
-    return placed(store).select(
-        "doc_id", F.col("__run").alias("run"), F.col("__shard").alias("shard"), F.col("__bytes").alias("shard_bytes"),
-        F.octet_length(text).cast("long").alias("n_bytes"), F.sha2(text, 256).alias("text_sha256"),
+    return ingest(store, arrivals, alone=True).read().select(
+        "doc_id", "lang", "source", "n_chars", F.octet_length(text).cast("long").alias("n_bytes"), F.sha2(text, 256).alias("text_sha256"),
     )
 
 
@@ -93,6 +90,7 @@ ORACLE: dict[str, str] = {
                doc_id = max(doc_id) OVER w AS kept, sha256(coalesce(text, '')) AS text_sha256
         FROM documents WINDOW w AS (PARTITION BY coalesce(text, ''))
     """,
+    "op6_sharding": "SELECT doc_id, lang, source, n_chars, strlen(coalesce(text, '')) AS n_bytes, sha256(coalesce(text, '')) AS text_sha256 FROM documents",
 }
 
 

@@ -1,6 +1,7 @@
 import random
 import re
 from collections import Counter
+from fractions import Fraction
 from functools import reduce
 from math import comb
 
@@ -88,13 +89,38 @@ def test_period_and_phases():
         q, done = sum(w.values()), Counter()
         for slot, s in period(w):
             done[s] += 1
-            assert all(abs(done[x] - (slot + 1) * w[x] / q) < 1 for x in w)
+            assert all(abs(done[x] - Fraction((slot + 1) * w[x], q)) < 1 for x in w)
         b = {s: rng.randint(0, 100) for s in w}
-        place = {(s, j): first + (j - f) // n * per + at for s, f, e, n, k, first, per, at in phases(b, w) for j in range(f, e) if (j - f) % n == k}
+        place = {(p.source, j): p.start + (j - p.first) // p.weight * p.period + p.at[(j - p.first) % p.weight] for p in phases(b, w) for j in range(p.first, p.end)}
         assert sorted(place.values()) == list(range(sum(b.values()))) and set(place) == {(s, j) for s in b for j in range(b[s])}
+        # By brute force: a slot at a time, and anew when a source has run out.
+        at, start, ran = 0, 0, Counter()
+        while any(b[s] > ran[s] for s in b):
+            own = {s: w[s] for s in sorted(b) if b[s] > ran[s]}
+            total, phase = sum(own.values()), Counter()
+            while all(b[s] > ran[s] for s in own):
+                ready = [(-(-(phase[s] + 1) * total // n), (phase[s] + 1) * total // n, s) for s, n in own.items() if phase[s] * total // n <= at - start]
+                s = min(ready)[2]
+                assert place[s, ran[s]] == at
+                ran[s], phase[s], at = ran[s] + 1, phase[s] + 1, at + 1
+                assert all(abs(phase[x] - Fraction((at - start) * own[x], total)) < 1 for x in own)
+            start = at
+
+
+def test_weights_are_exact(monkeypatch):
     assert whole_weights({"a": 0.5, "b": 0.25, "c": 0.25}) == {"a": 2, "b": 1, "c": 1}
+    assert whole_weights({"a": 0.9996, "b": 0.0004}) == {"a": 2499, "b": 1}
+    assert whole_weights({"a": 1, "b": Fraction(1, 3)}) == {"a": 3, "b": 1}
+    for bad in (0, -1, float("nan")):
+        with pytest.raises(ValueError):
+            whole_weights({"a": bad})
+    # Many sources: the plan has no more slots than there are blocks.
+    sizes = {f"s{i}": 1 + i % 7 for i in range(1_500)}
+    parts = phases(sizes, dict.fromkeys(sizes, 1))
+    assert sum(p.end - p.first for p in parts) == sum(sizes.values()) and sum(len(p.at) for p in parts) <= sum(sizes.values())
+    monkeypatch.setattr("vigil.llm.mixing.MAX_PLAN", 1000)
     with pytest.raises(ValueError):
-        whole_weights({"a": 0})
+        phases({"a": 5000, "b": 5000}, {"a": 9999, "b": 10_000})
 
 
 def test_mix(spark, edges, edge_rows, nothing, clashing, tmp_path):

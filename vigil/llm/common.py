@@ -152,23 +152,24 @@ def attach_groups(rows: DataFrame, groups: DataFrame, key: str, size: str, total
     return a.unionByName(b)
 
 
-def spread(*cols: Column | str) -> Column:
-    """A bucket number source: the same for the same values, and not the hash that shuffles use."""
-    return F.xxhash64(F.lit(7919), *[F.col(c) if isinstance(c, str) else c for c in cols])
+def mark(*cols: str) -> Column:
+    """A number from 0 to 2^60 - 1 that mixes the values of cols: the first 15 hexadecimal digits of the MD5 of their text."""
+    values = F.concat_ws("\x1f", *[F.col(c).cast("string") for c in cols])
+    return F.conv(F.substring(F.md5(values), 1, 15), 16, 10).cast("long")
 
 
 def rank_within(df: DataFrame, key: list[str], order: list[str], rows_per_bucket: int = 50_000, out: str = "rank") -> DataFrame:
     """df with a rank from 0 within key, gapless, and `<out>_of`, the key's number of rows.
 
-    Rows of a key are dealt over buckets by a hash of `order`, numbered within each, and shifted by the counts of the
-    buckets before; so a key with a third of all rows still spreads over many tasks. The order within a key is by
-    (bucket, order): fixed for given rows, and mixed. df should be a written table: it is read twice.
+    The order within a key is by mark(order), then order. Ranges of marks are buckets: rows are numbered within each, and
+    shifted by the counts of the buckets before; so a key with a third of all rows still spreads over many tasks. df
+    should be a written table: it is read twice.
     """
     largest, total = df.groupBy(*key).count().agg(F.coalesce(F.max("count"), F.lit(0)), F.coalesce(F.sum("count"), F.lit(0))).first()
     n, bucket = 1, max(200, min(rows_per_bucket, total // 400))
     while n * bucket < largest:
         n *= 2
-    dealt = df.withColumn("__bucket", F.pmod(spread(*order), F.lit(n)).cast("int"))
+    dealt = df.withColumn("__mark", mark(*order)).withColumn("__bucket", F.floor(F.col("__mark") / ((1 << 60) // n)).cast("int"))
     counts = dealt.groupBy(*key, "__bucket").agg(F.count(F.lit(1)).alias("__n"))
     per_key = Window.partitionBy(*key)
     shifts = counts.select(
@@ -176,12 +177,12 @@ def rank_within(df: DataFrame, key: list[str], order: list[str], rows_per_bucket
         F.coalesce(F.sum("__n").over(per_key.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__shift"),
         F.sum("__n").over(per_key).alias(f"{out}_of"),
     )
-    numbered = dealt.withColumn("__in", F.row_number().over(Window.partitionBy(*key, "__bucket").orderBy(*order)) - 1)
+    numbered = dealt.withColumn("__in", F.row_number().over(Window.partitionBy(*key, "__bucket").orderBy("__mark", *order)) - 1)
     same = F.col("__bucket") == F.col("__kb")
     for i, k in enumerate(key):
         same = same & F.col(k).eqNullSafe(F.col(f"__k{i}"))
     joined = numbered.join(checked(shifts), same)
-    drop = ["__bucket", "__kb", "__in", "__shift", *[f"__k{i}" for i in range(len(key))]]
+    drop = ["__mark", "__bucket", "__kb", "__in", "__shift", *[f"__k{i}" for i in range(len(key))]]
     return joined.withColumn(out, (F.col("__shift") + F.col("__in")).cast("long")).drop(*drop)
 
 

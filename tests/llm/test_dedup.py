@@ -303,3 +303,91 @@ def test_only_repeated_texts_move(spark, monkeypatch):
     for df, least, most in ((common.holding(rows, few), 200, 320), (common.lacking(rows, rows, rest), 200, 205)):
         assert "Exchange hashpartitioning" not in df._jdf.queryExecution().executedPlan().toString()
         assert least <= df.count() <= most and df.join(few, "doc_id").count() == 200
+
+
+def replaced(rng, words, n):
+    out = list(words)
+    for i in rng.sample(range(len(out)), n):
+        out[i] = f"new{rng.randrange(10**9)}"
+    return out
+
+
+def test_passage_recall_against_all_pairs(spark):
+    """Pairs of texts with passages of 55 to 200 words of which 0 to 20% are replaced, others without: exactly those that
+    share one by comparing all pairs of texts are linked, but for at most a tenth at each share of replaced words."""
+    rng = random.Random(11)
+    texts, share_of = [], {}
+    for share in (0.0, 0.05, 0.1, 0.15, 0.2):
+        for i in range(20):
+            passage = fresh_words(rng, (55, 70, 100, 200)[i % 4])
+            share_of[len(texts), len(texts) + 1] = share
+            texts.append([*fresh_words(rng, 40), *passage, *fresh_words(rng, 40)])
+            texts.append([*fresh_words(rng, 25), *replaced(rng, passage, int(share * len(passage))), *fresh_words(rng, 55)])
+    texts += [fresh_words(rng, 120) for _ in range(40)]
+    # Brute force: 50 or more words at the same places of two texts, shifted by any distance, of which four fifths are equal.
+    where = defaultdict(list)
+    for i, words in enumerate(texts):
+        for at, w in enumerate(words):
+            where[w].append((i, at))
+    equal = defaultdict(lambda: defaultdict(list))
+    for places in where.values():
+        for i, p in places:
+            for j, q in places:
+                if i < j:
+                    equal[i, j][p - q].append(p)
+    passes = lambda at: any(5 * (j - i + 1) >= 4 * max(50, at[j] - at[i] + 1) for i in range(len(at) - 39) for j in range(i + 39, len(at)))
+    true = {pair for pair, shifts in equal.items() for at in shifts.values() if passes(sorted(at))}
+    got = {(min(r.doc_id, r.other_doc_id), max(r.doc_id, r.other_doc_id)) for r in repeated_passages(spark.createDataFrame(rows_of(" ".join(t) for t in texts), SCHEMA)).collect()}
+    assert not got - true, got - true
+    assert len(true) == 100
+    for share in (0.0, 0.05, 0.1, 0.15, 0.2):
+        own = {pair for pair in true if share_of[pair] == share}
+        assert len(got & own) >= 0.9 * len(own), share
+
+
+def test_passages_of_common_shingles(spark):
+    """Every 6-word shingle of a passage of two texts occurs in twelve others as well."""
+    rng = random.Random(12)
+    texts, whole = [], []
+    for _ in range(8):
+        passage = fresh_words(rng, 60)
+        whole.append((len(texts), len(texts) + 1))
+        texts += [" ".join([*fresh_words(rng, 30), *passage, *fresh_words(rng, 40)]) for _ in range(2)]
+        grams = [i for i in range(55) for _ in range(12)]
+        rng.shuffle(grams)
+        texts += [" ".join(w for i in grams[j::132] for w in [*fresh_words(rng, 8), *passage[i : i + 6]]) for j in range(132)]
+    got = repeated_passages(spark.createDataFrame(rows_of(texts), SCHEMA)).collect()
+    assert {(min(r.doc_id, r.other_doc_id), max(r.doc_id, r.other_doc_id)) for r in got} == set(whole)
+
+
+def test_passages_of_a_repeated_line_and_with_long_gaps(spark):
+    """A passage is found whole where it is one line again and again, where a long gap is four fifths equal, and where words were put in."""
+    rng = random.Random(13)
+    line, start, gap, end, long = fresh_words(rng, 12), fresh_words(rng, 40), fresh_words(rng, 80), fresh_words(rng, 40), fresh_words(rng, 600)
+    pairs = [
+        (line * 20, line * 20), (start + gap + end, start + [w if i % 5 else f"x{i}" for i, w in enumerate(gap)] + end),
+        (long, [w for i, w in enumerate(long) for w in ([w, f"y{i}"] if i % 29 == 7 else [w])]),
+    ]
+    texts = [" ".join([*fresh_words(rng, 30), *p, *fresh_words(rng, 200)]) for pair in pairs for p in pair]
+    best = defaultdict(int)
+    for r in repeated_passages(spark.createDataFrame(rows_of(texts), SCHEMA)).collect():
+        best[min(r.doc_id, r.other_doc_id)] = max(best[min(r.doc_id, r.other_doc_id)], min(r.end - r.start, r.other_end - r.other_start))
+    assert best.keys() == {0, 2, 4} and best[0] >= 238 and best[2] >= 158 and best[4] >= 590
+
+
+def test_gap_matches_against_quadratic():
+    import numpy as np
+
+    from vigil.llm.substring_dedup import gap_matches
+
+    rng = random.Random(14)
+    for _ in range(1500):
+        x = [rng.randrange(6) for _ in range(rng.randint(0, 30))]
+        y = [w for w in x if rng.random() > 0.2] + [9] * rng.randint(0, 3) if rng.random() < 0.5 else [rng.randrange(6) for _ in range(rng.randint(0, 30))]
+        row = [0] * (len(y) + 1)
+        for u in x:
+            left = 0
+            for j, v in enumerate(y, 1):
+                left, row[j] = row[j], left + 1 if u == v else max(row[j], row[j - 1])
+        got = gap_matches(np.array(x, np.uint64), np.array(y, np.uint64))
+        assert got == row[-1] or got <= row[-1] < 0.5 * max(len(x), len(y))

@@ -108,7 +108,7 @@ def test_plan_is_best_fit():
 
 
 def test_lm(spark, edges, edge_rows, nothing, clashing):
-    how = {"frequent": 20, "buckets": 8, "width": 8, "rounds": 2, "share": 0.5}
+    how = {"frequent": 20, "buckets": 8, "width": 8, "rounds": 2}
     got = lm_scoring.score(edges, **how).collect()
     assert len(got) == len(edge_rows)
     for r in got:
@@ -118,41 +118,82 @@ def test_lm(spark, edges, edge_rows, nothing, clashing):
     rng = random.Random(1)
     ordered = [" ".join("one two three four five six seven".split() * 12) for _ in range(60)]
     mixed = [" ".join(rng.sample(t.split(), len(t.split()))) for t in ordered[:10]]
-    rows = {r.doc_id: r.mean_log_prob for r in lm_scoring.score(spark.createDataFrame(rows_of(ordered + mixed), SCHEMA), frequent=20, buckets=4, width=8, rounds=3, share=1.0, rate=0.3).collect()}
+    rows = {r.doc_id: r.mean_log_prob for r in lm_scoring.score(spark.createDataFrame(rows_of(ordered + mixed), SCHEMA), frequent=20, buckets=4, width=8, rounds=3, rate=0.3).collect()}
     assert min(rows[i] for i in range(60)) > max(rows[i] for i in range(60, 70))
 
 
+def vocabulary_of(texts, frequent, buckets):
+    hashed = [lm_scoring.word_hashes(d, o)[0] for _, d, o in lm_scoring.chunks(lm_scoring.pa.array([" ".join(texts)], lm_scoring.pa.large_string()))][0]
+    words, n = np.unique(hashed, return_counts=True)
+    return lm_scoring.Vocabulary([int(w) for w in words[np.argsort(-n)][:frequent]], buckets), hashed
+
+
 def test_lm_log_probs_are_normalised():
-    net = lm_scoring.new_net(7, 4, 2, 3)
-    context = np.array([[0, 1, 7, 3]] * 7)
-    assert abs(np.exp(lm_scoring.log_probs(net, context, np.arange(7))).sum() - 1) < 1e-5
+    vocabulary = lm_scoring.Vocabulary(list(range(1, 61)), 9)
+    assert vocabulary.classes == 3 and sorted([*vocabulary.words, *vocabulary.shared]) == list(range(69)) and vocabulary.size == 69
+    net = lm_scoring.new_net(vocabulary, 4, 2, 3)
+    context = np.array([[0, 1, vocabulary.size, 3]] * vocabulary.size)
+    assert abs(np.exp(lm_scoring.log_probs(net, context, np.arange(vocabulary.size))).sum() - 1) < 1e-5
     ids, counts = np.array([1, 2, 3, 4]), np.array([3, 1])
     assert lm_scoring.contexts(ids, counts, 2, 9).tolist() == [[9, 9, 2, 3], [1, 9, 3, 9], [2, 1, 9, 9], [9, 9, 9, 9]]
 
 
+def test_lm_step_follows_the_gradient():
+    """A step of training moves every weight by the numeric gradient of the mean loss, scaled as Adagrad does."""
+    rng = np.random.default_rng(5)
+    vocabulary = lm_scoring.Vocabulary(list(range(1, 61)), 9)
+    net = {k: rng.normal(0, 0.3, v.shape).astype(np.float64) for k, v in lm_scoring.new_net(vocabulary, 4, 2, 3).items()}
+    context, target = rng.integers(0, vocabulary.size + 1, (40, 4)), rng.integers(0, vocabulary.size, 40)
+    loss = lambda n: -lm_scoring.log_probs(n, context, target).mean()
+    after, squares = {k: v.copy() for k, v in net.items()}, {k: np.full_like(v, 1.0) for k, v in net.items()}
+    lm_scoring.train(after, squares, context, target, rate=1.0)
+    for name, values in net.items():
+        for _ in range(12):
+            at = tuple(rng.integers(0, d) for d in values.shape)
+            up, down = ({**net, name: values.copy()} for _ in range(2))
+            up[name][at] += 1e-5
+            down[name][at] -= 1e-5
+            slope = (loss(up) - loss(down)) / 2e-5
+            assert abs(values[at] - after[name][at] - slope / np.sqrt(1 + slope * slope)) < 1e-5, name
+
+
 def test_lm_scores_each_words_own_probability(spark):
-    """Words of one bucket differ by their shares of its tokens in the whole corpus; all shares add up to one."""
+    """The scores by brute force: every word's output from the fitted network, times the word's share of its bucket."""
     texts = ["aa " * 30 + "bb " * 20 + "cc cc cc dd", "dd ee ff gg hh", "aa bb cc", "aa bb hh"]
-    df = spark.createDataFrame(rows_of(texts), SCHEMA).coalesce(1)
+    df = spark.createDataFrame(rows_of(texts), SCHEMA)
     how = {"frequent": 2, "buckets": 3, "width": 4}
-    got = {r.doc_id: r.log_prob for r in lm_scoring.score(df, **how).collect()}
-    net, vocabulary, _ = lm_scoring.fit(df.select("text"), **how)
-    hashed = {t: lm_scoring.word_hashes(d, o)[0] for t in texts for _, d, o in lm_scoring.chunks(lm_scoring.pa.array([t], lm_scoring.pa.large_string()))}
-    every = np.concatenate(list(hashed.values()))
-    n = {int(w): int((every == w).sum()) for w in every}
-    of = {b: int((vocabulary.ids(every) == b).sum()) for b in range(5)}
+    got = {r.doc_id: (r.log_prob, r.n_tokens) for r in lm_scoring.score(df, **how).collect()}
+    net, vocabulary, _ = lm_scoring.fit(df.select("doc_id", "text"), **how)
+    _, every = vocabulary_of(texts, 2, 3)
+    n, of = {int(w): int((every == w).sum()) for w in every}, {int(o): int((vocabulary.ids(every) == o).sum()) for o in range(vocabulary.size)}
     for i, t in enumerate(texts):
-        ids = vocabulary.ids(hashed[t])
-        own = lm_scoring.log_probs(net, lm_scoring.contexts(ids, np.array([len(ids)]), 2, vocabulary.size), ids).sum()
-        own += sum(np.log(n[int(w)] / of[int(b)]) for w, b in zip(hashed[t], ids) if b >= 2)
-        assert abs(got[i] - own) < 1e-3
-
-
-def test_lm_trains_on_every_position_by_default(spark):
-    import inspect
-
-    how = {k: p.default for k, p in inspect.signature(lm_scoring.fit).parameters.items() if k != "texts"}
-    net, vocabulary = lm_scoring.new_net(how["buckets"], 4, 2, 1), lm_scoring.Vocabulary([], how["buckets"])
-    batch = lm_scoring.pa.RecordBatch.from_arrays([lm_scoring.pa.array(["one two three four"] * 500)], ["text"])
-    trained = sum(r.column(0)[0].as_py() for r in lm_scoring._train(net, vocabulary, 2, how["share"], how["rate"], 1)(iter([batch])))
-    assert trained == 2000
+        _, words = vocabulary_of([t], 2, 3)
+        ids, own = vocabulary.ids(words).tolist(), 0.0
+        for at, (w, o) in enumerate(zip(words.tolist(), ids)):
+            around = [ids[p] if 0 <= p < len(ids) else vocabulary.size for p in (at - 1, at - 2, at + 1, at + 2)]
+            h = np.tanh(sum(net["embed"][k][x].astype(float) for k, x in enumerate(around)) + net["hidden"])
+            a, b = h @ net["class"] + net["class_bias"], h @ net["out"][o // vocabulary.per] + net["bias"][o // vocabulary.per]
+            own += a[o // vocabulary.per] - np.log(np.exp(a).sum()) + b[o % vocabulary.per] - np.log(np.exp(b).sum())
+            own += np.log(n[w] / of[o]) if vocabulary.find(words)[1][at] else 0
+        assert got[i][1] == len(ids) and abs(got[i][0] - own) < 1e-3
+
+
+def test_lm_trains_on_every_position_once():
+    rng = np.random.default_rng(1)
+    texts = [rng.integers(0, 9, n) for n in (3, 0, 70_000, 1, 200_000, 5)]
+    parts = list(lm_scoring.slices(iter(texts), 2, 9))
+    want = lm_scoring.contexts(np.concatenate(texts), np.array(list(map(len, texts))), 2, 9)
+    assert (np.concatenate([c for c, _ in parts]) == want).all() and (np.concatenate([t for _, t in parts]) == np.concatenate(texts)).all()
+    assert max(len(t) for _, t in parts) <= 2 * lm_scoring.SLICE
+
+
+def test_lm_does_not_depend_on_the_layout(spark, monkeypatch):
+    monkeypatch.setattr(lm_scoring, "SHARD", 3_000)
+    rng = random.Random(3)
+    rows = rows_of([sentence(rng, rng.randint(0, 120)) for _ in range(300)] + ["the same text"] * 30)
+    how = {"frequent": 50, "buckets": 8, "width": 8}
+    one = {r.doc_id: r.log_prob for r in lm_scoring.score(spark.createDataFrame(rows, SCHEMA).coalesce(1), **how).collect()}
+    rng.shuffle(rows)
+    many = {r.doc_id: r.log_prob for r in lm_scoring.score(spark.createDataFrame(rows, SCHEMA).repartition(7), **how).collect()}
+    assert one.keys() == many.keys() and max(abs(one[i] - many[i]) for i in one) < 1e-3
+    assert max(many[i] for i in range(300, 330)) - min(many[i] for i in range(300, 330)) < 1e-6  # repeated texts score alike

@@ -3,20 +3,23 @@ sum of the log-probabilities.
 
 The network's outputs are the corpus's most frequent words, counted over all rows, and hash buckets for the others. A
 word of a bucket has the bucket's probability times its own share of the bucket's tokens in the whole corpus; these
-shares grow with the corpus, so they are joined: each chunk of texts meets only the words it holds. The network embeds the `reach` tokens on either side (an embedding for each place), adds them, applies tanh and a softmax over the
-vocabulary; it is trained in numpy by Adagrad. In each round every partition trains its own copy on a share of the
-positions of each of its texts, and the copies are averaged, weighted by positions, over a tree of tasks: no task and
-not the driver holds more than TREE copies. By default there is one round over all positions. Scoring reads every
-whole text and every position.
+shares grow with the corpus, so they are joined: each chunk of texts meets only the words it holds. The network embeds
+the `reach` tokens on either side (an embedding for each place), adds them, applies tanh and predicts in two steps, the
+output's class and the output within the class, each by a softmax; it is trained in numpy by Adagrad on all positions.
+
+Texts are dealt over shards of about SHARD tokens by a hash of id and text. Every shard trains its own copy, in the order
+of those hashes, and the copies are averaged, weighted by positions, over a tree of tasks: no task and not the driver
+holds more than TREE copies. So a model depends on the rows, not on how they lie in files and partitions. Scoring reads
+every whole text and every position.
 
 Defined cases: null text counts as empty; a text without words has n_tokens 0, log_prob 0 and no mean; null ids are
-kept; rows repeated score alike; an empty table gives an empty result; other columns are ignored. Scores depend on how
-the input is partitioned, since partitions train apart; for a given layout they are fixed.
+kept; rows repeated score alike; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from itertools import groupby
 
 import numpy as np
 import pandas as pd
@@ -28,37 +31,53 @@ from pyspark.sql import functions as F
 from .common import ship, written
 from .words import chunks, word_hashes
 
-#: Copies of the network that one task adds up.
-TREE = 8
-#: Positions of a training step, and of a block that is scored at once.
-BATCH, SCORED = 512, 512
-#: Positions whose contexts are copied at once, a multiple of BATCH; tokens outside the frequent words in a chunk of scored texts.
-SLICE, CHUNK = 64 * BATCH, 4_000_000
+#: Copies of the network that one task adds up, and tokens that train one copy.
+TREE, SHARD = 8, 2_000_000
+#: Positions of a training step, of a block that is scored at once, and whose contexts are laid out at once.
+BATCH, SCORED, SLICE = 2048, 8192, 64 * 1024
+#: Tokens outside the frequent words in a chunk of scored texts.
+CHUNK = 2_000_000
+#: Most outputs of a class.
+PER_CLASS = 64
 SCORES = "chunk long, word long, doc_id long, n_tokens long, log_prob double, rare binary"
 Net = dict[str, np.ndarray]
 
 
 class Vocabulary:
-    """Ids of word hashes: frequent words first, then `buckets` shared ids, then one id for no token."""
+    """Outputs for word hashes: the frequent words, most frequent first, and `buckets` shared ones, dealt in turn over
+    classes of PER_CLASS outputs, so that classes are alike in use; `size` stands for no token."""
 
     def __init__(self, frequent: list[int], buckets: int):
-        self.hashes = np.array(sorted(h & 0xFFFFFFFFFFFFFFFF for h in frequent), dtype=np.uint64)
-        self.buckets = buckets
-        self.size = len(self.hashes) + buckets
-
-    def ids(self, words: np.ndarray) -> np.ndarray:
-        other = len(self.hashes) + (words % np.uint64(self.buckets)).astype(np.int64)
+        by_count = np.array([h & 0xFFFFFFFFFFFFFFFF for h in frequent], dtype=np.uint64)
+        self.buckets, n = buckets, len(frequent) + buckets
+        self.classes = -(-n // PER_CLASS)
+        self.per = -(-n // self.classes)
+        self.size = self.classes * self.per
+        order = np.argsort(by_count)
+        self.hashes, self.words, self.shared = by_count[order], self._output(order), self._output(np.arange(len(frequent), n))
+
+    def _output(self, i: np.ndarray) -> np.ndarray:
+        return i % self.classes * self.per + i // self.classes
+
+    def find(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(output, whether it is a bucket's) of each word."""
+        out = self.shared[(words % np.uint64(self.buckets)).astype(np.int64)]
         if not len(self.hashes):
-            return other
+            return out, np.ones(len(words), bool)
         at = np.minimum(np.searchsorted(self.hashes, words), len(self.hashes) - 1)
-        return np.where(self.hashes[at] == words, at, other)
+        known = self.hashes[at] == words
+        return np.where(known, self.words[at], out), ~known
 
+    def ids(self, words: np.ndarray) -> np.ndarray:
+        return self.find(words)[0]
 
-def new_net(size: int, width: int, reach: int, seed: int) -> Net:
-    rng = np.random.default_rng(seed)
+
+def new_net(vocabulary: Vocabulary, width: int, reach: int, seed: int) -> Net:
+    rng, classes, per = np.random.default_rng(seed), vocabulary.classes, vocabulary.per
+    normal = lambda *shape: rng.normal(0, 0.1, shape).astype(np.float32)
     return {
-        "embed": rng.normal(0, 0.1, (2 * reach, size + 1, width)).astype(np.float32), "hidden": np.zeros(width, np.float32),
-        "out": rng.normal(0, 0.1, (width, size)).astype(np.float32), "bias": np.zeros(size, np.float32),
+        "embed": normal(2 * reach, vocabulary.size + 1, width), "hidden": np.zeros(width, np.float32), "class": normal(width, classes), "class_bias": np.zeros(classes, np.float32),
+        "out": normal(classes, width, per), "bias": np.zeros((classes, per), np.float32),
     }
 
 
@@ -94,43 +113,85 @@ def _hidden(net: Net, context: np.ndarray) -> np.ndarray:
     return np.tanh(h, out=h)
 
 
+def _by_class(target: np.ndarray, per: int) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
+    """The order of positions by their targets' classes, and (class, begin, end) of each class there is."""
+    of = target // per
+    order = np.argsort(of, kind="stable")
+    cuts = np.flatnonzero(np.diff(of[order], prepend=-1)).tolist()
+    return order, [(int(of[order[i]]), i, j) for i, j in zip(cuts, [*cuts[1:], len(order)])]
+
+
+def _log_softmax_at(h: np.ndarray, weights: np.ndarray, bias: np.ndarray, at: np.ndarray) -> np.ndarray:
+    z = weights.T @ h.T  # outputs x positions: sums over outputs run along whole rows
+    z += bias[:, None]
+    z -= z.max(axis=0)
+    own = z[at, np.arange(len(at))].astype(np.float64)
+    return own - np.log(np.exp(z, out=z).sum(axis=0).astype(np.float64))
+
+
 def log_probs(net: Net, context: np.ndarray, target: np.ndarray) -> np.ndarray:
-    """log P(target | context) of each position; the softmax is over the whole vocabulary."""
-    out = np.empty(len(target), np.float64)
-    room, ones = np.empty((SCORED, net["out"].shape[1]), np.float32), np.ones(net["out"].shape[1], np.float32)
+    """log P(target | context) of each position: of its class among all, and of itself within the class."""
+    out, per = np.empty(len(target), np.float64), net["bias"].shape[1]
     for i in range(0, len(target), SCORED):  # blocks that stay in the cache
-        c, t = context[i : i + SCORED], target[i : i + SCORED]
-        z = np.matmul(_hidden(net, c), net["out"], out=room[: len(t)])
-        z += net["bias"]
-        own, top = z[np.arange(len(t)), t].astype(np.float64), z.max(axis=1)
-        z -= top[:, None]
-        out[i : i + len(t)] = own - top - np.log((np.exp(z, out=z) @ ones).astype(np.float64))
+        order, groups = _by_class(target[i : i + SCORED], per)
+        h, t = _hidden(net, context[i : i + SCORED][order]), target[i : i + SCORED][order]
+        logs = _log_softmax_at(h, net["class"], net["class_bias"], t // per)
+        for c, begin, end in groups:
+            logs[begin:end] += _log_softmax_at(h[begin:end], net["out"][c], net["bias"][c], t[begin:end] % per)
+        out[i + order] = logs
     return out
 
 
+def _error(h: np.ndarray, weights: np.ndarray, bias: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
+    """The loss's gradient for the scores (outputs x positions) of a softmax; n positions make up the step."""
+    z = weights.T @ h.T
+    z += bias[:, None]
+    z -= z.max(axis=0)
+    np.exp(z, out=z)
+    z /= z.sum(axis=0) * np.float32(n)
+    z[at, np.arange(len(at))] -= np.float32(1 / n)
+    return z
+
+
 def train(net: Net, squares: Net, context: np.ndarray, target: np.ndarray, rate: float) -> None:
     """One pass of Adagrad over the positions, in place."""
+
+    def step(values: np.ndarray, squared: np.ndarray, grad: np.ndarray) -> None:
+        squared += grad * grad
+        values -= rate * grad / np.sqrt(squared + 1e-8)
+
+    per, (places, size, width) = net["bias"].shape[1], net["embed"].shape
+    embed, embed_squares = net["embed"].reshape(-1, width), squares["embed"].reshape(-1, width)
+    row_of = np.arange(places) * size
     for i in range(0, len(target), BATCH):
-        c, t = context[i : i + BATCH], target[i : i + BATCH]
+        order, groups = _by_class(target[i : i + BATCH], per)
+        c, t = context[i : i + BATCH][order], target[i : i + BATCH][order]
         n = len(t)
         h = _hidden(net, c)
-        p = h @ net["out"]
-        p += net["bias"]
-        p -= p.max(axis=1)[:, None]
-        np.exp(p, out=p)
-        p /= p.sum(axis=1)[:, None] * np.float32(n)
-        p[np.arange(n), t] -= np.float32(1 / n)
-        grad_h = (p @ net["out"].T) * (1 - h * h)
-        for name, grad in (("out", h.T @ p), ("bias", p.sum(axis=0)), ("hidden", grad_h.sum(axis=0))):
-            squares[name] += grad * grad
-            net[name] -= rate * grad / np.sqrt(squares[name] + 1e-8)
-        for k in range(c.shape[1]):
-            order = np.argsort(c[:, k], kind="stable")
-            tokens = c[order, k]
-            first = np.flatnonzero(np.append(True, tokens[1:] != tokens[:-1]))
-            rows, grad = tokens[first], np.add.reduceat(grad_h[order], first, axis=0)
-            squares["embed"][k][rows] += grad * grad
-            net["embed"][k][rows] -= rate * grad / np.sqrt(squares["embed"][k][rows] + 1e-8)
+        p = _error(h, net["class"], net["class_bias"], t // per, n)
+        grad_h = p.T @ net["class"].T
+        step(net["class"], squares["class"], (p @ h).T)
+        step(net["class_bias"], squares["class_bias"], p.sum(axis=1))
+        out, bias = np.zeros_like(net["out"]), np.zeros_like(net["bias"])
+        for k, begin, end in groups:
+            own = h[begin:end]
+            p = _error(own, net["out"][k], net["bias"][k], t[begin:end] % per, n)
+            grad_h[begin:end] += p.T @ net["out"][k].T
+            out[k] = (p @ own).T
+            bias[k] = p.sum(axis=1)
+        step(net["out"], squares["out"], out)
+        step(net["bias"], squares["bias"], bias)
+        grad_h *= 1 - h * h
+        step(net["hidden"], squares["hidden"], grad_h.sum(axis=0))
+        rows = (c + row_of).ravel()
+        order = np.argsort(rows.astype(np.uint16) if places * size < 1 << 16 else rows, kind="stable")
+        rows = rows[order]
+        first = np.flatnonzero(np.diff(rows, prepend=-1))
+        grad = np.add.reduceat(grad_h.take(order // places, axis=0), first, axis=0)
+        rows = rows[first]
+        squared = embed_squares[rows] + grad * grad
+        embed_squares[rows] = squared
+        embed[rows] -= rate * grad / np.sqrt(squared + 1e-8)
 
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -141,29 +202,66 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), pa.array(n.astype(np.int64))], ["word", "n"])
 
 
-def _train(net: Net, vocabulary: Vocabulary, reach: int, share: float, rate: float, seed: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _encode(vocabulary: Vocabulary) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """(text, mark) -> (mark, the text's outputs)."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, squares = {k: v.copy() for k, v in net.items()}, {k: np.full_like(v, 1e-2) for k, v in net.items()}
-        rng, trained = np.random.default_rng(seed), 0
         for batch in batches:
-            for _, data, offsets in chunks(batch.column(0)):
+            for row, data, offsets in chunks(batch.column(0)):
                 words, counts = word_hashes(data, offsets)
-                ids = vocabulary.ids(words)
-                picked = rng.permutation(np.flatnonzero(rng.random(len(ids)) < share))
-                around = contexts(ids, counts, reach, vocabulary.size) if len(picked) else None
-                for i in range(0, len(picked), SLICE):
-                    some = picked[i : i + SLICE]
-                    train(own, squares, around[some], ids[some], rate)
-                trained += len(picked)
-        if trained:
-            yield pa.RecordBatch.from_arrays([pa.array([trained], pa.int64()), pa.array([(flat(own).astype(np.float64) * trained).tobytes()], pa.binary())], ["n", "total"])
+                ids, ends = vocabulary.ids(words).astype("<u2"), np.append(0, np.cumsum(counts))
+                some = np.flatnonzero(counts)
+                own = [ids[ends[i] : ends[i + 1]].tobytes() for i in some.tolist()]
+                yield pa.RecordBatch.from_arrays([batch.column(1).take(pa.array(some + row)), pa.array(own, pa.binary())], ["mark", "ids"])
+
+    return run
+
+
+def slices(texts: Iterator[np.ndarray], reach: int, none: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(contexts, targets) of all positions of the texts, in slices that depend on the texts alone; long texts are cut."""
+    held, n = [], 0
+
+    def laid() -> tuple[np.ndarray, np.ndarray]:
+        counts = np.array([len(x) for x, _, _ in held])
+        begin = np.cumsum(counts) - counts
+        ids = np.concatenate([x for x, _, _ in held])
+        around = contexts(ids, counts, reach, none)
+        inner = np.concatenate([np.arange(b + lo, b + hi) for b, (_, lo, hi) in zip(begin, held)])
+        return around[inner], ids[inner]
+
+    for ids in texts:
+        for at in range(0, len(ids), SLICE):
+            from_, to = max(0, at - reach), min(len(ids), at + SLICE)
+            held.append((ids[from_ : to + reach], at - from_, to - from_))
+            n += to - at
+            if n >= SLICE:
+                yield laid()
+                held, n = [], 0
+    if held:
+        yield laid()
+
+
+def _train(net: Net, vocabulary: Vocabulary, reach: int, rate: float, seed: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Texts (shard, ids) sorted by shard -> each shard's trained copy."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        texts = ((s, np.frombuffer(x.as_buffer(), "<u2").astype(np.int64)) for batch in batches for s, x in zip(batch.column(0).to_pylist(), batch.column(1)))
+        for shard, group in groupby(texts, key=lambda x: x[0]):
+            own, squares = {k: v.copy() for k, v in net.items()}, {k: np.full_like(v, 1e-2) for k, v in net.items()}
+            rng, trained = np.random.default_rng([seed, shard]), 0
+            for around, ids in slices((x for _, x in group), reach, vocabulary.size):
+                mixed = rng.permutation(len(ids))
+                train(own, squares, around[mixed], ids[mixed], rate)
+                trained += len(ids)
+            yield pa.RecordBatch.from_arrays([pa.array([shard], pa.int64()), pa.array([trained], pa.int64()), pa.array([(flat(own).astype(np.float64) * trained).tobytes()], pa.binary())], ["shard", "n", "total"])
 
     return run
 
 
 def _add(copies: pd.DataFrame) -> pd.DataFrame:
+    copies = copies.sort_values("shard")
     total = sum(np.frombuffer(x, np.float64) for x in copies["total"])
-    return pd.DataFrame({"n": [int(copies["n"].sum())], "total": [total.tobytes()]})
+    return pd.DataFrame({"shard": [int(copies["shard"].iat[0]) // TREE], "n": [int(copies["n"].sum())], "total": [total.tobytes()]})
 
 
 def _score(net: Net, vocabulary: Vocabulary, reach: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -183,12 +281,11 @@ def _score(net: Net, vocabulary: Vocabulary, reach: int) -> Callable[[Iterator[p
                 words, counts = word_hashes(data, offsets)
                 if not len(words):
                     continue
-                ids = vocabulary.ids(words)
+                ids, bucketed = vocabulary.find(words)
                 logs = log_probs(net, contexts(ids, counts, reach, vocabulary.size), ids)
                 some = np.flatnonzero(counts)
                 n[row + some] = counts[some]
                 total[row + some] = np.add.reduceat(logs, (np.cumsum(counts) - counts)[some])
-                bucketed = ids >= len(vocabulary.hashes)
                 own = words[bucketed]
                 ends = np.append(0, np.cumsum(bucketed))[np.append(0, np.cumsum(counts))]
                 for i in some.tolist():
@@ -230,24 +327,23 @@ def _add_shares(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([own.column(2), own.column(3), pa.array(total)], ["doc_id", "n_tokens", "log_prob"])
 
 
-def fit(texts: DataFrame, frequent: int = 384, buckets: int = 128, width: int = 32, reach: int = 2, rounds: int = 1, share: float = 1.0, rate: float = 0.1) -> tuple[Net, Vocabulary, DataFrame]:
-    """The network, vocabulary and word counts of a one-column table of texts without nulls; `share` of all positions are trained on in each round."""
-    counts = written(texts.mapInArrow(_count_words, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")), "lm-words")
+def fit(texts: DataFrame, frequent: int = 896, buckets: int = 128, width: int = 32, reach: int = 2, rounds: int = 1, rate: float = 0.1) -> tuple[Net, Vocabulary, DataFrame]:
+    """The network, vocabulary and word counts of a table (doc_id, text) without null texts; a round trains on all positions."""
+    counts = written(texts.select("text").mapInArrow(_count_words, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")), "lm-words")
     top = [r[0] for r in counts.orderBy(F.desc("n"), "word").limit(frequent).collect()]  # at most `frequent`
     vocabulary = Vocabulary(top, buckets)
-    net = new_net(vocabulary.size, width, reach, seed=1)
-    for k in range(rounds):
-        copies = written(texts.mapInArrow(_train(net, vocabulary, reach, share, rate, seed=100 + k), "n long, total binary"), "lm-copies")
-        left = copies.count()
+    net = new_net(vocabulary, width, reach, seed=1)
+    shards = -(-(counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]) // SHARD)
+    mark = F.xxhash64(F.lit(31), "doc_id", "text").alias("mark")
+    for k in range(rounds if shards else 0):
+        encoded = texts.select("text", mark).mapInArrow(_encode(vocabulary), "mark long, ids binary").withColumn("shard", F.pmod("mark", F.lit(shards)))
+        dealt = encoded.repartition(min(shards, 10_000), "shard").sortWithinPartitions("shard", "mark", "ids").select("shard", "ids")
+        copies, left = written(dealt.mapInArrow(_train(net, vocabulary, reach, rate, seed=100 + k), "shard long, n long, total binary"), "lm-copies"), shards
         while left > 1:  # a tree of sums; a group holds TREE copies
-            # By the trained copy's own digest, so a repeated task deals them alike; on average TREE / 2 to a group.
-            groups = 1 if left <= TREE else -(-2 * left // TREE)
-            dealt = copies.withColumn("g", F.pmod(F.xxhash64("n", "total"), F.lit(groups)))
-            copies = written(dealt.groupBy("g").applyInPandas(_add, "n long, total binary"), "lm-sums")
-            left = copies.count()
+            left = -(-left // TREE)
+            copies = written(copies.groupBy(F.floor(F.col("shard") / TREE).alias("g")).applyInPandas(_add, "shard long, n long, total binary"), "lm-sums")
         row = copies.first()
-        if row is not None:
-            net = shaped(np.frombuffer(row["total"], np.float64) / row["n"], net)
+        net = shaped(np.frombuffer(row["total"], np.float64) / row["n"], net)
     return net, vocabulary, counts
 
 
@@ -256,8 +352,9 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how
     ship(docs.sparkSession)
     text = F.coalesce(F.col(text_col), F.lit("")).cast("string").alias("text")
     reach = how.get("reach", 2)
-    net, vocabulary, counts = fit(docs.select(text), **how)
-    scored = written(docs.select(F.col(id_col).cast("long").alias("doc_id"), text).mapInArrow(_score(net, vocabulary, reach), SCORES), "lm-scores")
+    own = docs.select(F.col(id_col).cast("long").alias("doc_id"), text)
+    net, vocabulary, counts = fit(own, **how)
+    scored = written(own.mapInArrow(_score(net, vocabulary, reach), SCORES), "lm-scores")
     # The share of each word outside the frequent ones in its bucket's tokens; hashes count as unsigned, as in Vocabulary.
     b = vocabulary.buckets
     unsigned = F.pmod(F.pmod("word", F.lit(b)) + F.when(F.col("word") < 0, F.lit((1 << 64) % b)).otherwise(F.lit(0)), F.lit(b))

@@ -146,14 +146,14 @@ ORACLE["op7_quality_rules"] = _op7_sql()
 # One row a slot and source that has blocks left; `hit` marks the released block of the earliest deadline.
 ORACLE["op10_mix_sources"] = """
     WITH RECURSIVE n AS (
-        SELECT source, coalesce('=' || source, '?') AS key, -(-count(*) // 16) AS blocks, CASE WHEN source = 'src0' THEN 3 ELSE 1 END AS w FROM documents GROUP BY source),
+        SELECT source, coalesce('=' || source, '?') AS key, (count(*) + 15) // 16 AS blocks, CASE WHEN source = 'src0' THEN 3 ELSE 1 END AS w FROM documents GROUP BY source),
     run AS (
         SELECT -1 AS slot, source, key, blocks, w, 0 AS done, 0 AS phase_done, 0 AS phase_start, false AS hit FROM n
         UNION ALL
         SELECT slot + 1, source, key, blocks, w, done + hit::INT, CASE WHEN ended THEN 0 ELSE phase_done + hit::INT END, CASE WHEN ended THEN slot + 2 ELSE phase_start END, hit
         FROM (SELECT * EXCLUDE (hit), turn = 1 AS hit, bool_or(turn = 1 AND done + 1 = blocks) OVER () AS ended
               FROM (SELECT *, row_number() OVER (ORDER BY release <= slot + 1 - phase_start DESC, deadline, next_release, key) AS turn
-                    FROM (SELECT *, phase_done * q // w AS release, -(-((phase_done + 1) * q) // w) AS deadline, (phase_done + 1) * q // w AS next_release
+                    FROM (SELECT *, phase_done * q // w AS release, ((phase_done + 1) * q + w - 1) // w AS deadline, (phase_done + 1) * q // w AS next_release
                           FROM (SELECT *, (sum(w) OVER ())::BIGINT AS q FROM run WHERE done < blocks))))),
     placed AS (SELECT source, done - 1 AS block, slot FROM run WHERE hit),
     ranked AS (

@@ -114,7 +114,7 @@ def test_change_capture(spark):
         ("new", "EU", "B", "x", "h1", True, 1), ("same", "EU", "B", "x", "h", True, 2), ("mod", "EU", "B", "x", "h2", True, 3), ("back", "EU", "B", "x", "h", True, 4), ("back2", "EU", "B", "x", "h3", True, 5),
         ("dup", "EU", "B", "y", "h4", True, 6), ("dup", "EU", "B", "z", "h", True, 7), ("dup", "EU", "B", "w", "h", True, 8)], BATCH)
     counts = change_counts(batch, state).first()
-    assert (counts.nuevos, counts.modificados, counts.sin_cambio) == (1, 4, 3)
+    assert (counts.nuevos, counts.modificados, counts.sin_cambio, counts.eliminados) == (1, 4, 3, 1)  # though one that was deleted came back
     got = {r.id_registro: (r.tipo_sujeto, r.nombres, r.hash_contenido, r.activo, r.estado_carga) for r in upsert(batch, state).collect()}
     assert got == {
         "new": ("B", "x", "h1", True, "NUEVO"), "same": ("T", "n", "h", True, "NUEVO"), "mod": ("T", "x", "h2", True, "MODIFICADO"), "gone": ("T", "n", "h", False, "ELIMINADO"), "back": ("T", "n", "h", False, "ELIMINADO"),

@@ -13,61 +13,79 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .joins import checked
+
 NEW, MODIFIED, DELETED = "NUEVO", "MODIFICADO", "ELIMINADO"
 #: Fields that an update leaves as they were first stored.
 KEPT_ON_UPDATE = {"fuente", "tipo_sujeto", "id_fuente_original"}
 
 
-def _batch_steps(batch: DataFrame, state: DataFrame, id_col: str, hash_col: str, seq_col: str) -> DataFrame:
-    """The batch with the hash each row is compared with, and whether it is a change."""
-    known = state.select(F.col(id_col).alias("__id"), F.col(hash_col).alias("__stored"), F.lit(True).alias("__known"))
-    w = Window.partitionBy(id_col).orderBy(seq_col)
-    x = batch.join(known, F.col(id_col) == F.col("__id"), "left").drop("__id")
-    x = x.withColumn("__k", F.row_number().over(w)).withColumn("__prev", F.when(F.col("__k") == 1, F.col("__stored")).otherwise(F.lag(hash_col).over(w)))
-    first_new = (F.col("__k") == 1) & F.col("__known").isNull()
-    return x.withColumn("change", F.when(first_new, NEW).when(~F.col(hash_col).eqNullSafe(F.col("__prev")), MODIFIED).otherwise("SIN_CAMBIO"))
+#: Per record of a merge: rows of the batch that were new, changed, unchanged, and whether the record became deleted.
+COUNTS = ["nuevos", "modificados", "sin_cambio", "eliminados"]
 
 
-def change_counts(batch: DataFrame, state: DataFrame, id_col: str = "id_registro", hash_col: str = "hash_contenido", seq_col: str = "seq") -> DataFrame:
-    """One row: nuevos, modificados, sin_cambio."""
-    steps = _batch_steps(batch, state, id_col, hash_col, seq_col)
-    return steps.agg(*[F.count_if(F.col("change") == c).alias(name) for c, name in ((NEW, "nuevos"), (MODIFIED, "modificados"), ("SIN_CAMBIO", "sin_cambio"))])
+def _per_id(batch: DataFrame, picked: list[str], id_col: str, hash_col: str, seq_col: str) -> DataFrame:
+    """One row an id of the batch: its first row, its last row that differs from the row before, and how many do or don't."""
+    w = Window.partitionBy(id_col).orderBy(seq_col)
+    x = batch.withColumn("__k", F.row_number().over(w)).withColumn("__prev", F.lag(hash_col).over(w))
+    later, differs = F.col("__k") > 1, ~F.col(hash_col).eqNullSafe(F.col("__prev"))
+    return x.groupBy(F.col(id_col).alias("__id")).agg(
+        F.min_by(F.struct(*picked), seq_col).alias("__first"), F.max_by(F.struct(*picked), F.when(later & differs, F.col(seq_col))).alias("__later"),
+        F.count_if(later & differs).alias("__mods"), F.count_if(later & ~differs).alias("__same"),
+    )
 
 
-def upsert(
+def merge(
     batch: DataFrame, state: DataFrame, id_col: str = "id_registro", hash_col: str = "hash_contenido", seq_col: str = "seq", source_col: str = "fuente",
     active_col: str = "activo", delete_missing: bool = True, revive_unchanged: bool = False,
 ) -> DataFrame:
-    """The next state: every id of batch or state once, with estado_carga.
+    """The next state, every id of batch or state once, with estado_carga and COUNTS; one full join.
 
     The last change of an id in the batch wins. delete_missing: stored records of a source that the batch has rows of,
     and that it lacks, become deleted and inactive.
     """
     columns = [c for c in state.columns if c != "estado_carga"]
-    steps = _batch_steps(batch, state, id_col, hash_col, seq_col)
-    # One row an id: its first values (for fields that updates keep), its last change, and whether it began as new.
-    picked = [c for c in columns if c != id_col]
-    first = F.min_by(F.struct(*picked), seq_col).alias("__first")
-    last = F.max_by(F.struct(*picked), F.when(F.col("change") != "SIN_CAMBIO", F.col(seq_col))).alias("__last")
-    per_id = steps.groupBy(F.col(id_col).alias("__id")).agg(first, last, F.bool_or(F.col("change") == NEW).alias("__new"), F.bool_or(F.col("change") == MODIFIED).alias("__mod"))
-    sources = batch.select(F.col(source_col).alias("__source")).distinct().withColumn("__seen", F.lit(True))
-    x = state.join(per_id, F.col(id_col) == F.col("__id"), "full_outer").join(F.broadcast(sources), F.col(source_col) == F.col("__source"), "left")
-    stored, changed = F.col(id_col).isNotNull(), F.col("__last").isNotNull()
-    gone = stored & F.col("__id").isNull() & F.col("__seen").isNotNull() & ~F.col("estado_carga").eqNullSafe(DELETED) if delete_missing else F.lit(False)
-    back = stored & F.col("__id").isNotNull() & ~changed & (F.col("estado_carga") == DELETED) if revive_unchanged else F.lit(False)
+    # Fields that updates keep come from the id's first row, the others from its last change.
+    per_id = _per_id(batch, [c for c in columns if c != id_col], id_col, hash_col, seq_col)
+    sources = checked(batch.select(F.col(source_col).alias("__source")).distinct().withColumn("__seen", F.lit(True)))
+    x = state.join(per_id, F.col(id_col) == F.col("__id"), "full_outer").join(sources, F.col(source_col) == F.col("__source"), "left")
+    stored, sent = F.col(id_col).isNotNull(), F.col("__id").isNotNull()
+    first_differs = stored & sent & ~F.col(hash_col).eqNullSafe(F.col("__first")[hash_col])
+    last = F.coalesce(F.col("__later"), F.when(~stored | first_differs, F.col("__first")))
+    changed = sent & last.isNotNull()
+    gone = stored & ~sent & F.col("__seen").isNotNull() & ~F.col("estado_carga").eqNullSafe(DELETED) if delete_missing else F.lit(False)
+    back = stored & sent & ~changed & (F.col("estado_carga") == DELETED) if revive_unchanged else F.lit(False)
     out = []
     for c in columns:
         if c == id_col:
             value = F.coalesce(F.col(id_col), F.col("__id"))
         else:
-            fresh = F.col("__first")[c] if c in KEPT_ON_UPDATE else F.col("__last")[c]
-            updated = F.col(c) if c in KEPT_ON_UPDATE else F.col("__last")[c]
+            fresh = F.col("__first")[c] if c in KEPT_ON_UPDATE else last[c]
+            updated = F.col(c) if c in KEPT_ON_UPDATE else last[c]
             value = F.when(~stored, fresh).when(changed, updated).otherwise(F.col(c))
             if c == active_col:
                 value = F.when(gone, F.lit(False)).when(back, F.lit(True)).otherwise(value)
         out.append(value.alias(c))
-    status = F.when(~stored & F.col("__mod"), MODIFIED).when(~stored, NEW).when(changed, MODIFIED).when(gone, DELETED).when(back, MODIFIED).otherwise(F.col("estado_carga"))
-    return x.select(*out, status.alias("estado_carga"))
+    mods = F.coalesce("__mods", F.lit(0))
+    status = F.when(~stored & (mods > 0), MODIFIED).when(~stored, NEW).when(changed, MODIFIED).when(gone, DELETED).when(back, MODIFIED).otherwise(F.col("estado_carga"))
+    one = lambda c: F.coalesce(c, F.lit(False)).cast("long")
+    counts = [one(~stored), mods + one(first_differs), F.coalesce("__same", F.lit(0)) + one(stored & sent & ~first_differs), one(gone)]
+    return x.select(*out, status.alias("estado_carga"), *[n.cast("long").alias(name) for name, n in zip(COUNTS, counts)])
+
+
+def upsert(batch: DataFrame, state: DataFrame, **how) -> DataFrame:
+    """The next state alone."""
+    return merge(batch, state, **how).drop(*COUNTS)
+
+
+def tally(merged: DataFrame) -> DataFrame:
+    """One row: COUNTS of a merge, summed."""
+    return merged.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in COUNTS])
+
+
+def change_counts(batch: DataFrame, state: DataFrame, **how) -> DataFrame:
+    """One row: COUNTS of the batch against the state."""
+    return tally(merge(batch, state, **how))
 
 
 def keep_last(df: DataFrame, id_col: str, seq_col: str) -> DataFrame:
@@ -104,13 +122,32 @@ class SnapshotTable:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.parquet(f"{self.root}/v{known[-1]:09d}")
 
-    def commit(self, df: DataFrame, partition_by: list[str] | None = None) -> int:
-        """Writes df as the next version; fails if another writer took it."""
-        version, draft = (self.versions() or [0])[-1] + 1, f".draft-{uuid.uuid4().hex}"
+    def stage(self, df: DataFrame, partition_by: list[str] | None = None) -> str:
+        """Writes df beside the versions, where read() doesn't see it; the draft's name."""
+        draft = f"draft-{uuid.uuid4().hex}"
         writer = df.write.partitionBy(*partition_by) if partition_by else df.write
         writer.parquet(f"{self.root}/{draft}")
-        target = self._path(f"v{version:09d}")
-        if self._fs().exists(target) or not self._fs().rename(self._path(draft), target):
+        return draft
+
+    def staged(self, draft: str) -> DataFrame:
+        return self.spark.read.parquet(f"{self.root}/{draft}")
+
+    def publish(self, draft: str, version: int | None = None) -> int:
+        """Makes a draft the given version, the next by default, by one rename; fails if another writer took it (as
+        surely as the file system renames: HDFS and its like at once, local disks and object stores look first)."""
+        version = (self.versions() or [0])[-1] + 1 if version is None else version
+        options = self.spark._jvm.org.apache.hadoop.fs.Options.Rename
+        none = self.spark.sparkContext._gateway.new_array(options, 1)
+        none[0] = options.NONE
+        files = self.spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(self._fs().getUri(), self.spark._jsc.hadoopConfiguration())
+        try:
+            files.rename(self._path(draft), self._path(f"v{version:09d}"), none)
+        except Exception as e:
             self._fs().delete(self._path(draft), True)
-            raise RuntimeError(f"version {version} of {self.root} was taken")
+            raise RuntimeError(f"version {version} of {self.root} was taken") from e
         return version
+
+    def commit(self, df: DataFrame, partition_by: list[str] | None = None) -> int:
+        """Writes df as the next version."""
+        version = (self.versions() or [0])[-1] + 1
+        return self.publish(self.stage(df, partition_by), version)

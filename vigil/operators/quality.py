@@ -82,13 +82,15 @@ def active_not_boolean(records: DataFrame, context: Context) -> DataFrame:
     return _detail(records.where(~F.coalesce(F.col("activo").cast("string").isin("0", "1", "true", "false"), F.lit(False))), F.col("id_registro"))
 
 
+#: The rule that needs context["alerts"] and context["parties"].
+ALERT_RULE = Rule("alerta_referencias_validas", "alerts refer to known rows", alert_without_reference)
 RULES = [
     Rule("fuente_no_nula", "every record names its source", source_missing, capped=False),
     Rule("fuente_con_registros", "every expected source has records", source_without_records, capped=False),
     Rule("aliases_como_lista", "aliases are a list", aliases_not_a_list),
     Rule("fecha_sancion_no_futura", "no sanction lies in the future", sanction_in_future),
     Rule("hash_unico_por_fuente", "one content for an original id", hash_changes_within_batch),
-    Rule("alerta_referencias_validas", "alerts refer to known rows", alert_without_reference),
+    ALERT_RULE,
     Rule("nombres_no_vacios", "every record has a name", names_empty),
     Rule("activo_es_booleano", "activo is a boolean", active_not_boolean),
 ]

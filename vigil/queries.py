@@ -9,25 +9,28 @@ import tempfile
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .functions.countries import COUNTRIES, normalize_country, prefixes
+from .functions.countries import COUNTRIES, normalize_countries, normalize_country, prefixes
 from .functions.dates import parse_date
 from .functions.hashing import content_hash, record_id
 from .functions.similarity import bound_columns, could_reach, name_similarity_expr, name_similarity_udf
 from .functions.text import clean_document, match_name, normalize_text
 from .operators import monitoring, quality
-from .operators.cdc import change_counts, keep_last, upsert
-from .operators.screening import Settings, alert_counts, evaluate, score_summary, screen
+from .operators.cdc import COUNTS, change_counts, keep_last, merge, upsert
+from .operators.screening import Settings, alert_counts, evaluate, index_sizes, score_summary, screen
 from .operators.synthetic import portfolio
-from .sources.files import debarred, read_delimited
+from .packaging import ship
+from .sources.canonical import canonical
+from .sources.files import debarred, delimited, read_delimited
 from .sources.hits import read_hits
-from .sources.xml_lists import read_sdn
+from .sources.xml_lists import read_eu, read_sdn, read_un
 from .streaming.incremental import event_windows
 
 RUN_TS = "2024-06-01 12:00:00"
-SETTINGS = Settings(high=0.92, low=0.80)
+SETTINGS = Settings()
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,9 +38,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _landing(spark: SparkSession, name: str) -> str:
-    """A fresh folder that all machines share: below spark.checkpoint.dir, or a temporary one where that is unset."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="vigil-")
-    return f"{root.rstrip('/')}/vigil-landing/{name}-{uuid.uuid4().hex}"
+    """A fresh folder that all machines share: below spark.checkpoint.dir or, on one machine alone where that is unset, a temporary one."""
+    root, master = spark.conf.get("spark.checkpoint.dir", None), spark.sparkContext.master
+    if not root and (not master.startswith("local") or master.startswith("local-cluster")):
+        raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
+    return f"{(root or tempfile.mkdtemp(prefix='vigil-')).rstrip('/')}/vigil-landing/{name}-{uuid.uuid4().hex}"
 
 
 # The portfolio and the list
@@ -229,6 +234,7 @@ def record_hashes(spark, sf_dir):
 
 @query(f"WITH src AS (SELECT p_partkey, {_match('p_name')} AS a, {_match('p_type')} AS b FROM part), {_similarity('src')} SELECT p_partkey, round(score, 9) AS udf, round(score, 9) AS expr FROM src JOIN name_scores USING (a, b)")
 def name_similarities(spark, sf_dir):
+    ship(spark)
     x = table(spark, sf_dir, "part").select("p_partkey", match_name(F.col("p_name")).alias("a"), match_name(F.col("p_type")).alias("b"))
     return x.select("p_partkey", F.round(name_similarity_udf()("a", "b"), 9).alias("udf"), F.round(name_similarity_expr(F.col("a"), F.col("b")), 9).alias("expr"))
 
@@ -236,6 +242,7 @@ def name_similarities(spark, sf_dir):
 @query("SELECT 0::BIGINT AS lost, count(*) AS pairs FROM part")
 def similarity_bound(spark, sf_dir):
     """Pairs that the bound would drop although they reach the threshold: none."""
+    ship(spark)
     x = table(spark, sf_dir, "part").select(match_name(F.col("p_name")).alias("a"), match_name(F.col("p_type")).alias("b"))
     x = x.select(name_similarity_udf()("a", "b").alias("s"), could_reach(bound_columns(F.col("a")), bound_columns(F.col("b")), 0.6).alias("may"))
     return x.agg(F.count_if((F.col("s") >= 0.6) & ~F.col("may")).alias("lost"), F.count(F.lit(1)).alias("pairs"))
@@ -318,12 +325,31 @@ def cdc_upsert(spark, sf_dir):
     return upsert(batch, state)
 
 
-@query(f"""WITH {_VERSIONS} SELECT count(*) FILTER (s.id IS NULL) AS nuevos, count(*) FILTER (s.id IS NOT NULL AND s.h <> b.h) AS modificados, count(*) FILTER (s.h = b.h) AS sin_cambio
+@query(f"""WITH {_VERSIONS} SELECT count(*) FILTER (s.id IS NULL) AS nuevos, count(*) FILTER (s.id IS NOT NULL AND s.h <> b.h) AS modificados, count(*) FILTER (s.h = b.h) AS sin_cambio,
+    (SELECT count(*) FROM state WHERE e <> 'ELIMINADO' AND fuente IN (SELECT fuente FROM batch) AND id NOT IN (SELECT id FROM batch)) AS eliminados
     FROM batch b LEFT JOIN state s ON s.id = b.id""")
 def cdc_counts(spark, sf_dir):
     return change_counts(*_versions(spark, sf_dir))
 
 
+@query("""WITH rows AS (SELECT l_orderkey::VARCHAR AS id, md5((l_quantity % 3)::INT::VARCHAR) AS h, ((l_linenumber::BIGINT * 1000000 + l_partkey) * 10000 + l_suppkey) * 100 + l_quantity::BIGINT AS seq, l_linenumber::VARCHAR AS nombres FROM lineitem),
+    state AS (SELECT o_orderkey::VARCHAR AS id, md5((o_orderkey % 3)::VARCHAR) AS h FROM orders WHERE o_orderkey % 2 = 0),
+    steps AS (SELECT r.*, s.id IS NOT NULL AS stored, lag(r.h) OVER w AS p, row_number() OVER w AS k, s.h AS sh FROM rows r LEFT JOIN state s USING (id) WINDOW w AS (PARTITION BY r.id ORDER BY r.seq)),
+    marked AS (SELECT *, CASE WHEN k = 1 AND NOT stored THEN 'n' WHEN h = CASE WHEN k = 1 THEN sh ELSE p END THEN 's' ELSE 'm' END AS c FROM steps)
+    SELECT coalesce(m.id, s.id) AS id_registro, coalesce(arg_max(m.h, seq) FILTER (c <> 's'), any_value(s.h)) AS hash_contenido, coalesce(arg_max(nombres, seq) FILTER (c <> 's'), 'old') AS nombres,
+           count(*) FILTER (c = 'n') AS nuevos, count(*) FILTER (c = 'm') AS modificados, count(*) FILTER (c = 's') AS sin_cambio, count(*) FILTER (m.id IS NULL) AS eliminados,
+           CASE WHEN bool_or(m.id IS NULL) THEN 'ELIMINADO' WHEN bool_or(c = 'm') THEN 'MODIFICADO' WHEN bool_or(c = 'n') THEN 'NUEVO' ELSE 'NUEVO' END AS estado_carga
+    FROM marked m FULL JOIN state s ON s.id = m.id GROUP BY ALL""")
+def cdc_repeated_ids(spark, sf_dir):
+    """A batch of line items, several to an id, each against the one before; the state is every other order."""
+    l, o = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
+    fixed = [F.lit("S").alias("fuente"), F.lit(True).alias("activo")]
+    seq = ((F.col("l_linenumber").cast("long") * 1_000_000 + F.col("l_partkey")) * 10_000 + F.col("l_suppkey")) * 100 + F.col("l_quantity").cast("long")
+    batch = l.select(F.col("l_orderkey").cast("string").alias("id_registro"), F.md5((F.col("l_quantity") % 3).cast("int").cast("string")).alias("hash_contenido"), seq.alias("seq"), F.col("l_linenumber").cast("string").alias("nombres"), *fixed)
+    state = o.where("o_orderkey % 2 = 0").select(F.col("o_orderkey").cast("string").alias("id_registro"), F.md5((F.col("o_orderkey") % 3).cast("string")).alias("hash_contenido"), F.lit("old").alias("nombres"), *fixed, F.lit("NUEVO").alias("estado_carga"))
+    return merge(batch, state).select("id_registro", "hash_contenido", "nombres", *COUNTS, "estado_carga")
+
+
 @query("SELECT user_id, event_id, event_type FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) = 1")
 def replace_insert(spark, sf_dir):
     return keep_last(table(spark, sf_dir, "events").select("user_id", "event_id", "event_type"), "user_id", "event_id")
@@ -348,6 +374,24 @@ def quality_report(spark, sf_dir):
     return quality.report(x, context).select("rule", "passed", "error_count", "capped_count")
 
 
+@query("""WITH a AS (SELECT 'P' || user_id AS t, 'R' || (event_id % 700) AS r FROM events)
+    SELECT 'alerta_referencias_validas' AS rule, count(*) FILTER (t NOT IN (SELECT 'P' || c_custkey FROM customer)) + count(*) FILTER (r NOT IN (SELECT 'R' || s_suppkey FROM supplier)) AS error_count FROM a""")
+def alert_references(spark, sf_dir):
+    """Alerts made of the events, against customers as third parties and suppliers as records."""
+    alerts = table(spark, sf_dir, "events").select(F.concat(F.lit("P"), "user_id").alias("id_tercero"), F.concat(F.lit("R"), F.col("event_id") % 700).alias("id_registro"))
+    known = {"alerts": alerts, "parties": table(spark, sf_dir, "customer").select(F.concat(F.lit("P"), "c_custkey").alias("id_tercero")), "sanctions": table(spark, sf_dir, "supplier").select(F.concat(F.lit("R"), "s_suppkey").alias("id_registro"))}
+    return quality.report(known["sanctions"], known, [quality.ALERT_RULE]).select("rule", "error_count")
+
+
+@query("""SELECT 'aliases_como_lista' AS rule, count(*) FILTER (c_custkey % 3 = 1) AS error_count FROM customer UNION ALL SELECT 'activo_es_booleano', count(*) FILTER (c_nationkey % 4 = 1) FROM customer""")
+def raw_record_rules(spark, sf_dir):
+    """The rules on types, over records that are still texts."""
+    x = table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").cast("string").alias("id_registro"), F.when(F.col("c_custkey") % 3 == 0, '["A", "B"]').when(F.col("c_custkey") % 3 == 1, "A, B").alias("aliases"),
+        F.when(F.col("c_nationkey") % 4 == 1, "yes").when(F.col("c_nationkey") % 4 == 2, "1").otherwise("false").alias("activo"))
+    return quality.report(x, {}, [r for r in quality.RULES if r.name in ("aliases_como_lista", "activo_es_booleano")]).select("rule", "error_count")
+
+
 @query("SELECT source AS fuente, count(*) AS n FROM documents GROUP BY ALL")
 def records_per_source(spark, sf_dir):
     return table(spark, sf_dir, "documents").groupBy(F.col("source").alias("fuente")).agg(F.count(F.lit(1)).alias("n"))
@@ -373,16 +417,60 @@ def metric_history(spark, sf_dir):
     return m.select("key", F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("at"), F.round(F.col("value").cast("double"), 6).alias("value"))
 
 
-@query("""WITH d AS (SELECT ts::DATE AS day, count(*)::DOUBLE AS v FROM events GROUP BY ALL),
-    b AS (SELECT day, v, avg(v) OVER (ORDER BY day ROWS BETWEEN 4 PRECEDING AND 1 PRECEDING) AS base, row_number() OVER (ORDER BY day DESC) AS k FROM d)
-    SELECT 'TASA_MATCHES_ANOMALA' AS rule, v AS value FROM b WHERE k = 1 AND base > 0 AND (v - base) / base > -0.9
-    UNION ALL SELECT 'FUENTE_NO_ACTUALIZADA', 31 UNION ALL SELECT 'FUENTE_VACIA', 1 UNION ALL SELECT 'LATENCIA_ALTA', 601 UNION ALL SELECT 'SCORE_PROMEDIO_BAJO', 0""")
+# Alert rules over the history of the events: daily counts are the match rates, the newest count of each type that of a
+# source, the last day's span in seconds the duration, its mean value a hundredth of the score.
+
+_MEASURED = """
+    d AS (SELECT ts::DATE AS day, count(*)::DOUBLE AS v FROM events GROUP BY ALL),
+    b AS (SELECT day, v, avg(v) OVER (ORDER BY day ROWS BETWEEN 4 PRECEDING AND 1 PRECEDING) AS base, row_number() OVER (ORDER BY day DESC) AS k FROM d),
+    s AS (SELECT event_type, count(*) FILTER (ts::DATE = (SELECT max(day) FROM d) AND value > 400) AS n FROM events GROUP BY ALL),
+    l AS (SELECT max(ts)::DATE AS day, epoch(max(ts) - min(ts)) AS seconds, avg(value) / 100 AS score FROM events WHERE ts::DATE = (SELECT max(day) FROM d))"""
+
+
+def _history(spark, sf_dir):
+    e = table(spark, sf_dir, "events").withColumn("day", F.to_date("ts"))
+    tags, last = F.create_map().cast("map<string,string>").alias("tags"), F.max("day").over(Window.partitionBy())
+    row = lambda df, key, value, at: df.select(key.alias("key"), value.cast("string").alias("value"), tags, at.cast("timestamp").alias("timestamp"))
+    daily = e.groupBy("day").agg(F.count(F.lit(1)).alias("n"))
+    newest = F.broadcast(e.agg(F.max("day").alias("last")))  # one row
+    x = e.join(newest, F.lit(True)).withColumn("now", F.col("day") == F.col("last"))
+    types = x.groupBy("event_type").agg(F.count_if(F.col("now") & (F.col("value") > 400)).alias("n"), F.max("last").alias("last"))
+    day = x.where("now").agg(F.max("last").alias("last"), (F.max("ts").cast("timestamp").cast("double") - F.min("ts").cast("timestamp").cast("double")).alias("seconds"), (F.avg("value") / 100).alias("score"))
+    single = [("pipeline_duration_seconds", F.col("seconds")), ("avg_match_score", F.col("score")), ("last_successful_run_timestamp", F.col("last").cast("timestamp"))]
+    out = row(daily, F.lit("match_rate"), F.col("n").cast("double"), F.col("day")).unionByName(row(types, F.concat(F.lit("records_per_source/"), "event_type"), F.col("n"), F.col("last")))
+    for key, value in single:
+        out = out.unionByName(row(day, F.lit(key), value, F.col("last")))
+    return out
+
+
+@query(f"""WITH {_MEASURED}
+    SELECT 'TASA_MATCHES_ANOMALA' AS rule, 'CRITICAL' AS severity, 'chat:compliance' AS channel, round(v, 6) AS value FROM b WHERE k = 1 AND base > 0 AND (v - base) / base > -0.9
+    UNION ALL SELECT 'FUENTE_NO_ACTUALIZADA', 'HIGH', 'email:data-owners', floor(epoch(TIMESTAMP '2024-06-01 12:00:00' - day) / 86400) FROM l WHERE epoch(TIMESTAMP '2024-06-01 12:00:00' - day) / 86400 >= 4
+    UNION ALL SELECT 'FUENTE_VACIA', 'CRITICAL', 'pager:ingestion', count(*)::DOUBLE FROM s WHERE n = 0 HAVING count(*) > 0
+    UNION ALL SELECT 'LATENCIA_ALTA', 'MEDIUM', 'chat:operations', round(seconds, 6) FROM l WHERE seconds > 600
+    UNION ALL SELECT 'SCORE_PROMEDIO_BAJO', 'LOW', 'email:model-owners', round(score, 6) FROM l WHERE score < 0.85""")
 def fired_alerts(spark, sf_dir):
-    daily = table(spark, sf_dir, "events").groupBy(F.to_date("ts").alias("day")).agg(F.count(F.lit(1)).alias("n"))
-    rates = daily.select(F.lit("match_rate").alias("key"), F.col("n").cast("double").cast("string").alias("value"), F.create_map().cast("map<string,string>").alias("tags"), F.col("day").cast("timestamp").alias("timestamp"))
-    fixed = monitoring.metrics_frame(spark, {"last_successful_run_timestamp": "2024-05-01 12:00:00", "records_per_source": {"EU": 0, "UN": 5}, "pipeline_duration_seconds": 601.0, "avg_match_score": 0.0}, RUN_TS)
     rules = [monitoring.stale, lambda m, now: monitoring.rate_jump(m, now, most=-0.9), monitoring.empty_source, monitoring.slow, monitoring.low_score]
-    return monitoring.evaluate_alerts(rates.unionByName(fixed), RUN_TS, rules).select("rule", "value")
+    return monitoring.evaluate_alerts(_history(spark, sf_dir), RUN_TS, rules).select("rule", "severity", "channel", F.round("value", 6).alias("value"))
+
+
+@query(f"""WITH {_MEASURED} SELECT 'TASA_MATCHES_ANOMALA' AS rule, round(v, 6) AS value FROM b WHERE k = 1 AND base > 0 AND (v - base) / base > 0.5
+    UNION ALL SELECT 'FUENTE_VACIA', count(*)::DOUBLE FROM s WHERE n = 0 HAVING count(*) > 0""")
+def fired_alerts_by_default(spark, sf_dir):
+    """The two critical rules with their own thresholds."""
+    return monitoring.evaluate_alerts(_history(spark, sf_dir), RUN_TS, [monitoring.rate_jump, monitoring.empty_source]).select("rule", F.round("value", 6).alias("value"))
+
+
+@query(f"""WITH {ALERTS} SELECT 'total_alerts' AS key, count(*)::DOUBLE AS value FROM alerts UNION ALL SELECT 'match_rate', round(count(*) / (SELECT count(*) FROM documents), 6) FROM alerts
+    UNION ALL SELECT 'avg_match_score', round(avg(score_similitud), 6) FROM alerts""")
+def match_rates(spark, sf_dir):
+    return monitoring.matching_metrics(_alerts(spark, sf_dir), parties(spark, sf_dir), RUN_TS).select("key", F.round(F.col("value").cast("double"), 6).alias("value"))
+
+
+@query(f"""WITH {PEOPLE} SELECT count(DISTINCT regexp_replace(upper(numero_documento), '[\\s\\-.]', '', 'g')) AS documents, count(DISTINCT nullif(upper(substr(nombres, 1, 1)), '')) AS initials,
+    (SELECT count(DISTINCT substr({_match('a')}, 1, 5)) FROM (SELECT unnest(aliases) AS a FROM listed)) AS alias_beginnings FROM listed""")
+def index_cardinalities(spark, sf_dir):
+    return index_sizes(entries(spark, sf_dir), SETTINGS)
 
 
 # Sources: feeds are written from the tables, and read back
@@ -404,6 +492,108 @@ def read_sdn_feed(spark, sf_dir):
     return read_sdn(spark, path).select("id_fuente_original", "tipo_sujeto", "nombres", "apellidos", F.get("aliases", 0).alias("alias"), "numero_documento", "tipo_sancion")
 
 
+def _canonical_sql(source: str, original: str, kind: str, names: str, surnames: str, aliases: str, country: str, document: str, sanction: str, since: str, active: str = "true", until: str = "NULL", table: str = "supplier") -> str:
+    """Canonical records of texts that need no normalising; null texts are written NULL."""
+    q = lambda c: f"coalesce('\"' || {c} || '\"', 'null')"
+    fields = {"fecha_nacimiento": "NULL", "fecha_sancion": since, "fuente": f"'{source}'", "apellidos": surnames, "nombres": names, "numero_documento": document, "tipo_sancion": sanction, "tipo_sujeto": kind}
+    text = " || ', ' || ".join(f"'\"{f}\": ' || {q(c)}" for f, c in sorted(fields.items()))
+    return f"""SELECT left(sha256('{source}|' || {original} || '|' || coalesce({names}, 'None')), 16) AS id_registro, '{source}' AS fuente, {kind} AS tipo_sujeto, {names} AS nombres, {surnames} AS apellidos, {aliases} AS aliases,
+        {country} AS pais, {document} AS numero_documento, {sanction} AS tipo_sancion, ({since})::DATE AS fecha_sancion, ({until})::DATE AS fecha_vencimiento, {active} AS activo, sha256('{{' || {text} || '}}') AS hash_contenido, {original} AS id_fuente_original FROM {table}"""
+
+
+def _shown(records: DataFrame) -> DataFrame:
+    return canonical(records, RUN_TS).select(
+        "id_registro", "fuente", "tipo_sujeto", "nombres", "apellidos", F.array_join("aliases", "; ").alias("aliases"), F.array_join("nacionalidad", ",").alias("pais"), "numero_documento", "tipo_sancion", "fecha_sancion", "fecha_vencimiento",
+        "activo", "hash_contenido", "id_fuente_original")
+
+
+def _tag(name: str, *inner) -> Column:
+    return F.concat(F.lit(f"<{name}>"), *[F.lit(x) if isinstance(x, str) else x.cast("string") for x in inner], F.lit(f"</{name}>"))
+
+
+_even = "s_nationkey % 2 = 0"
+
+
+@query(_canonical_sql(
+    "UN", "'U' || s_suppkey", f"CASE WHEN {_even} THEN 'PERSONA_NATURAL' ELSE 'PERSONA_JURIDICA' END", f"CASE WHEN {_even} THEN 'ANA' ELSE 'FIRM ' || s_suppkey END", f"CASE WHEN {_even} THEN 'LOPEZ N' || s_suppkey END",
+    f"CASE WHEN {_even} THEN 'ANITA L' ELSE 'THE FIRM' END", f"CASE WHEN {_even} THEN 'PE' ELSE 'FR' END", f"CASE WHEN {_even} THEN 'P' || s_suppkey END", f"CASE WHEN {_even} THEN 'UN SANCTIONS' ELSE 'UN ENTITY SANCTIONS' END", "'2019-03-0' || (1 + s_nationkey % 9)"))
+def read_un_feed(spark, sf_dir):
+    s = table(spark, sf_dir, "supplier")
+    since = _tag("LISTED_ON", F.concat(F.lit("2019-03-0"), 1 + F.col("s_nationkey") % 9))
+    person = _tag(
+        "INDIVIDUAL", _tag("DATAID", "U", F.col("s_suppkey")), "<FIRST_NAME>Ana</FIRST_NAME><SECOND_NAME> López </SECOND_NAME>", _tag("THIRD_NAME", "n", F.col("s_suppkey")), "<AKA><FIRST_NAME>Anita</FIRST_NAME><SECOND_NAME>L</SECOND_NAME></AKA>",
+        since, "<NATIONALITY><VALUE>Perú</VALUE></NATIONALITY>", _tag("INDIVIDUAL_DOCUMENT", _tag("NUMBER", "P", F.col("s_suppkey"))))
+    entity = _tag("ENTITY", _tag("DATAID", "U", F.col("s_suppkey")), _tag("FIRST_NAME", "Firm ", F.col("s_suppkey")), "<AKA><FIRST_NAME>the firm</FIRST_NAME></AKA>", since, "<ENTITY_ADDRESS><COUNTRY>France</COUNTRY></ENTITY_ADDRESS>")
+    path = _landing(spark, "un")
+    one = s.select(F.floor(F.col("s_suppkey") / 1000).alias("file"), F.when(F.expr(_even), person).otherwise(entity).alias("x")).groupBy("file").agg(F.array_join(F.collect_list("x"), "").alias("x"))
+    one.select(_tag("CONSOLIDATED_LIST", F.col("x")).alias("value")).write.option("maxRecordsPerFile", 1).text(path)
+    return _shown(read_un(spark, path))
+
+
+_eu_sql = _canonical_sql(
+    "EU", "'E' || s_suppkey", f"CASE WHEN {_even} THEN 'PERSONA_NATURAL' ELSE 'PERSONA_JURIDICA' END", f"CASE WHEN {_even} THEN 'JOSE' ELSE 'FIRMA ' || s_suppkey END", f"CASE WHEN {_even} THEN 'RUIZ ' || s_suppkey END",
+    "'OTHER ' || s_suppkey", "'DE'", "'D' || s_suppkey", "'PROG KIND'", "'2020-02-0' || (1 + s_nationkey % 9)")
+
+
+def _eu_feed(spark, sf_dir, tag: str) -> str:
+    s = table(spark, sf_dir, "supplier")
+    text = lambda *x: F.concat(*[F.lit(v) if isinstance(v, str) else v.cast("string") for v in x])
+    key = F.col("s_suppkey")
+    name = F.when(F.expr(_even), text("José Ruiz ", key)).otherwise(text("Firma ", key))
+    x = text(
+        f'<{tag} logicalId="E', key, '"><subjectType code="', F.when(F.expr(_even), "person").otherwise("enterprise"), '"/><nameAlias wholeName="other ', key, '" strong="false"/><nameAlias wholeName="', name, '" strong="true"/>',
+        '<citizenship countryDescription="Germany"/><identification number="X" identificationTypeCode="other"/><identification number="D', key, '" identificationTypeCode="passport"/><regulation programme="PROG" entryIntoForceDate="2020-02-0',
+        1 + F.col("s_nationkey") % 9, f'"><regulationType code="KIND"/></regulation></{tag}>')
+    path = _landing(spark, f"eu-{tag}")
+    one = s.select(F.floor(F.col("s_suppkey") / 1000).alias("file"), x.alias("x")).groupBy("file").agg(F.array_join(F.collect_list("x"), "").alias("x"))
+    one.select(_tag("export", F.col("x")).alias("value")).write.option("maxRecordsPerFile", 1).text(path)
+    return path
+
+
+@query(_eu_sql)
+def read_eu_feed(spark, sf_dir):
+    return _shown(read_eu(spark, _eu_feed(spark, sf_dir, "sanctionEntity")))
+
+
+@query(_eu_sql)
+def read_eu_feed_by_other_tag(spark, sf_dir):
+    return _shown(read_eu(spark, _eu_feed(spark, sf_dir, "entity")))
+
+
+@query(_canonical_sql(
+    "PACO_DISC", "'PACO_DISC_' || row_number() OVER (PARTITION BY c_custkey // 500 ORDER BY c_custkey) || '_C' || c_custkey", "'PERSONA_NATURAL'", "'N' || c_custkey", "'A' || c_nationkey", "''", "'CO'", "'C' || c_custkey", "'FALTA'",
+    "'2021-05-06'", "c_nationkey % 2 = 0", "'2031-05-06'", "customer"))
+def read_zipped_files(spark, sf_dir):
+    """Archives of one delimited file each, five hundred customers to an archive."""
+    import io
+    import zipfile
+
+    def archive(rows):
+        out = io.BytesIO()
+        with zipfile.ZipFile(out, "w") as z:
+            lines = [f"N{r.c_custkey}|A{r.c_nationkey}|C{r.c_custkey}|Falta|06/05/2021|2031-05-06|{'Vigente' if r.c_nationkey % 2 == 0 else 'No'}" for r in rows.sort_values("c_custkey").itertuples()]
+            z.writestr("readme.md", "nothing")
+            z.writestr("datos.csv", "\n".join(["PRIMER_NOMBRE|PRIMER_APELLIDO|NRO_DOC|FALTA|FECHA_INICIO|FECHA_FIN|ESTADO", *lines]))
+        return pd.DataFrame({"path": [str(rows["g"].iat[0])], "content": [out.getvalue()]})
+
+    ship(spark)
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", F.floor(F.col("c_custkey") / 500).alias("g"))
+    files = c.groupBy("g").applyInPandas(archive, "path string, content binary")
+    return _shown(delimited(files, "PACO_DISC", zipped=True))
+
+
+@query(f"""WITH known(k, v) AS (VALUES {_known}), begins(k, v) AS (VALUES {_begins}),
+    t AS (SELECT o_orderkey, i, [{', '.join("'" + t + "'" for t in COUNTRY_TEXTS)}][1 + (o_orderkey * (i + 1) + i) % {len(COUNTRY_TEXTS)}] AS x FROM orders, range(3) AS r(i)),
+    n AS (SELECT o_orderkey, i, upper(nullif(trim(x), '')) AS u, {_normal("nullif(trim(x), '')")} AS n FROM t),
+    c AS (SELECT o_orderkey, i, CASE WHEN regexp_full_match(u, '[A-Z]{{2}}') THEN u WHEN known.k IS NOT NULL THEN known.v WHEN begins.k IS NOT NULL THEN begins.v WHEN len(u) >= 2 THEN left(u, 2) END AS code
+          FROM n LEFT JOIN known ON known.k = n.n LEFT JOIN begins ON begins.k = left(n.n, 4))
+    SELECT o_orderkey, coalesce(string_agg(code, ',' ORDER BY i), '') AS codes FROM c GROUP BY o_orderkey""")
+def normalize_country_lists(spark, sf_dir):
+    texts = F.array(*[F.lit(t) for t in COUNTRY_TEXTS])
+    x = table(spark, sf_dir, "orders").select("o_orderkey", F.array(*[F.get(texts, ((F.col("o_orderkey") * (i + 1) + i) % len(COUNTRY_TEXTS)).cast("int")) for i in range(3)]).alias("names"))
+    return x.select("o_orderkey", F.array_join(normalize_countries(F.col("names")), ",").alias("codes"))
+
+
 @query("""SELECT conv_id || '-' || turn AS id_fuente_original, CASE WHEN role = 'user' THEN 'PERSONA_NATURAL' ELSE 'PERSONA_JURIDICA' END AS tipo_sujeto, CASE WHEN role = 'user' THEN role ELSE role || ' LLC' END AS nombres,
     CASE WHEN role = 'user' THEN 'Doe' END AS apellidos, 'FCPA ' || role AS tipo_sancion FROM conversations""")
 def read_hits_feed(spark, sf_dir):

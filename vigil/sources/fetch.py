@@ -9,6 +9,9 @@ import urllib.error
 import urllib.request
 from collections.abc import Callable
 
+from .files import table_rows
+from .hits import more_pages
+
 log = logging.getLogger("vigil.fetch")
 
 
@@ -55,3 +58,30 @@ def land_pages(url_of: Callable[[int], str], path_of: Callable[[int], str], more
             if not more(f.read(), page):
                 return page + 1
     return last + 1
+
+
+# Hits and pages of the paged lists.
+HITS, LAST_HITS_PAGE, LAST_FIRMS_PAGE = 1000, 50, 199
+
+
+def land_source(name: str, folder: str, skip_download: bool = False, **how) -> bool:
+    """Fetches a source's list into folder/name, a file or, for paged lists, a folder with a file a page, as the readers
+    want it. Whether anything is there afterwards."""
+    from ..operators.monitoring import SOURCE_URLS
+
+    url, path = SOURCE_URLS[name], os.path.join(folder, name)
+    if name == "FCPA":
+        return land_pages(
+            lambda p: f"{url}&from={p * HITS}&hits.hits._source=true", lambda p: os.path.join(path, f"page-{p:04d}.json"), lambda body, p: more_pages(body, p, HITS), LAST_HITS_PAGE, skip_download, **how,
+        ) > 0
+    if name == "WORLD_BANK":
+        seen: set[tuple] = set()
+
+        def more(body: bytes, page: int) -> bool:
+            rows, linked = table_rows(body.decode("utf-8", "replace"))
+            before = len(seen)
+            seen.update((r["name"], r["from"]) for r in rows)
+            return linked and len(seen) > before
+
+        return land_pages(lambda p: url if not p else f"{url}?page={p + 1}", lambda p: os.path.join(path, f"page-{p:04d}.html"), more, LAST_FIRMS_PAGE, skip_download, **{"retries": 3, "timeout": 30} | how) > 0
+    return land(url, path, skip_download, **how)

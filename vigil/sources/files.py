@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import parse_date
 from ..functions.text import normalize_text
+from ..packaging import ship
 from ..schemas import LEGAL, NATURAL
 from .xml_lists import _raw
 
@@ -37,6 +38,7 @@ TABLE_HEADERS = {
     "name": ["FIRM", "NAME", "EMPRESA"], "country": ["COUNTRY", "PAIS"], "from": ["FROM", "DESDE", "START"], "to": ["TO", "UNTIL", "HASTA", "END"], "grounds": ["GROUND", "REASON", "BASIS"],
 }
 INDEFINITE = ["indefinite", "indefinido"]
+DIV_TABLE = "table|grid|list"
 NEXT_PAGE = r"next|siguiente|›|»"
 
 
@@ -83,49 +85,65 @@ def first_member(content: bytes) -> bytes:
         return b""
 
 
+class _Area:
+    """The rows of the first element of a kind: a table, or a div that is laid out like one."""
+
+    def __init__(self):
+        self.rows: list[list[str]] = []
+        self.depth, self.seen, self.done = 0, False, False
+        self.cell: list[str] | None = None
+
+    def close_cell(self):
+        if self.cell is not None and self.rows:
+            self.rows[-1].append("".join(x.strip() for x in self.cell))
+        self.cell = None
+
+
 class _Tables(HTMLParser):
-    """Cells of the first table, row by row, and whether the page links to a next one."""
+    """Cells of the first table or, in a page without any, of the first div whose class names one, and whether the page
+    links to a next one."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.rows: list[list[str]] = []
-        self.depth, self.done, self.next = 0, False, False
-        self._cell: list[str] | None = None
+        self.areas = {"table": _Area(), "div": _Area()}
+        self.next = False
         self._link: list[str] | None = None
 
+    @property
+    def rows(self) -> list[list[str]]:
+        return self.areas["table" if self.areas["table"].seen else "div"].rows
+
     def handle_starttag(self, tag, attrs):
         marks = dict(attrs).get("class") or ""
         if re.search("next|pagination", marks, re.I):
             self.next = True
         if tag == "a":
             self._link = []
-        if tag == "table" and not self.done:
-            self.depth += 1
-        elif self.depth and tag == "tr":
-            self.close_cell()
-            self.rows.append([])
-        elif self.depth and tag in ("td", "th"):
-            self.close_cell()
-            self._cell = []
-
-    def close_cell(self):
-        if self._cell is not None and self.rows:
-            self.rows[-1].append("".join(x.strip() for x in self._cell))
-        self._cell = None
+        for kind, area in self.areas.items():
+            if tag == kind and not area.done and (area.depth or kind == "table" or re.search(DIV_TABLE, marks, re.I)):
+                area.depth, area.seen = area.depth + 1, True
+            elif area.depth and tag == "tr":
+                area.close_cell()
+                area.rows.append([])
+            elif area.depth and tag in ("td", "th"):
+                area.close_cell()
+                area.cell = []
 
     def handle_endtag(self, tag):
         if tag == "a" and self._link is not None:
             self.next = self.next or bool(re.search(NEXT_PAGE, "".join(self._link), re.I))
             self._link = None
-        if self.depth and tag in ("td", "th", "tr", "table"):
-            self.close_cell()
-            if tag == "table":
-                self.depth -= 1
-                self.done = not self.depth
+        for kind, area in self.areas.items():
+            if area.depth and tag in ("td", "th", "tr", kind):
+                area.close_cell()
+                if tag == kind:
+                    area.depth -= 1
+                    area.done = not area.depth
 
     def handle_data(self, data):
-        if self._cell is not None:
-            self._cell.append(data)
+        for area in self.areas.values():
+            if area.cell is not None:
+                area.cell.append(data)
         if self._link is not None:
             self._link.append(data)
 
@@ -155,12 +173,16 @@ def _parsed(df: DataFrame, parse: Callable[[bytes], list[dict]], fields: list[st
             for path, content in zip(frame["path"], frame["content"]):
                 yield pd.DataFrame([{"file": path} | r for r in parse(content)], columns=["file", "row", *fields])
 
+    ship(df.sparkSession)
     return df.select("path", "content").mapInPandas(run, "file string, row long, " + ", ".join(f"`{f}` string" for f in fields))
 
 
 def read_delimited(spark: SparkSession, path: str, source: str, zipped: bool = False) -> DataFrame:
-    """Person sanctions from delimited files; zipped: each file is an archive with one."""
-    files = spark.read.format("binaryFile").load(path)
+    return delimited(spark.read.format("binaryFile").load(path), source, zipped)
+
+
+def delimited(files: DataFrame, source: str, zipped: bool = False) -> DataFrame:
+    """Person sanctions from delimited files (path, content); zipped: each file is an archive with one."""
     x = _parsed(files, (lambda c: csv_rows(first_member(c))) if zipped else csv_rows, list(HEADERS)).where("nombres <> '' OR cedula <> ''")
     given = lambda c: F.nullif(F.col(c), F.lit(""))
     return _raw(

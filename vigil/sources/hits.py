@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -49,6 +51,17 @@ def read_hits(spark: SparkSession, path: str, multi_line: bool = True) -> DataFr
     )
 
 
+def more_pages(body: bytes, page: int, size: int) -> bool:
+    """Whether pages follow page `page` (from 0) of `size` hits: it has hits, and announces more than came so far."""
+    try:
+        hits = json.loads(body).get("hits") or {}
+    except (ValueError, AttributeError):
+        return False
+    total = hits.get("total") or 0
+    total = total.get("value") or 0 if isinstance(total, dict) else int(total)
+    return bool(hits.get("hits")) and (page + 1) * size < total
+
+
 def total_hits(spark: SparkSession, path: str) -> DataFrame:
     """The number of hits each page announces, as a number or as {"value": number}: (file, total, n_hits)."""
     pages = spark.read.option("multiLine", True).schema(PAGE).json(path)

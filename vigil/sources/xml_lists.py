@@ -107,7 +107,13 @@ def read_un(spark: SparkSession, path: str) -> DataFrame:
     return persons.unionByName(entities)
 
 
-def read_eu(spark: SparkSession, path: str, tag: str = "sanctionEntity") -> DataFrame:
+#: Row tags of the list, tried in this order.
+EU_TAGS = ("sanctionEntity", "entity", "Entity")
+
+
+def read_eu(spark: SparkSession, path: str, tags: tuple[str, ...] = EU_TAGS) -> DataFrame:
+    """The entries under the first row tag that the file has."""
+    tag = next((t for t in tags if not _read(spark, path, t, EU).isEmpty()), tags[0])
     x = _read(spark, path, tag, EU)
     natural = F.contains(F.lower(F.coalesce(first_of(F.col("subjectType._code"), F.col("subjectType._classificationCode")), F.lit(""))), F.lit("person"))
     whole = lambda a: first_of(a["_wholeName"], a["_lastName"], a["_firstName"])

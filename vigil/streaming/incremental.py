@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -12,29 +14,35 @@ from ..schemas import SANCTION, STATE
 
 
 def merge_and_screen(batch: DataFrame, state: SnapshotTable, parties: DataFrame, alerts_path: str, run_id: str, run_ts: str, settings: Settings = Settings(), delete_missing: bool = False) -> int:
-    """Merges a batch (with seq) into the state and appends the alerts of new and modified entries; the number of those."""
+    """Merges a batch (with seq) into the state and writes the alerts of new and modified entries; the number of those.
+
+    The alerts are a partition run_id=... of alerts_path, and are written before the state is published. So a run that
+    is repeated under its run_id after a failure writes the same alerts over those of the first try or, if the state was
+    published too, finds nothing changed and leaves them. run_id must be the same for a repeat, and no other batch's.
+    """
     before = state.read(STATE)
-    after = upsert(batch, before, delete_missing=delete_missing)
-    state.commit(after, ["fuente"])
-    now = state.read(STATE)
+    version = (state.versions() or [0])[-1] + 1
+    draft = state.stage(upsert(batch, before, delete_missing=delete_missing), ["fuente"])
     known = before.select("id_registro", F.col("hash_contenido").alias("__hash"), F.lit(True).alias("__known"))
-    changed = now.where(F.col("estado_carga").isin(NEW, MODIFIED)).join(known, "id_registro", "left").where(F.col("__known").isNull() | ~F.col("hash_contenido").eqNullSafe(F.col("__hash"))).drop("__hash", "__known")
+    changed = state.staged(draft).where(F.col("estado_carga").isin(NEW, MODIFIED)).join(known, "id_registro", "left").where(F.col("__known").isNull() | ~F.col("hash_contenido").eqNullSafe(F.col("__hash"))).drop("__hash", "__known")
     n = changed.count()
     if n:
-        screen(parties, changed, settings, run_ts).withColumn("run_id", F.lit(run_id)).write.mode("append").parquet(alerts_path)
+        screen(parties, changed, settings, run_ts).write.mode("overwrite").parquet(f"{alerts_path}/run_id={run_id}")
+    state.publish(draft, version)
     return n
 
 
 def start(spark: SparkSession, landing: str, state_root: str, parties: DataFrame, alerts_path: str, checkpoint: str, run_ts: str, settings: Settings = Settings()) -> StreamingQuery:
     """A file stream over Parquet files of canonical records (with seq) that takes all there is and stops.
 
-    Files seen before are not read again, and a batch that was merged before a failure finds itself unchanged.
+    Files seen before are not read again. A batch keeps its number when it is repeated after a failure, so its alerts
+    are written once; batches of other checkpoint folders have other run ids.
     """
     stream = spark.readStream.schema(SANCTION + ", seq long").parquet(landing)
-    state = SnapshotTable(spark, state_root)
+    state, name = SnapshotTable(spark, state_root), hashlib.sha256(checkpoint.rstrip("/").encode()).hexdigest()[:12]
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        merge_and_screen(batch.persist(), state, parties, alerts_path, f"batch-{batch_id}", run_ts, settings)
+        merge_and_screen(batch.persist(), state, parties, alerts_path, f"{name}-{batch_id}", run_ts, settings)
         batch.unpersist()
 
     return stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

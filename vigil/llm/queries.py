@@ -143,6 +143,21 @@ def _op7_sql(risk: float = 0.05, delta: float = 0.05) -> str:
 ORACLE["op7_quality_rules"] = _op7_sql()
 
 
+# All pairs of different texts that share a shingle, counted exactly.
+ORACLE["op9_ngram_jaccard_join"] = r"""
+    WITH RECURSIVE t AS (SELECT coalesce(text, '') AS x, count(*) AS copies, min(doc_id) AS first_id FROM documents GROUP BY 1),
+    w AS (SELECT *, regexp_extract_all(lower(x), '[a-z0-9\x{80}-\x{10FFFF}]+') AS w FROM t),
+    s AS (SELECT first_id, copies, unnest(list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+                 ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END)) AS g FROM w),
+    n AS (SELECT first_id, any_value(copies) AS copies, count(*) AS n FROM s GROUP BY 1),
+    p AS (SELECT a.first_id AS a, b.first_id AS b, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.first_id < b.first_id GROUP BY ALL),
+    e AS (SELECT a, b FROM p JOIN n x ON x.first_id = a JOIN n y ON y.first_id = b WHERE 10 * c >= 8 * (x.n + y.n - c)),
+    pairs AS (SELECT a, b FROM e UNION ALL SELECT b, a FROM e),
+    reach(a, r) AS (SELECT first_id, first_id FROM t UNION SELECT pairs.b, reach.r FROM reach JOIN pairs ON pairs.a = reach.a),
+    root AS (SELECT a AS first_id, min(r) AS cluster_id FROM reach GROUP BY 1),
+    l AS (SELECT a AS first_id, sum(n.copies) AS links FROM pairs JOIN n ON n.first_id = pairs.b GROUP BY 1)
+    SELECT doc_id, cluster_id, (coalesce(links, 0) + copies - 1)::BIGINT AS n_links, copies FROM documents JOIN t ON t.x = coalesce(text, '') JOIN root USING (first_id) LEFT JOIN l USING (first_id)
+"""
 # One row a slot and source that has blocks left; `hit` marks the released block of the earliest deadline.
 ORACLE["op10_mix_sources"] = """
     WITH RECURSIVE n AS (

@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vigil.llm.common import fresh_path, table
+from vigil.llm.common import drop_table, fresh_path, table, tables_since
 from vigil.llm.exact_dedup import drop_exact
 from vigil.llm.mixing import mixed_order
 from vigil.llm.ngram_join import drop_near
@@ -53,9 +53,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """The last stage's rows. A stage's intermediate tables, and the input it read, go when its output is written."""
+    docs, old = table(spark, sf_dir, "documents"), []
     for name, stage in STAGES:
-        path = fresh_path(spark, name.replace(" ", "-"))
+        n, path = len(tables_since(spark)), fresh_path(spark, name.replace(" ", "-"))
         stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        for done in [*old, *tables_since(spark, n)]:
+            drop_table(spark, done)
+        docs, old = spark.read.parquet(path), [path]
     return docs

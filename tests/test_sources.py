@@ -7,8 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from vigil.operators.cdc import SnapshotTable
-from vigil.operators.synthetic import portfolio
-from vigil.plans.run import main, run
+from vigil.plans.run import main, run, synthetic_parties
 from vigil.schemas import SOURCES, STATE
 from vigil.sources import files
 from vigil.sources.canonical import canonical
@@ -145,7 +144,11 @@ def test_whole_run(spark, tmp_path):
     assert again["total_alertas"] == first["total_alertas"]
     logs = {(r.fuente, r.registros_nuevos) for r in spark.read.parquet(f"{root}/ingestion_log").collect()}
     assert logs == {("OFAC", 2), ("OFAC", 0), ("UN", 2), ("UN", 0)}
-    assert json.load(open(f"{root}/reports/matching.json"))["total_terceros"] == 300
+    report = json.load(open(f"{root}/reports/matching.json"))
+    assert report["total_terceros"] == 300 and report["index"]["initials"] >= 2
+    checks = json.load(open(f"{root}/reports/quality.json"))
+    assert len(checks["rules"]) == 8 and checks["total_errors"] == sum(r["error_count"] for r in checks["rules"])
+    assert next(r for r in checks["rules"] if r["rule"] == "alerta_referencias_validas")["passed"]
     assert SnapshotTable(spark, f"{root}/state").read(STATE).count() == 4
 
 
@@ -236,29 +239,30 @@ def test_landing_every_source(tmp_path):
     assert all(land_source(name, str(tmp_path), skip_download=True, opener=opener) for name in SOURCES) and len(asked) == n
 
 
-def test_main_downloads_and_uses_the_portfolio_again(spark, tmp_path, monkeypatch):
-    landed, root = [], str(tmp_path / "root")
-
-    def download(name, folder, skip):
-        landed.append((name, skip))
-        put(tmp_path, name, SDN)
-        return True
+def test_main_downloads_and_runs(spark, tmp_path, monkeypatch):
+    landed, ran = [], []
 
     class Kept:
         appName = config = lambda self, *a: self
         getOrCreate = lambda self: spark
 
     monkeypatch.setattr("vigil.plans.run.SparkSession", type("S", (), {"builder": Kept()}))
-    monkeypatch.setattr("vigil.plans.run.portfolio", lambda s, total, planted, real=portfolio: real(s, 200, 40))
-    arguments = ["--landing", str(tmp_path), "--root", root, "--sources", "OFAC,NOPE"]
-    assert main(arguments, download) == 0 and landed == [("OFAC", False)]
-    made = spark.read.parquet(f"{root}/planted").collect()
-    monkeypatch.setattr("vigil.plans.run.portfolio", lambda *a: 1 / 0)
-    assert main([*arguments, "--skip-download"], download) == 0 and landed[-1] == ("OFAC", True)
-    assert len(made) == 40 and spark.read.parquet(f"{root}/portfolio").count() == 200
-    report = json.load(open(f"{root}/reports/quality.json"))
-    rule = next(r for r in report["rules"] if r["rule"] == "alerta_referencias_validas")
-    assert rule["passed"] and len(report["rules"]) == 8 and report["total_errors"] == sum(r["error_count"] for r in report["rules"])
-    assert json.load(open(f"{root}/reports/matching.json"))["index"]["initials"] >= 1
+    monkeypatch.setattr("vigil.plans.run.run", lambda *a, **how: ran.append((a, how)))
+    arguments = ["--landing", str(tmp_path), "--root", str(tmp_path / "root"), "--sources", "OFAC,NOPE,EU"]
+    download = lambda name, folder, skip: landed.append((name, skip))
+    assert main(arguments, download) == 0 and landed == [("OFAC", False), ("EU", False)]
+    assert main([*arguments, "--skip-download"], download) == 0 and landed[2:] == [("OFAC", True), ("EU", True)]
+    assert main([*arguments, "--only-matching"], download) == 0 and len(landed) == 4
+    assert [(set(a[1]), how["reuse_portfolio"], how["only_matching"]) for a, how in ran] == [({"OFAC", "EU"}, False, False), ({"OFAC", "EU"}, True, False), ({"OFAC", "EU"}, False, True)]
     with pytest.raises(SystemExit):
         main([*arguments, "--env", "nowhere"], download)
+
+
+def test_portfolio_is_saved_and_used_again(spark, tmp_path, monkeypatch):
+    sanctions = canonical(read_sdn(spark, put(tmp_path, "sdn.xml", SDN)), TS)
+    first = synthetic_parties(spark, sanctions, str(tmp_path), 100, 20, reuse=True)
+    assert first.count() == 100 and spark.read.parquet(str(tmp_path / "planted")).count() == 20
+    monkeypatch.setattr("vigil.plans.run.portfolio", lambda *a: 1 / 0)
+    assert synthetic_parties(spark, sanctions, str(tmp_path), 100, 20, reuse=True).exceptAll(first).count() == 0
+    with pytest.raises(ZeroDivisionError):
+        synthetic_parties(spark, sanctions, str(tmp_path), 100, 20, reuse=False)

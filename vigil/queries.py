@@ -17,7 +17,7 @@ from .functions.countries import COUNTRIES, normalize_countries, normalize_count
 from .functions.dates import parse_date
 from .functions.hashing import content_hash, record_id
 from .functions.similarity import bound_columns, could_reach, name_similarity_expr, name_similarity_udf
-from .functions.text import clean_document, match_name, normalize_text
+from .functions.text import match_name, normalize_text
 from .operators import monitoring, quality
 from .operators.cdc import COUNTS, change_counts, keep_last, merge, upsert
 from .operators.screening import Settings, alert_counts, evaluate, index_sizes, score_summary, screen

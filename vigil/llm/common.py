@@ -8,6 +8,8 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..packaging import ship  # noqa: F401
+
 #: A side is broadcast only if it has at most this many (narrow) rows; beyond it the join shuffles.
 BROADCAST_ROWS = 100_000
 #: Words of 64 bits of a broadcast filter at most, and keys that such a filter still tells apart well (4 bits set for each).
@@ -216,23 +218,3 @@ def connected(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
             break
         before = after
     return e.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(e.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
-
-
-def ship(spark: SparkSession) -> None:
-    """Sends this package to the executors' Python, once a session; they need no installed copy."""
-    import os
-    import zipfile
-
-    context = spark.sparkContext
-    if getattr(context, "_vigil_shipped", False):
-        return
-    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    to = os.path.join(tempfile.mkdtemp(prefix="vigil-ship-"), "vigil_package.zip")
-    with zipfile.ZipFile(to, "w") as z:
-        for folder, _, names in os.walk(root):
-            for name in names:
-                if name.endswith(".py"):
-                    path = os.path.join(folder, name)
-                    z.write(path, os.path.join("vigil", os.path.relpath(path, root)))
-    context.addPyFile(to)
-    context._vigil_shipped = True

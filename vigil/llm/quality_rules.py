@@ -1,11 +1,13 @@
 """Quality rules whose cutoffs are chosen with a bound on false rejection, in DataFrame functions only.
 
-A row is measured on its own (no shuffle): word and line counts, and the words in 8-word windows that occur twice.
+A row is measured on its own (no shuffle): word and line counts, and the words in 8-word windows that occur twice
+(windows are compared by 64-bit hashes, which differ for different windows of a text but for chance below 1e-9).
 Each rule is a ratio of two counts in thousandths. For each stratum and rule, the labelled rows are counted over a
 fixed ladder of cutoffs, loosest first. A cutoff is valid if the exact binomial probability of as few rejected good
 rows, were the true false-rejection rate `risk / rules`, is at most `delta / (strata * rules)` (Bonferroni over strata
 and rules), and all looser cutoffs are valid too (fixed-sequence testing, so the ladder needs no further correction).
-So with confidence 1 - delta, in every stratum all rules together reject at most a share `risk` of good rows. Of the
+So with confidence 1 - delta, in every stratum all rules together reject at most a share `risk` of the good rows that
+pass the base; the base is fixed, and what it rejects is outside the bound. Of the
 valid cutoffs, the one that separates bad from good rows best is taken, the loosest among equals; a rule without a
 valid cutoff rejects nothing in that stratum.
 

@@ -2,7 +2,7 @@
 
 A sentence's probability is logistic in its words and their stems, a document's is the noisy-or of its sentences, and both are trained
 from document labels alone. The fit reads a bounded sample of the labelled rows (max_fit, those with the smallest hash
-of the id); features enter the model if their document frequencies in the two classes differ by more than least_z standard
+of the id, so the driver holds the known features of at most max_fit whole texts); features enter the model if their document frequencies in the two classes differ by more than least_z standard
 errors. Scoring reads every whole text once, without a shuffle, and names the worst sentence.
 
 Defined cases: null text counts as empty, and a text without sentences scores 0; a null id is never held out; labels

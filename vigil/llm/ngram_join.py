@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_ROWS, attach_groups, checked, connected, ship, written
+from .common import attach_groups, checked, connected, holding, lacking, ship, written
 from .exact_dedup import content_hash, without
 from .words import chunks, constants, shingles, word_hashes
 
@@ -40,7 +40,7 @@ STEPS = (16, 32, 64, 128)
 #: two texts can have which are both within 0.8 of a third.
 STAR_LEAST = 46
 #: Texts and shingles of a block of a component; a task holds two blocks.
-BLOCK_TEXTS, BLOCK_SHINGLES = 512, 1_000_000
+BLOCK_TEXTS, BLOCK_SHINGLES = 512, 500_000
 
 
 def min_hashes(flat: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -177,29 +177,31 @@ def ngram_join(docs: DataFrame, words: int = 5, threshold: float = 0.8, toleranc
     rows = written(source.select("doc_id", "node"), "join-rows")
     classes = written(rows.groupBy("node").agg(F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("first_id")), "join-classes")
     n_rows, n_classes = rows.count(), classes.count()
-    # One row of each class is sketched. Copies may be sketched again if they are many: the sketches are the same.
-    if n_rows - n_classes <= BROADCAST_ROWS:
-        again = attach_groups(rows, classes.where("copies > 1"), "node", "copies", n_rows).where(~F.col("doc_id").eqNullSafe(F.col("first_id"))).select("node", "doc_id").distinct()
-        same = F.col("s.node").eqNullSafe(F.col("g.node")) & F.col("s.doc_id").eqNullSafe(F.col("g.doc_id"))
-        first = source.alias("s").join(F.broadcast(again.alias("g")), same, "left_anti")
-    else:
-        first = source
+    # One row of each class is sketched; a few copies may be again, with the same sketch.
+    again = attach_groups(rows, classes.where("copies > 1"), "node", "copies", n_rows).where(~F.col("doc_id").eqNullSafe(F.col("first_id"))).select("node", "doc_id").distinct()
+    first = lacking(source, rows, written(again, "join-copies"))
     sketches = first.select("node", "text").mapInArrow(_sketch(words), "node binary, n long, `values` array<int>")
     sketches = written(sketches, "join-sketches")
     band = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda i: F.xxhash64(i, F.slice("values", i * ROWS + 1, ROWS)))
     members = sketches.select("node", F.explode(band).alias("bucket"))
-    stars = members.groupBy("bucket").agg(F.min("node").alias("center"), F.max("node").alias("other")).where("center <> other").select("bucket", "center")
+    stars = members.groupBy("bucket").agg(F.min("node").alias("center"), F.max("node").alias("other"), F.count(F.lit(1)).alias("members")).where("center <> other").select("bucket", "center", "members")
     stars = written(stars, "join-stars")
-    links = written(members.join(stars, "bucket").where("node <> center").select("node", "center").distinct(), "join-links")
+    # A bucket may hold a third of all texts, and be so in every band: such buckets, BANDS / HOT_SHARE at most, are broadcast.
+    links = attach_groups(members, stars, "bucket", "members", n_classes).where("node <> center").select("node", "center")
+    links = written(links.distinct(), "join-links")
     ends = links.select("node").unionByName(links.select(F.col("center").alias("node"))).distinct()
-    ends = sketches.join(checked(ends), "node", "left_semi").dropDuplicates(["node"])
-    both = links.join(ends.select("node", F.col("values").alias("__a")), "node").join(ends.select(F.col("node").alias("center"), "values"), "center")
+    ends = written(sketches.join(checked(ends), "node", "left_semi").dropDuplicates(["node"]), "join-ends")
+    of_node = written(links.join(ends.select("node", F.col("values").alias("__a")), "node"), "join-sketched-links")
+    n_links = links.groupBy("center").agg(F.count(F.lit(1)).alias("links"))
+    of_center = written(n_links.join(ends.select(F.col("node").alias("center"), "values"), "center"), "join-centers")
+    both = attach_groups(of_node, of_center, "center", "links", links.count())
     agreeing = F.size(F.filter(F.zip_with("__a", "values", lambda x, y: x == y), lambda x: x))
     coarse = connected(both.where(agreeing >= STAR_LEAST).select(F.col("node").alias("a"), F.col("center").alias("b")))
     parts = written(coarse.join(ends.select("node", "n"), "node").join(classes, "node"), "join-parts")
-    size = parts.groupBy("root").agg(F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_TEXTS), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
+    size = parts.groupBy("root").agg(F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_TEXTS), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks"), F.count(F.lit(1)).alias("texts"))
+    size = written(size, "join-sizes")
     block = F.pmod(F.xxhash64(F.lit(5), "node"), F.col("blocks")).cast("int").alias("block")
-    blocked = written(parts.join(size, "root").select(F.col("node").alias("__node"), "copies", "first_id", "root", "blocks", block), "join-blocked")
+    blocked = written(attach_groups(parts, size, "root", "texts", parts.count()).select(F.col("node").alias("__node"), "copies", "first_id", "root", "blocks", block), "join-blocked")
     # The row that names the class brings its text, and goes to a tile for each block of its component.
     named = (F.col("node") == F.col("__node")) & F.col("doc_id").eqNullSafe(F.col("first_id"))
     tiles = source.join(checked(blocked), named).select("node", "text", "copies", "root", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("with"))
@@ -209,9 +211,10 @@ def ngram_join(docs: DataFrame, words: int = 5, threshold: float = 0.8, toleranc
     )
     found = tiles.groupBy("root", "i", "j").applyInPandas(_verify(words, threshold, tolerance), "node binary, root binary, links long")
     found = written(found, "join-found")
-    clusters = connected(found.select(F.col("node").alias("a"), F.col("root").alias("b")))
-    named = clusters.join(classes.select("node", "first_id"), "node").groupBy("root").agg(F.min("first_id").alias("cluster_id"))
-    near = clusters.join(named, "root").select("node", "cluster_id").join(found.groupBy("node").agg(F.sum("links").alias("links")), "node")
+    clusters = written(connected(found.select(F.col("node").alias("a"), F.col("root").alias("b"))), "join-clusters")
+    named = clusters.join(classes.select("node", "first_id"), "node").groupBy("root").agg(F.min("first_id").alias("cluster_id"), F.count(F.lit(1)).alias("texts"))
+    named = attach_groups(clusters, written(named, "join-named"), "root", "texts", n_classes).select("node", "cluster_id")
+    near = named.join(found.groupBy("node").agg(F.sum("links").alias("links")), "node")
     full = classes.join(near, "node", "left").select(
         "node", "copies", F.coalesce("cluster_id", "first_id").alias("cluster_id"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")
     )

@@ -204,7 +204,8 @@ def ngram_join(docs: DataFrame, words: int = 5, threshold: float = 0.8, toleranc
     blocked = written(attach_groups(parts, size, "root", "texts", parts.count()).select(F.col("node").alias("__node"), "copies", "first_id", "root", "blocks", block), "join-blocked")
     # The row that names the class brings its text, and goes to a tile for each block of its component.
     named = (F.col("node") == F.col("__node")) & F.col("doc_id").eqNullSafe(F.col("first_id"))
-    tiles = source.join(checked(blocked), named).select("node", "text", "copies", "root", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("with"))
+    texts = holding(source, blocked.select(F.col("__node").alias("node"), F.col("first_id").alias("doc_id")))
+    tiles = texts.join(checked(blocked), named).select("node", "text", "copies", "root", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("with"))
     tiles = tiles.select(
         "root", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"), "node", "text", "copies",
         F.when(F.col("block") > F.col("with"), 1).otherwise(0).alias("side"),

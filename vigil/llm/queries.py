@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from . import lm_scoring
 from .common import fresh_path, table
 from .exact_dedup import exact_groups
+from .fill_middle import fill_middle, restored
 from .mixing import mix
 from .ngram_join import ngram_join
 from .packing import pack
@@ -84,6 +85,12 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents"), MIX_WEIGHTS, other=1.0)
 
 
+def op11_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = fill_middle(table(spark, sf_dir, "documents"), seed=42, fim_percent=50, spm_percent=80)
+    again = F.sha2(restored(F.col("output"), F.col("form")), 256)
+    return out.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"), again.alias("restored_sha256"))
+
+
 ORACLE: dict[str, str] = {
     "op1_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
@@ -178,8 +185,25 @@ ORACLE["op10_mix_sources"] = """
 """
 
 
+# Cuts by character: a unit ends where white space follows something else, and at the end of the text.
+ORACLE["op11_fill_middle"] = r"""
+    WITH t AS (SELECT doc_id, coalesce(text, '') AS x, sha256('42:' || doc_id) AS hex FROM documents),
+    h AS (SELECT *, ('0x' || hex[1:8])::BIGINT AS h1, ('0x' || hex[9:16])::BIGINT AS h2, ('0x' || hex[17:24])::BIGINT AS h3, ('0x' || hex[25:32])::BIGINT AS h4,
+                 string_split(regexp_replace(x, '([^\x20\x09-\x0D])([\x20\x09-\x0D])', '\1' || chr(0) || '\2', 'g'), chr(0)) AS u FROM t),
+    n AS (SELECT *, CASE WHEN x = '' THEN 0 ELSE len(u) END AS n FROM h),
+    c AS (SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS c1, greatest(h1 % (n + 1), h2 % (n + 1)) AS c2,
+                 CASE WHEN x = '' OR regexp_matches(x, '<[PSM]>') OR h3 % 100 >= 50 THEN 'plain' WHEN h4 % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM n),
+    p AS (SELECT *, len(array_to_string(u[:c1], '')) AS k1, len(array_to_string(u[:c2], '')) AS k2 FROM c)
+    SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN k1 END AS prefix_chars, CASE WHEN form <> 'plain' THEN k2 - k1 END AS middle_chars,
+           sha256(CASE form WHEN 'plain' THEN x WHEN 'psm' THEN '<P>' || substr(x, 1, k1) || '<S>' || substr(x, k2 + 1) || '<M>' || substr(x, k1 + 1, k2 - k1)
+                            ELSE '<S>' || substr(x, k2 + 1) || '<P>' || substr(x, 1, k1) || '<M>' || substr(x, k1 + 1, k2 - k1) END) AS output_sha256,
+           sha256(x) AS restored_sha256
+    FROM p
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_exact_dedup, op2_substring_dedup, op3_best_fit_packing, op4_token_counts, op5_lm_scoring, op6_sharding, op7_quality_rules, op8_toxicity, op9_ngram_jaccard_join, op10_mix_sources)}
+    return {f.__name__: f for f in (op1_exact_dedup, op2_substring_dedup, op3_best_fit_packing, op4_token_counts, op5_lm_scoring, op6_sharding, op7_quality_rules, op8_toxicity, op9_ngram_jaccard_join, op10_mix_sources, op11_fill_middle)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -12,6 +12,7 @@ from .common import fresh_path, table
 from .exact_dedup import exact_groups
 from .fill_middle import fill_middle, restored
 from .mixing import mix
+from .nearest import nearest
 from .ngram_join import ngram_join
 from .packing import pack
 from .quality_rules import judge
@@ -91,6 +92,11 @@ def op11_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"), again.alias("restored_sha256"))
 
 
+def op12_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base = table(spark, sf_dir, "embeddings")
+    return nearest(base, base.where("vec_id % 20 = 0"), k=20)
+
+
 ORACLE: dict[str, str] = {
     "op1_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
@@ -203,7 +209,7 @@ ORACLE["op11_fill_middle"] = r"""
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_exact_dedup, op2_substring_dedup, op3_best_fit_packing, op4_token_counts, op5_lm_scoring, op6_sharding, op7_quality_rules, op8_toxicity, op9_ngram_jaccard_join, op10_mix_sources, op11_fill_middle)}
+    return {f.__name__: f for f in (op1_exact_dedup, op2_substring_dedup, op3_best_fit_packing, op4_token_counts, op5_lm_scoring, op6_sharding, op7_quality_rules, op8_toxicity, op9_ngram_jaccard_join, op10_mix_sources, op11_fill_middle, op12_nearest_neighbours)}
 
 
 def oracle_sql() -> dict[str, str]:

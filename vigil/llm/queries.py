@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from . import lm_scoring
 from .common import fresh_path, table
+from .cross_align import align
 from .exact_dedup import exact_groups
 from .fill_middle import fill_middle, restored
 from .mixing import mix
@@ -97,6 +98,14 @@ def op12_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(base, base.where("vec_id % 20 = 0"), k=20)
 
 
+def op13_cross_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    out = align(table(spark, sf_dir, "documents"), tokenizer_path(), public_tokenizers.path("piece_bpe_32k.model"))
+    digest = F.when(F.col("groups") == "", F.lit("")).otherwise(F.sha2("groups", 256))
+    return out.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", digest.alias("groups_sha256"))
+
+
 ORACLE: dict[str, str] = {
     "op1_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
@@ -209,7 +218,7 @@ ORACLE["op11_fill_middle"] = r"""
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_exact_dedup, op2_substring_dedup, op3_best_fit_packing, op4_token_counts, op5_lm_scoring, op6_sharding, op7_quality_rules, op8_toxicity, op9_ngram_jaccard_join, op10_mix_sources, op11_fill_middle, op12_nearest_neighbours)}
+    return {f.__name__: f for f in (op1_exact_dedup, op2_substring_dedup, op3_best_fit_packing, op4_token_counts, op5_lm_scoring, op6_sharding, op7_quality_rules, op8_toxicity, op9_ngram_jaccard_join, op10_mix_sources, op11_fill_middle, op12_nearest_neighbours, op13_cross_alignment)}
 
 
 def oracle_sql() -> dict[str, str]:

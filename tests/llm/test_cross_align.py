@@ -1,5 +1,6 @@
 import random
 from collections import Counter, defaultdict
+from functools import cache
 
 import pytest
 from helpers import SCHEMA, rows_of, sentence
@@ -15,13 +16,19 @@ def paths():
     return public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
 
 
-def whole_ids(text, paths):
-    """Whole texts by the libraries themselves, with the bytes of each token."""
+@cache
+def libraries(paths):
     import sentencepiece
     from tokenizers import Tokenizer
 
     a, b = Tokenizer.from_file(paths[0]), sentencepiece.SentencePieceProcessor(model_file=paths[1])
     a.encode_special_tokens = True
+    return a, b
+
+
+def whole_ids(text, paths):
+    """Whole texts by the libraries themselves, with the bytes of each token."""
+    a, b = libraries(paths)
     ids_a, ids_b = a.encode(" " + text, add_special_tokens=False).ids, b.encode(text)
     return ids_a, [byte_level(paths[0])[1][i] for i in ids_a], ids_b, [pieces(paths[1])[1][i] for i in ids_b]
 
@@ -48,7 +55,8 @@ def brute(rows, paths):
                         by[g][side].append(token)
                         g += end in shared
                 groups = [by[g] for g in sorted(by)]
-                links = [(x, y) for x, e in zip(ids_a, ends[0]) for y in [dict(zip(ends[1], ids_b)).get(e)] if y is not None] if len(ids_a) < 500 else [(g[0][-1], g[1][-1]) for g in groups]
+                other = dict(zip(ends[1], ids_b))
+                links = [(x, other[e]) for x, e in zip(ids_a, ends[0]) if e in other]
         seen.append((i, groups, links))
         counts.update(links)
     most = defaultdict(int)

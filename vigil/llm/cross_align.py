@@ -24,6 +24,7 @@ empty result; other columns of the input are ignored.
 
 from __future__ import annotations
 
+import gc
 import json
 from collections.abc import Callable, Iterator
 from functools import cache
@@ -34,7 +35,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import ship, written
+from .common import drop_table, kept, ship, written
 from .encoding import _byte_letters, _ranks
 
 #: B's space. Texts that hold it have no tokens, so it also serves to mark borders.
@@ -42,7 +43,7 @@ SPACE = "▁"
 #: A border: a single space between visible ASCII characters, letters or digits.
 BORDER = r"(?<=[!-~\p{L}\p{N}]) (?=[!-~\p{L}\p{N}])"
 #: A block holds at most BLOCK_ROWS texts of BLOCK_TEXT bytes, or half as many of twice the size, and so on.
-BLOCK_ROWS, BLOCK_TEXT = 8192, 8192
+BLOCK_ROWS, BLOCK_TEXT = 8192, 16384
 #: Segments that are put together at once.
 AT_ONCE = 500_000
 
@@ -101,8 +102,8 @@ def _ids(encoded: list[list[int]]) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.fromiter((i for x in encoded for i in x), np.int32, ends[-1])))
 
 
-def _encoded(segments: DataFrame, a_path: str, b_path: str) -> DataFrame:
-    """Segments (seg, n) with a and b, the ids of both tokenizers, and a number, num."""
+def _encoded(segments: DataFrame, a_path: str, b_path: str) -> tuple[DataFrame, str]:
+    """Segments (seg, n) with a and b, the ids of both tokenizers, and a number, num; the table's path."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sides = [byte_level(a_path), pieces(b_path)]
@@ -118,7 +119,7 @@ def _encoded(segments: DataFrame, a_path: str, b_path: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch["seg"], batch["n"], *columns], names=["seg", "n", "a", "b"])
 
     out = segments.mapInArrow(encode, "seg string, n long, a array<int>, b array<int>")
-    return written(out.select(F.monotonically_increasing_id().alias("num"), "*"), "segments")
+    return kept(out.select(F.monotonically_increasing_id().alias("num"), "*"), "segments")
 
 
 def _lengths(spark: SparkSession, tokens: list[list[bytes]]) -> DataFrame:
@@ -130,46 +131,50 @@ def _lengths(spark: SparkSession, tokens: list[list[bytes]]) -> DataFrame:
     return spark.createDataFrame(rows)
 
 
-def _links(encoded: DataFrame, lengths: DataFrame) -> DataFrame:
-    """For each segment (num, n) its links in order: an array of (grp, a_id, b_id, a_pos, b_pos), one for each end that both streams share."""
+def _aligned(encoded: DataFrame, lengths: DataFrame) -> DataFrame:
+    """For each segment (num, seg, n): n_a, n_b, its groups as text, and links, the pairs of tokens that end together."""
 
     def stream(column: str, side: int):
         return F.transform(column, lambda id, pos: F.struct(F.lit(side).alias("side"), pos.alias("pos"), id.alias("id")))
 
     # Dealt by segment before tokens are rows; none of what follows moves them again.
-    tokens = encoded.select("num", "n", "a", "b").repartition("num").select("num", "n", F.explode(F.concat(stream("a", 0), stream("b", 1))).alias("t")).select("num", "n", "t.*")
+    tokens = encoded.select("num", "a", "b").repartition("num").select("num", F.explode(F.concat(stream("a", 0), stream("b", 1))).alias("t")).select("num", "t.*")
     until = Window.partitionBy("num", "side").orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     ends = tokens.join(F.broadcast(lengths), ["side", "id"]).withColumn("end", F.sum("len").over(until))
     # The equi-join of the two streams on (segment, end), as one grouping: a side has one token an end.
     a, b = F.col("side") == 0, F.col("side") == 1
-    met = ends.groupBy("num", "end").agg(
-        F.max(F.when(a, F.col("id"))).alias("a_id"), F.max(F.when(b, F.col("id"))).alias("b_id"), F.max(F.when(a, F.col("pos"))).alias("a_pos"), F.max(F.when(b, F.col("pos"))).alias("b_pos"), F.max("n").alias("n"),
-    ).where("a_id IS NOT NULL AND b_id IS NOT NULL")
+    met = ends.groupBy("num", "end").agg(*[F.max(F.when(side, F.col(c))).alias(f"{name}_{c}") for name, side in (("a", a), ("b", b)) for c in ("id", "pos")]).where("a_id IS NOT NULL AND b_id IS NOT NULL")
     cuts = met.withColumn("grp", F.row_number().over(Window.partitionBy("num").orderBy("end")) - 1)
-    return cuts.groupBy("num").agg(F.max("n").alias("n"), F.array_sort(F.collect_list(F.struct("grp", "a_id", "b_id", "a_pos", "b_pos"))).alias("links"))
+    links = cuts.groupBy("num").agg(F.array_sort(F.collect_list(F.struct("grp", "a_id", "b_id", "a_pos", "b_pos"))).alias("links"))
 
+    def part(ids: str, pos: str, link, at):
+        before = F.when(at == 0, F.lit(-1)).otherwise(F.get("links", at - 1)[pos])
+        return F.array_join(F.slice(F.col(ids), before + 2, link[pos] - before).cast("array<string>"), ",")
+
+    groups = F.array_join(F.transform("links", lambda x, i: F.concat(part("a", "a_pos", x, i), F.lit("|"), part("b", "b_pos", x, i))), ";")
+    pairs = F.transform("links", lambda x: F.shiftleft(x["a_id"].cast("long"), 32) + x["b_id"])
+    both = encoded.select("num", "seg", "n", "a", "b").repartition("num").join(links, "num")
+    return both.select("num", "seg", "n", F.size("a").alias("n_a"), F.size("b").alias("n_b"), groups.alias("groups"), pairs.alias("links"))
 
-def _pairs(links: DataFrame) -> DataFrame:
+
+def _pairs(aligned: DataFrame) -> DataFrame:
     """pair, count (links of the corpus that hold it), is_best (none of the same b has more)."""
-    pair = F.shiftleft(F.col("x.a_id").cast("long"), 32) + F.col("x.b_id")
-    counts = links.select("n", F.explode("links").alias("x")).select("n", pair.alias("pair"), F.col("x.b_id").alias("b_id")).groupBy("pair", "b_id").agg(F.sum("n").alias("count"))
-    most = F.max("count").over(Window.partitionBy("b_id"))
+    counts = aligned.select("n", F.explode("links").alias("pair")).groupBy("pair").agg(F.sum("n").alias("count"))
+    most = F.max("count").over(Window.partitionBy(F.col("pair").bitwiseAND(F.lit((1 << 32) - 1))))
     return written(counts.select("pair", "count", (F.col("count") == most).alias("is_best")), "pairs")
 
 
-def _entries(encoded: DataFrame, links: DataFrame, pairs: DataFrame) -> DataFrame:
+def _entries(aligned: DataFrame, pairs: DataFrame) -> DataFrame:
     """What a text gets from one occurrence of a segment: seg, n_a, n_b, n_groups, n_best, count_sum, groups."""
-    pair = F.shiftleft(F.col("x.a_id").cast("long"), 32) + F.col("x.b_id")
-    each = links.select("num", F.explode("links").alias("x")).select("num", pair.alias("pair")).join(F.broadcast(pairs), "pair")
-    sums = each.groupBy("num").agg(F.sum(F.col("is_best").cast("long")).alias("n_best"), F.sum("count").alias("count_sum"))
+    each = aligned.select("num", F.explode("links").alias("pair")).join(F.broadcast(pairs), "pair")
+    sums = each.groupBy("num").agg(F.count(F.lit(1)).alias("n_groups"), F.sum(F.col("is_best").cast("long")).alias("n_best"), F.sum("count").alias("count_sum"))
+    return aligned.join(sums, "num").select("seg", F.col("n_a").cast("long").alias("n_a"), F.col("n_b").cast("long").alias("n_b"), "n_groups", "n_best", "count_sum", "groups")
 
-    def part(ids: str, pos: str, link, at):
-        before = F.when(at == 0, F.lit(-1)).otherwise(F.get("links", at - 1)[pos])
-        return F.array_join(F.slice(F.col(ids), before + 2, link[pos] - before).cast("array<string>"), ",")
 
-    groups = F.array_join(F.transform("links", lambda x, i: F.concat(part("a", "a_pos", x, i), F.lit("|"), part("b", "b_pos", x, i))), ";")
-    joined = encoded.select("num", "seg", "a", "b").join(links.select("num", "links"), "num").join(sums, "num")
-    return joined.select("seg", F.size("a").cast("long").alias("n_a"), F.size("b").cast("long").alias("n_b"), F.size("links").cast("long").alias("n_groups"), "n_best", "count_sum", groups.alias("groups"))
+def _collect_garbage(spark: SparkSession) -> None:
+    """Spark removes the shuffle files of finished jobs once the driver has collected what referred to them."""
+    gc.collect()
+    spark._jvm.System.gc()
 
 
 COUNTS = ("n_a", "n_b", "n_groups", "n_best", "count_sum")
@@ -216,8 +221,13 @@ def align(docs: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id", tex
     block = F.floor(row / F.pow(F.lit(2.0), F.lit(sizes - 1) - larger)) * sizes + larger
     rows = written(docs.select(F.col(id_col).cast("long").alias("doc_id"), marked.alias("marked"), block.cast("long").alias("block")), "marked")
     needs = written(rows.select("block", F.explode(F.split("marked", SPACE)).alias("seg")).groupBy("block", "seg").agg(F.count(F.lit(1)).alias("n")), "block-segments")
-    encoded = _encoded(needs.groupBy("seg").agg(F.sum("n").alias("n")), a_path, b_path)
-    links = written(_links(encoded, _lengths(spark, [byte_level(a_path)[1], pieces(b_path)[1]])), "links")
-    entries = _entries(encoded, links, _pairs(links))
+    _collect_garbage(spark)
+    encoded, encoded_path = _encoded(needs.groupBy("seg").agg(F.sum("n").alias("n")), a_path, b_path)
+    aligned, path = kept(_aligned(encoded, _lengths(spark, [byte_level(a_path)[1], pieces(b_path)[1]])), "aligned")
+    drop_table(spark, encoded_path)
+    _collect_garbage(spark)
+    entries = written(_entries(aligned, _pairs(aligned)), "entries")
+    drop_table(spark, path)
+    _collect_garbage(spark)
     own = needs.select("block", "seg").join(entries, "seg").select("block", "seg", *COUNTS, "groups")
     return rows.groupBy("block").cogroup(own.groupBy("block")).applyInArrow(lambda texts, some: _assemble(texts, some), SCHEMA)

@@ -106,3 +106,25 @@ def test_expression_and_bound_agree_with_udf(spark):
     for r in df.select("a", "b", similarity.name_similarity_udf()("a", "b").alias("u"), similarity.name_similarity_expr(F.col("a"), F.col("b")).alias("e"), bound.alias("may")).collect():
         assert r.u == pytest.approx(r.e, abs=1e-12), r
         assert r.may or r.u < 0.8
+
+
+def test_similar_pairs_equal_all_pairs():
+    """Every pair that reaches the threshold is found, with its similarity; long names and other letters too."""
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choice("ABCDEO") for _ in range(rng.randint(1, 6)))
+    x, y = ([" ".join(word() for _ in range(rng.randint(1, 4))) for _ in range(150)] + more for more in (["", "A", "A  B", "ABCD " * 14, "Ñandu x", "A" * 70], ["", "A", "A B", "ABCD " * 14, "Ñandu", "B" * 70]))
+    x, y = sorted(set(x)), sorted(set(y))
+    for least in (0.6, 0.8, 0.95):
+        i, j, scores = similarity.similar_pairs(similarity.Forms(x), similarity.Forms(y), least)
+        got = {(x[a], y[b]): s for a, b, s in zip(i, j, scores)}
+        want = {(a, b): s for a in x for b in y if (s := similarity.name_similarity(a, b)) >= least}
+        assert got.keys() == want.keys() and all(abs(got[k] - s) < 1e-12 for k, s in want.items())
+    for some in ([], [""]):
+        assert not len(similarity.similar_pairs(similarity.Forms(some), similarity.Forms(y), 0.5)[0])
+
+
+def test_bound_is_one():
+    rng = random.Random(6)
+    names = sorted({" ".join("".join(rng.choice("ABEO") for _ in range(rng.randint(1, 8))) for _ in range(rng.randint(1, 3))) for _ in range(200)})
+    bound = similarity.most(similarity.Names(names), similarity.Names(names))
+    assert all(bound[i, j] >= similarity.jaro_winkler(a, b) - 1e-6 for i, a in enumerate(names) for j, b in enumerate(names))

@@ -193,3 +193,25 @@ def test_metric_history_has_every_key(spark, tmp_path):
     events.write.parquet(str(tmp_path / "events.parquet"))
     got = metric_history(spark, str(tmp_path)).collect()
     assert len({r.key for r in got}) == 121 and len(got) == 121 * 5 and {r.value for r in got} == {2.0, 3.0, 4.0, 5.0, 6.0}
+
+
+def test_similar_names_in_tiles(spark, monkeypatch):
+    """A key with most names, keys of one side only, nulls and repeated names; tiles of any size give the same pairs."""
+    import random
+
+    from vigil.functions.similarity import name_similarity
+    from vigil.operators import name_join
+
+    rng = random.Random(3)
+    name = lambda: " ".join("".join(rng.choice("ABCEO") for _ in range(rng.randint(2, 5))) for _ in range(2))
+    left = [("A" if rng.random() < 0.8 else rng.choice("BCD"), name()) for _ in range(120)] + [("A", None), (None, "AB AB"), ("Z", "AB AB"), ("A", "CO CO"), ("A", "CO CO")]
+    right = [("A" if rng.random() < 0.8 else rng.choice("BCD"), name()) for _ in range(90)] + [("Y", "AB AB"), ("A", "CO CO"), (None, "AB")]
+    want = {(k, a, b): round(name_similarity(a, b), 9) for k, a in left for q, b in right if k and a and b and k == q and name_similarity(a, b) >= 0.7}
+    for tile, cores in ((4096, 8), (128, 8), (7, 10**6)):
+        monkeypatch.setattr(name_join, "TILE", tile)
+        monkeypatch.setattr(name_join, "LEAST_TILE", min(tile, 7))
+        monkeypatch.setattr(name_join, "TILES_PER_CORE", cores)
+        rows = name_join.similar_names(spark.createDataFrame(left, "key string, name string"), spark.createDataFrame(right, "key string, name string"), 0.7).collect()
+        assert len(rows) == len(want) and {(r.key, r.l_name, r.r_name): round(r.score, 9) for r in rows} == want
+    nothing = spark.createDataFrame([], "key string, name string")
+    assert name_join.similar_names(nothing, spark.createDataFrame(right, "key string, name string"), 0.7).count() == 0

@@ -5,8 +5,6 @@ The portfolio is all of documents (names are the first words of a text), the lis
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable
 
 import pandas as pd
@@ -27,6 +25,7 @@ from .sources.canonical import canonical
 from .sources.files import debarred, delimited, read_delimited
 from .sources.hits import read_hits
 from .sources.xml_lists import read_eu, read_sdn, read_un
+from .staging import fresh_path
 from .streaming.incremental import event_windows
 
 RUN_TS = "2024-06-01 12:00:00"
@@ -38,11 +37,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _landing(spark: SparkSession, name: str) -> str:
-    """A fresh folder that all machines share: below spark.checkpoint.dir or, on one machine alone where that is unset, a temporary one."""
-    root, master = spark.conf.get("spark.checkpoint.dir", None), spark.sparkContext.master
-    if not root and (not master.startswith("local") or master.startswith("local-cluster")):
-        raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
-    return f"{(root or tempfile.mkdtemp(prefix='vigil-')).rstrip('/')}/vigil-landing/{name}-{uuid.uuid4().hex}"
+    return fresh_path(spark, f"landing-{name}")
 
 
 # The portfolio and the list
@@ -155,6 +150,8 @@ def _screen_sql(high: float, low: float) -> str:
 
 
 ALERTS = _screen_sql(SETTINGS.high, SETTINGS.low)
+#: The thresholds of a production run.
+WIDE = Settings(high=0.92, low=0.60)
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
@@ -260,6 +257,12 @@ def screen_portfolio(spark, sf_dir):
     return _alerts(spark, sf_dir).drop("timestamp")
 
 
+@query(f"WITH {_screen_sql(WIDE.high, WIDE.low)} SELECT * FROM alerts")
+def screen_portfolio_wide(spark, sf_dir):
+    """At the command's default thresholds, some fifteen times as many alerts."""
+    return screen(parties(spark, sf_dir), entries(spark, sf_dir), WIDE, RUN_TS).drop("timestamp")
+
+
 @query(f"""WITH {ALERTS} SELECT count(*) AS total_alertas, coalesce(min(score_similitud), 0) AS min_score, coalesce(max(score_similitud), 0) AS max_score, round(coalesce(avg(score_similitud), 0), 6) AS avg_score,
     count(*) FILTER (score_similitud >= {SETTINGS.high}) AS count_high, count(*) FILTER (score_similitud >= {SETTINGS.low} AND score_similitud < {SETTINGS.high}) AS count_gray FROM alerts""")
 def screening_scores(spark, sf_dir):

@@ -40,6 +40,8 @@ def test_stages_keep_the_columns(spark, sf_dir, edges, nothing):
     for df in (edges, nothing):
         for _, stage in corpus_pipeline.STAGES[:-1]:
             assert stage(spark, df, sf_dir).columns == df.columns
+        packed = corpus_pipeline.STAGES[-1][1](spark, df, sf_dir)
+        assert {str(r.doc_id) for r in packed.collect()} == {str(r.doc_id) for r in df.collect()}
     assert [name for name, _ in corpus_pipeline.STAGES] == ["quality rules", "exact dedup", "n-gram Jaccard join", "mixing sources", "best-fit packing"]
 
 
@@ -47,7 +49,7 @@ def test_queries_register(spark):
     import __spark_entry__
 
     names = [q for q in __spark_entry__.queries() if q.startswith("op")]
-    assert [int(q[2:].split("_")[0]) for q in names] == list(range(1, 11)) and "pipeline" in __spark_entry__.queries()
+    assert [int(q[2:].split("_")[0]) for q in names] == list(range(1, 14)) and "pipeline" in __spark_entry__.queries()
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
 
 

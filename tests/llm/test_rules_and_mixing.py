@@ -1,3 +1,4 @@
+import math
 import random
 import re
 from collections import Counter
@@ -5,11 +6,14 @@ from fractions import Fraction
 from functools import reduce
 from math import comb
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from helpers import SCHEMA, rows_of, sentence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vigil.llm import toxicity as toxicity_module
 from vigil.llm.mixing import mix, mixed_order, period, phases, whole_weights
 from vigil.llm.quality_rules import binomial_below, drop_rejected, judge, measures
 from vigil.llm.sharding import ManifestConflict, ShardStore, ingest, placed
@@ -82,6 +86,51 @@ def test_toxicity(spark, edges, edge_rows, nothing, clashing, labels):
     assert toxicity(nothing, labels).count() == 0 and toxicity(edges, labels.limit(0)).where("score <> 0").count() == 0
 
 
+def plain_noisy_or(docs, weights, bias):
+    """Each document's probability from (sentences, known features of some of them), one sentence at a time."""
+    out = []
+    for n, bags in docs:
+        clean = 1.0
+        for k in range(n):
+            clean *= 1 - 1 / (1 + math.exp(-(bias + sum(weights[f] for f in bags[k]) if k < len(bags) else bias)))
+        out.append(1 - clean)
+    return out
+
+
+def test_noisy_or_scores_equal_a_plain_loop():
+    rng = random.Random(11)
+    words = {"vile$": 0, "vil": 1, "scum$": 2, "nice$": 3}
+    weights, bias = np.array([3.0, 1.5, 4.0, -2.0]), -5.0
+    texts = ["", "...", *[". ".join(" ".join(rng.choice(["vile", "vilest", "scum", "nice", "word"]) for _ in range(rng.randint(0, 4))) for _ in range(rng.randint(1, 9))) for _ in range(200)]]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array([False] * len(texts)), pa.array(texts)], ["doc_id", "held_out", "text"])
+    (got,) = toxicity_module._score(words, weights, bias, None, 0.5)(iter([batch]))
+    docs = []
+    for t in texts:
+        bags = [{f for w in re.findall(r"[^\W\d_]+", s.lower()) for f in ("vile$", "vil", "scum$", "nice$") if f == f"{w}$" or (f == "vil" and w.startswith("vil") and len(w) > 3)} for s in re.split(r"[.!?\n]+", t) if re.search(r"[^\W\d_]", s)]
+        docs.append((len(bags), [[words[f] for f in b] for b in bags]))
+    assert np.allclose(got["score"], plain_noisy_or(docs, weights, bias), atol=1e-12)
+
+
+def test_noisy_or_fit_is_where_the_gradient_vanishes():
+    """The fit's loss, by a plain loop, has a numeric gradient near zero, and moving away from the fit makes it larger."""
+    rng = random.Random(12)
+    docs = [(rng.randint(1, 6), []) for _ in range(120)]
+    docs = [(n, [[f for f in range(5) if rng.random() < 0.3] for _ in range(rng.randint(0, n))]) for n, _ in docs]
+    truth = [int(rng.random() < p) for p in plain_noisy_or(docs, [2.0, -1.0, 1.0, 0.0, 3.0], -2.0)]
+    decay = 1e-3
+    weights, bias = toxicity_module.fit_noisy_or(np.array(truth), np.array([n for n, _ in docs]), [b for _, b in docs], 5, steps=4000, rate=0.02, decay=decay)
+
+    def loss(values):
+        p = plain_noisy_or(docs, values[:5], values[5])
+        return -sum(math.log(x if y else 1 - x) for x, y in zip(p, truth)) / len(docs) + decay / 2 * sum(v * v for v in values[:5])
+
+    at = [*weights, bias]
+    for k in range(6):
+        up, down = ([v + d * (i == k) for i, v in enumerate(at)] for d in (1e-4, -1e-4))
+        assert abs(loss(up) - loss(down)) / 2e-4 < 2e-3
+        assert all(loss([v + d * (i == k) for i, v in enumerate(at)]) > loss(at) for d in (0.5, -0.5))
+
+
 def test_period_and_phases():
     rng = random.Random(3)
     for _ in range(100):

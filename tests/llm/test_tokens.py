@@ -10,7 +10,7 @@ from tokenizers import Tokenizer
 
 from vigil.llm import lm_scoring
 from vigil.llm.encoding import encoder
-from vigil.llm.packing import cut, pack, plan
+from vigil.llm.packing import cut, pack, pack_in_order, plan
 from vigil.llm.token_counts import token_counts
 
 
@@ -91,6 +91,45 @@ def test_packing_edges(spark, edges, edge_rows, nothing, clashing, tokenizer):
     assert pack(nothing, tokenizer).count() == 0
 
 
+def test_packing_in_order_edges(spark, edges, edge_rows, nothing, clashing, tokenizer, tmp_path):
+    """The pipeline's last stage: nulls, empty and repeated rows, clashing columns, an empty table; from files and not."""
+    for name, df in (("edges", edges), ("clashing", clashing)):
+        df.write.parquet(str(tmp_path / name))
+        for docs in (df, spark.read.parquet(str(tmp_path / name))):
+            got = pack_in_order(docs, tokenizer, 64).collect()
+            assert {str(r.doc_id) for r in got} == {str(r[0]) for r in edge_rows}
+            assert sorted({r.sequence_id for r in got}) == list(range(1 + max(r.sequence_id for r in got)))
+    nothing.write.parquet(str(tmp_path / "nothing"))
+    assert pack_in_order(nothing, tokenizer).count() == pack_in_order(spark.read.parquet(str(tmp_path / "nothing")), tokenizer).count() == 0
+
+
+def test_packing_in_order_over_many_stretches(spark, tokenizer, tmp_path, monkeypatch):
+    """Sequences are numbered in the order of the rows, over files, parts of files and parts of stretches."""
+    monkeypatch.setattr("vigil.llm.packing.STRETCH", 4)
+    monkeypatch.setattr("vigil.llm.packing.STRETCHES", 3)
+    rng = random.Random(8)
+    rows = rows_of([sentence(rng, rng.randint(1, 30)) for _ in range(300)])
+    spark.createDataFrame(rows, SCHEMA).repartitionByRange(13, "doc_id").sortWithinPartitions("doc_id").write.parquet(str(tmp_path / "many"))
+    got = pack_in_order(spark.read.parquet(str(tmp_path / "many")), tokenizer, 64).collect()
+    check_packing(rows, got, tokenizer, 64)
+    numbers = sorted({r.sequence_id for r in got})
+    assert numbers == list(range(len(numbers)))
+    # Files hold ascending ids, so a later sequence never holds only rows of an earlier stretch than another's.
+    least = defaultdict(lambda: 10**9)
+    for r in got:
+        least[r.sequence_id] = min(least[r.sequence_id], r.doc_id)
+    assert all(least[n + 1] >= least[n] - 4 for n in numbers[:-1])
+
+
+def test_totals_before(spark):
+    from vigil.llm.common import totals_before
+
+    rng = random.Random(9)
+    rows = [(b, i, rng.randint(0, 9)) for b in (0, 2, 3, 7) for i in range(rng.randint(1, 20))]
+    got = {(r.b, r.i): r.before for r in totals_before(spark.createDataFrame(rows, "b int, i int, v long"), "b", ["i"], "v", "before").collect()}
+    assert got == {(b, i): sum(v for c, j, v in rows if (c, j) < (b, i)) for b, i, _ in rows}
+
+
 def test_plan_is_best_fit():
     rng = random.Random(6)
     for _ in range(50):
@@ -129,11 +168,19 @@ def vocabulary_of(texts, frequent, buckets):
 
 
 def test_lm_log_probs_are_normalised():
-    vocabulary = lm_scoring.Vocabulary(list(range(1, 61)), 9)
-    assert vocabulary.classes == 3 and sorted([*vocabulary.words, *vocabulary.shared]) == list(range(69)) and vocabulary.size == 69
-    net = lm_scoring.new_net(vocabulary, 4, 2, 3)
-    context = np.array([[0, 1, vocabulary.size, 3]] * vocabulary.size)
-    assert abs(np.exp(lm_scoring.log_probs(net, context, np.arange(vocabulary.size))).sum() - 1) < 1e-5
+    """Over the real outputs, whatever their number: places of a class that stand for no word get nothing."""
+    for frequent, buckets in ((60, 9), (0, 1), (63, 1), (64, 1), (100, 32), (896, 128), (127, 3)):
+        vocabulary = lm_scoring.Vocabulary(list(range(1, frequent + 1)), buckets)
+        real = np.sort(np.array([*vocabulary.words, *vocabulary.shared]))
+        assert len(set(real.tolist())) == frequent + buckets <= vocabulary.size == vocabulary.padding.size and not vocabulary.padding.ravel()[real].any()
+        net = lm_scoring.new_net(vocabulary, 4, 2, 3)
+        context = np.array([[0, 1 % vocabulary.size, vocabulary.size, 0]] * vocabulary.size)
+        logs = lm_scoring.log_probs(net, context, np.arange(vocabulary.size))
+        assert abs(np.exp(logs[real]).sum() - 1) < 1e-5 and not np.exp(logs[vocabulary.padding.ravel()]).any()
+        # Training leaves them so.
+        squares = {k: np.full_like(v, 1.0) for k, v in net.items()}
+        lm_scoring.train(net, squares, context[: len(real)], real, rate=0.5)
+        assert abs(np.exp(lm_scoring.log_probs(net, context[: len(real)], real)).sum() - 1) < 1e-5
     ids, counts = np.array([1, 2, 3, 4]), np.array([3, 1])
     assert lm_scoring.contexts(ids, counts, 2, 9).tolist() == [[9, 9, 2, 3], [1, 9, 3, 9], [2, 1, 9, 9], [9, 9, 9, 9]]
 

@@ -188,6 +188,18 @@ def rank_within(df: DataFrame, key: list[str], order: list[str], rows_per_bucket
     return joined.withColumn(out, (F.col("__shift") + F.col("__in")).cast("long")).drop(*drop)
 
 
+def totals_before(df: DataFrame, bucket: str, order: list[str], value: str, out: str) -> DataFrame:
+    """df with `out`, the sum of value over the rows before it in the order of (bucket, order).
+
+    Rows are summed up within their buckets, in as many tasks as there are buckets; only the buckets' own sums, one row
+    each, are summed up in one. df should be a written table: it is read twice.
+    """
+    own = F.coalesce(F.sum(value).over(Window.partitionBy(bucket).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    sums = df.groupBy(F.col(bucket).alias("__bucket")).agg(F.sum(value).alias("__sum"))
+    starts = sums.select("__bucket", F.coalesce(F.sum("__sum").over(Window.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__start"))
+    return df.withColumn(out, own).join(checked(starts), F.col(bucket) == F.col("__bucket")).withColumn(out, F.col(out) + F.col("__start")).drop("__bucket", "__start")
+
+
 def connected(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """Connected components of an edge list of longs: rows (node, root), root the smallest node of the component.
 

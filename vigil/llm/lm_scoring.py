@@ -39,13 +39,16 @@ BATCH, SCORED, SLICE = 2048, 8192, 64 * 1024
 CHUNK = 2_000_000
 #: Most outputs of a class.
 PER_CLASS = 64
+#: The bias of an output that stands for no word: it gets no probability, hence no gradient, and stays as it is.
+NEVER = -1e9
 SCORES = "chunk long, word long, doc_id long, n_tokens long, log_prob double, rare binary"
 Net = dict[str, np.ndarray]
 
 
 class Vocabulary:
     """Outputs for word hashes: the frequent words, most frequent first, and `buckets` shared ones, dealt in turn over
-    classes of PER_CLASS outputs, so that classes are alike in use; `size` stands for no token."""
+    classes of PER_CLASS outputs, so that classes are alike in use; `size` stands for no token. Where they don't fill
+    all classes alike, `padding` (classes x outputs of a class) marks the places that stand for no word."""
 
     def __init__(self, frequent: list[int], buckets: int):
         by_count = np.array([h & 0xFFFFFFFFFFFFFFFF for h in frequent], dtype=np.uint64)
@@ -53,6 +56,8 @@ class Vocabulary:
         self.classes = -(-n // PER_CLASS)
         self.per = -(-n // self.classes)
         self.size = self.classes * self.per
+        self.padding = np.ones((self.classes, self.per), bool)
+        self.padding.ravel()[self._output(np.arange(n))] = False
         order = np.argsort(by_count)
         self.hashes, self.words, self.shared = by_count[order], self._output(order), self._output(np.arange(len(frequent), n))
 
@@ -77,7 +82,7 @@ def new_net(vocabulary: Vocabulary, width: int, reach: int, seed: int) -> Net:
     normal = lambda *shape: rng.normal(0, 0.1, shape).astype(np.float32)
     return {
         "embed": normal(2 * reach, vocabulary.size + 1, width), "hidden": np.zeros(width, np.float32), "class": normal(width, classes), "class_bias": np.zeros(classes, np.float32),
-        "out": normal(classes, width, per), "bias": np.zeros((classes, per), np.float32),
+        "out": normal(classes, width, per), "bias": np.where(vocabulary.padding, NEVER, 0).astype(np.float32),
     }
 
 

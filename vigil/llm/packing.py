@@ -22,14 +22,16 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checked, rank_within, ship, written
+from .common import checked, rank_within, ship, totals_before, written
 from .encoding import encoder
 
 #: Rows of a stretch.
 STRETCH = 4096
+#: Stretches whose sequences are counted up in one task.
+STRETCHES = 1024
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 RUNS = "run_length long, first_rank long, end_rank long, first_sequence long, in_sequence long, first_offset long"
 
@@ -146,14 +148,12 @@ def pack_in_order(docs: DataFrame, tokenizer: str, capacity: int = 1024, end_id:
     except AnalysisException:  # not read from files
         source = docs.select(*own, F.lit("").alias("file"), F.monotonically_increasing_id().alias("row"))
     pieces = written(source.mapInArrow(_pieces(tokenizer, capacity, end_id), PIECES + ", file string, row long"), "ordered-pieces")
-    # Names of one folder's files differ in length only where the number of the file has more digits.
-    by_name = Window.orderBy(F.length("file"), "file").rowsBetween(Window.unboundedPreceding, -1)
-    files = pieces.groupBy("file").agg(F.max("row").alias("last"))  # one row a file
-    files = files.select("file", F.coalesce(F.sum(F.col("last") + 1).over(by_name), F.lit(0)).alias("before"))
+    # Names of one folder's files differ in length only where the number of the file has more digits. Sorting deals them over parts in order.
+    files = pieces.groupBy("file").agg((F.max("row") + 1).alias("n")).withColumn("digits", F.length("file")).orderBy("digits", "file")
+    files = totals_before(written(files.withColumn("part", F.spark_partition_id()), "ordered-files"), "part", ["digits", "file"], "n", "before").select("file", "before")
     placed = pieces.join(checked(files), "file").withColumn("position", F.col("before") + F.col("row")).withColumn("stretch", F.floor(F.col("position") / STRETCH).cast("long"))
     placed = placed.select("doc_id", "piece", "start", "length", "ids_crc32", "position", "stretch")
     packed = written(placed.groupBy("stretch").applyInPandas(_stretch(capacity), PIECES + ", position long, stretch long, sequence_id long, offset long"), "packed-stretches")
-    earlier = Window.orderBy("stretch").rowsBetween(Window.unboundedPreceding, -1)
-    shifts = packed.groupBy("stretch").agg((F.max("sequence_id") + 1).alias("n"))  # one row for STRETCH rows
-    shifts = shifts.select("stretch", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("shift"))
+    shifts = packed.groupBy("stretch").agg((F.max("sequence_id") + 1).alias("n")).withColumn("part", F.floor(F.col("stretch") / STRETCHES))
+    shifts = totals_before(written(shifts, "stretches"), "part", ["stretch"], "n", "shift").select("stretch", "shift")
     return packed.join(checked(shifts), "stretch").select("doc_id", "piece", "start", "length", "ids_crc32", (F.col("sequence_id") + F.col("shift")).alias("sequence_id"), "offset")

@@ -1,5 +1,7 @@
+import csv
 import io
 import json
+import random
 import urllib.error
 import zipfile
 
@@ -9,7 +11,7 @@ from pyspark.sql import functions as F
 from vigil.operators.cdc import SnapshotTable
 from vigil.plans.run import main, run, synthetic_parties
 from vigil.schemas import SOURCES, STATE
-from vigil.sources import files
+from vigil.sources import delimited, files
 from vigil.sources.canonical import canonical
 from vigil.sources.fetch import fetch, land, land_pages, land_source
 from vigil.sources.hits import read_hits, total_hits
@@ -76,16 +78,89 @@ CSV = "NOMBRES;APELLIDOS;CEDULA;SANCION;FECHA_SANCION;ESTADO\nJosé;Pérez;123;M
 
 
 def test_delimited(spark, tmp_path):
-    assert files.delimiter("a,b;c,d|e") == "," and files.delimiter("a|b") == "|" and files.delimiter("") == ";"
-    assert files.column_of(["X", "fecha_sancion"], ["SANCION"]) == 1 and files.column_of(["A"], ["B"]) is None
+    assert delimited.delimiter("a,b;c,d|e") == "," and delimited.delimiter("a|b") == "|" and delimited.delimiter("") == ";"
+    assert delimited.column_of(["X", "fecha_sancion"], ["SANCION"]) == 1 and delimited.column_of(["A"], ["B"]) is None
     buffer = io.BytesIO()
     with zipfile.ZipFile(buffer, "w") as z:
         z.writestr("readme.md", "no")
         z.writestr("d.csv", CSV.encode("latin-1"))
     for path, zipped in ((put(tmp_path, "p.csv", CSV.encode("utf-8-sig")), False), (put(tmp_path, "p.zip", buffer.getvalue()), True)):
-        got = {r.id_fuente_original: (r.nombres, r.apellidos, r.numero_documento, r.tipo_sancion, r.activo) for r in files.read_delimited(spark, path, "S", zipped).collect()}
+        got = {r.id_fuente_original: (r.nombres, r.apellidos, r.numero_documento, r.tipo_sancion, r.activo) for r in delimited.read_delimited(spark, path, "S", zipped).collect()}
         assert got == {"S_1_123": ("José", "Pérez", "123", "MULTA", True), "S_4_9": ("Solo", None, "9", "SANCION S", False), "S_5_": ("X", "Y", None, "SANCION S", False)}
-    assert files.first_member(b"broken") == b""
+    assert list(delimited.member_lines(b"broken", True)) == []
+
+
+def whole_file_rows(content):
+    """(row, cells) of a file by the standard library, all at once."""
+    try:
+        text = content.removeprefix(b"\xef\xbb\xbf").decode()
+    except UnicodeDecodeError:
+        text = content.removeprefix(b"\xef\xbb\xbf").decode("latin-1")
+    sep = delimited.delimiter(text)
+    rows = list(csv.reader(io.StringIO(text), delimiter=sep))
+    at = {f: delimited.column_of(rows[0] if rows else [], wanted) for f, wanted in delimited.HEADERS.items()}
+    return [(i, *(row[k].strip() if k is not None and k < len(row) else "" for k in at.values())) for i, row in enumerate(rows) if i and any(c.strip() for c in row)]
+
+
+def random_file(rng, sep, lines):
+    """Quoted fields with line ends, delimiters and doubled quotes; quotes within plain fields; blank and short rows; text after a closing quote."""
+    def cell():
+        kind = rng.random()
+        body = "".join(rng.choice(["a", "b", " ", "é", "1", sep]) for _ in range(rng.randint(0, 6)))
+        if kind < 0.25:
+            return '"' + body.replace("b", '""') + rng.choice(["", "\n", "\r\n", "\n\n", f"{sep}\n"]) * rng.randint(0, 3) + '"' + rng.choice(["", "", "x"])
+        return body.replace(sep, "") + rng.choice(["", "", '"', 'x"y'])
+    out = [sep.join(["NOMBRES", "APELLIDOS", "CEDULA", "DELITO"])]
+    for _ in range(lines):
+        out.append(rng.choice(["", " "]) if rng.random() < 0.1 else sep.join(cell().lstrip('"') if rng.random() < 0.3 else cell() for _ in range(rng.randint(1, 5))))
+    return rng.choice(["\n", "\r\n"]).join(out) + rng.choice(["", "\n"])
+
+
+def test_delimited_in_chunks_equals_whole_files(spark, tmp_path):
+    """Chunks of any size give the rows and row numbers that one parse of the whole file gives."""
+    rng = random.Random(6)
+    contents = {"empty": b"", "header": b"NOMBRES;CEDULA", "open": b'NOMBRES;CEDULA\n"never closed;1\nx;2\n\ny;3\n', "open-header": b'NOMBRES;"CEDULA\nx;2\n', "middle": b"NOMBRES;CEDULA\na;1\n" + b'"' + b"line\n" * 50 + b'";2\nz;3'}
+    for i in range(24):
+        text = random_file(rng, rng.choice(",;|"), rng.randint(1, 40))
+        contents[f"r{i}"] = rng.choice([lambda t: t.encode(), lambda t: t.encode("utf-8-sig"), lambda t: t.encode("latin-1")])(text)
+    (tmp_path / "d").mkdir()
+    for name, content in contents.items():
+        (tmp_path / "d" / f"{name}.csv").write_bytes(content)
+    want = sorted((name, *row) for name, content in contents.items() for row in whole_file_rows(content))
+    files_df = spark.createDataFrame([(f"x/{name}.csv", content) for name, content in contents.items()], "path string, content binary")
+    lines = spark.read.option("lineSep", "\n").text(str(tmp_path / "d")).select(F.col("_metadata.file_path"), F.col("_metadata.file_block_start"), F.col("value").cast("binary"))
+    for size in (1, 7, 60, 1 << 20):
+        for chunks in (lines.mapInArrow(delimited._of_lines(size), delimited.CHUNK_COLUMNS), files_df.mapInArrow(delimited._of_files(False, size), delimited.CHUNK_COLUMNS)):
+            got = delimited._parsed(chunks).collect()
+            assert sorted((r.file.split("/")[-1][:-4], *tuple(r)[1:]) for r in got) == want, size
+
+
+def test_delimited_file_is_split(spark, tmp_path):
+    """One file is read by several tasks, whose blocks begin within quoted fields."""
+    rng = random.Random(7)
+    content = random_file(rng, ";", 3000).encode()
+    path = put(tmp_path, "big.csv", content)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "5000b")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        lines = spark.read.option("lineSep", "\n").text(path).select(F.col("_metadata.file_path"), F.col("_metadata.file_block_start"), F.col("value").cast("binary"))
+        assert lines.rdd.getNumPartitions() > 8
+        got = delimited._parsed(lines.mapInArrow(delimited._of_lines(2000), delimited.CHUNK_COLUMNS)).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert sorted(tuple(r)[1:] for r in got) == whole_file_rows(content)
+
+
+def test_archive_that_breaks_off(spark, tmp_path):
+    buffer = io.BytesIO()
+    with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as z:
+        z.writestr("d.csv", "NOMBRES;CEDULA\n" + "\n".join(f"n{i};{i * 7919}" for i in range(5000)))
+    broken = bytearray(buffer.getvalue())
+    broken[2000:2100] = bytes(100)
+    with pytest.raises(Exception):
+        delimited.read_delimited(spark, put(tmp_path, "b.zip", bytes(broken)), "S", True).collect()
 
 
 def page(rows, more=""):

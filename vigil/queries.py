@@ -22,7 +22,8 @@ from .operators.screening import Settings, alert_counts, evaluate, index_sizes,
 from .operators.synthetic import portfolio
 from .packaging import ship
 from .sources.canonical import canonical
-from .sources.files import debarred, delimited, read_delimited
+from .sources.delimited import delimited, read_delimited
+from .sources.files import debarred
 from .sources.hits import read_hits
 from .sources.xml_lists import read_eu, read_sdn, read_un
 from .staging import fresh_path
@@ -630,6 +631,20 @@ def read_delimited_files(spark, sf_dir):
     return read_delimited(spark, path + "/*.csv", "PACO_PENAL").select("fuente", "numero_documento", "nombres", "tipo_sancion", "activo")
 
 
+@query("""WITH r AS (SELECT *, sum(1 + (c_custkey % 10 = 0)::INT) OVER (PARTITION BY c_custkey // 4000 ORDER BY c_custkey) AS n FROM customer)
+    SELECT 'PACO_DISC_' || n || '_C' || c_custkey AS id_fuente_original, c_name || CASE WHEN c_custkey % 3 = 0 THEN chr(10) || 'a "b" ; c' ELSE '' END AS nombres, 'C' || c_custkey AS numero_documento, 'ACTO' AS tipo_sancion FROM r""")
+def read_quoted_files(spark, sf_dir):
+    """Files whose quoted fields hold line ends, quotes and delimiters, with blank rows between, parsed in chunks of 4 kB."""
+    c = table(spark, sf_dir, "customer")
+    name = F.when(F.col("c_custkey") % 3 == 0, F.concat(F.lit('"'), "c_name", F.lit('\na ""b"" ; c"'))).otherwise(F.col("c_name"))
+    line = F.concat(F.when(F.col("c_custkey") % 10 == 0, "\n").otherwise(""), name, F.lit(";C"), "c_custkey", F.lit(";Acto"))
+    lines = c.select(F.floor(F.col("c_custkey") / 4000).alias("g"), "c_custkey", line.alias("value"))
+    lines = lines.unionByName(lines.select("g").distinct().select("g", F.lit(-1).alias("c_custkey"), F.lit("NOMBRES;CEDULA;FALTA").alias("value")))
+    path = _landing(spark, "quoted")
+    lines.repartition("g").sortWithinPartitions("g", "c_custkey").select("g", "value").write.partitionBy("g").text(path)
+    return read_delimited(spark, path + "/*/*.txt", "PACO_DISC", chunk=4096).select("id_fuente_original", "nombres", "numero_documento", F.upper("tipo_sancion").alias("tipo_sancion"))
+
+
 @query("SELECT event_type, sum(props::JSON ->> 'k' :: BIGINT)::BIGINT AS k FROM events GROUP BY ALL".replace("props::JSON ->> 'k' :: BIGINT", "json_extract(props, '$.k')::BIGINT"))
 def json_fields(spark, sf_dir):
     return table(spark, sf_dir, "events").groupBy("event_type").agg(F.sum(F.from_json("props", "k bigint")["k"]).alias("k"))

@@ -1,15 +1,8 @@
-"""Delimited files (also zipped) and HTML tables: whole files through Arrow, parsed with the standard library.
-
-Record ids hold the row's place in its file, blank rows counted, which Spark's CSV reader doesn't give; so a file is
-one task's work. Encodings, delimiters and columns are found from each file.
-"""
+"""HTML tables: whole pages through Arrow, parsed with the standard library."""
 
 from __future__ import annotations
 
-import csv
-import io
 import re
-import zipfile
 from collections.abc import Callable, Iterator
 from html.parser import HTMLParser
 
@@ -20,20 +13,10 @@ from pyspark.sql import functions as F
 from ..functions.dates import parse_date
 from ..functions.text import normalize_text
 from ..packaging import ship
-from ..schemas import LEGAL, NATURAL
+from ..schemas import LEGAL
 from .xml_lists import _raw
 
 # What a column's header may contain, in order of preference.
-HEADERS = {
-    "nombres": ["NOMBRE", "NOMBRES", "PRIMER_NOMBRE", "FIRST_NAME"],
-    "apellidos": ["APELLIDO", "APELLIDOS", "PRIMER_APELLIDO"],
-    "cedula": ["CEDULA", "NRO_CEDULA", "NUMERO_CEDULA", "DOCUMENTO", "NRO_DOC", "IDENTIFICACION"],
-    "tipo_sancion": ["TIPO_SANCION", "SANCION", "DELITO", "CARGO", "FALTA", "DESCRIPCION_SANCION"],
-    "fecha_sancion": ["FECHA_SANCION", "FECHA_CONDENA", "FECHA_EJECUTORIA", "FECHA_INICIO"],
-    "fecha_vencimiento": ["FECHA_VENCIMIENTO", "FECHA_FIN", "FECHA_HASTA", "FECHA_TERMINACION"],
-    "estado": ["ESTADO", "VIGENTE", "ACTIVO", "STATUS"],
-}
-ACTIVE = ["VIGENTE", "ACTIVO", "ACTIVE", "S", "SI", "YES", "1", "TRUE", ""]
 TABLE_HEADERS = {
     "name": ["FIRM", "NAME", "EMPRESA"], "country": ["COUNTRY", "PAIS"], "from": ["FROM", "DESDE", "START"], "to": ["TO", "UNTIL", "HASTA", "END"], "grounds": ["GROUND", "REASON", "BASIS"],
 }
@@ -42,49 +25,6 @@ DIV_TABLE = "table|grid|list"
 NEXT_PAGE = r"next|siguiente|›|»"
 
 
-def decode(content: bytes) -> str:
-    try:
-        return content.decode("utf-8-sig")
-    except UnicodeDecodeError:
-        return content.decode("latin-1")
-
-
-def delimiter(text: str) -> str:
-    """By the first 2000 characters: a comma if it leads both others, else a bar if it leads semicolons, else a semicolon."""
-    n = {c: text[:2000].count(c) for c in ";,|"}
-    return "," if n[","] > max(n[";"], n["|"]) else "|" if n["|"] > n[";"] else ";"
-
-
-def column_of(header: list[str], wanted: list[str]) -> int | None:
-    """The first column whose header holds, or is part of, the earliest wanted name that fits any."""
-    names = [h.upper().strip() for h in header]
-    return next((i for w in wanted for i, h in enumerate(names) if w in h or h in w), None)
-
-
-def csv_rows(content: bytes) -> list[dict]:
-    """The fields of HEADERS and the row's number (from 1, after the header) of each row that isn't blank."""
-    text = decode(content)
-    rows = list(csv.reader(io.StringIO(text), delimiter=delimiter(text)))
-    if not rows:
-        return []
-    at = {field: column_of(rows[0], wanted) for field, wanted in HEADERS.items()}
-    out = []
-    for i, row in enumerate(rows[1:], 1):
-        if any(c.strip() for c in row):
-            out.append({"row": i} | {f: row[k].strip() if k is not None and k < len(row) else "" for f, k in at.items()})
-    return out
-
-
-def first_member(content: bytes) -> bytes:
-    """The first .csv or .txt file of a zip archive; nothing if there is none or the archive is broken."""
-    try:
-        with zipfile.ZipFile(io.BytesIO(content)) as z:
-            name = next((n for n in z.namelist() if n.lower().endswith((".csv", ".txt"))), None)
-            return z.read(name) if name else b""
-    except zipfile.BadZipFile:
-        return b""
-
-
 class _Area:
     """The rows of the first element of a kind: a table, or a div that is laid out like one."""
 
@@ -177,22 +117,6 @@ def _parsed(df: DataFrame, parse: Callable[[bytes], list[dict]], fields: list[st
     return df.select("path", "content").mapInPandas(run, "file string, row long, " + ", ".join(f"`{f}` string" for f in fields))
 
 
-def read_delimited(spark: SparkSession, path: str, source: str, zipped: bool = False) -> DataFrame:
-    return delimited(spark.read.format("binaryFile").load(path), source, zipped)
-
-
-def delimited(files: DataFrame, source: str, zipped: bool = False) -> DataFrame:
-    """Person sanctions from delimited files (path, content); zipped: each file is an archive with one."""
-    x = _parsed(files, (lambda c: csv_rows(first_member(c))) if zipped else csv_rows, list(HEADERS)).where("nombres <> '' OR cedula <> ''")
-    given = lambda c: F.nullif(F.col(c), F.lit(""))
-    return _raw(
-        x, fuente=F.lit(source), id_fuente_original=F.concat_ws("_", F.lit(source), F.col("row").cast("string"), F.col("cedula")), tipo_sujeto=F.lit(NATURAL),
-        nombres=F.coalesce(given("nombres"), given("apellidos")), apellidos=F.when(F.col("nombres") != "", given("apellidos")), nacionalidad=F.array(F.lit("CO")),
-        numero_documento=given("cedula"), tipo_sancion=F.coalesce(given("tipo_sancion"), F.lit(f"SANCION {source}")), fecha_sancion=given("fecha_sancion"),
-        fecha_vencimiento=given("fecha_vencimiento"), activo=F.upper("estado").isin(ACTIVE),
-    )
-
-
 def debarred(pages: DataFrame, today: str) -> DataFrame:
     """Debarred firms from (path, content) of HTML pages; of rows with the same name and start date, the first by page and row stays."""
     x = _parsed(pages, lambda c: table_rows(bytes(c).decode("utf-8", "replace"))[0], list(TABLE_HEADERS))

@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..schemas import RAW
 from .canonical import canonical
-from .files import read_debarred, read_delimited
+from .delimited import read_delimited
+from .files import read_debarred
 from .hits import read_hits
 from .xml_lists import read_eu, read_sdn, read_un
 

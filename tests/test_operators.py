@@ -1,5 +1,6 @@
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from vigil.functions.similarity import jaro_winkler, name_similarity
@@ -215,3 +216,62 @@ def test_similar_names_in_tiles(spark, monkeypatch):
         assert len(rows) == len(want) and {(r.key, r.l_name, r.r_name): round(r.score, 9) for r in rows} == want
     nothing = spark.createDataFrame([], "key string, name string")
     assert name_join.similar_names(nothing, spark.createDataFrame(right, "key string, name string"), 0.7).count() == 0
+
+
+NARROW_STATE = "id_registro string, fuente string, nombres string, hash_contenido string, activo boolean, estado_carga string"
+
+
+def test_bucket_state_writes_only_what_changes(spark, tmp_path):
+    from vigil.operators.bucket_state import BucketState
+
+    batch_of = lambda rows: spark.createDataFrame([(*r, True, k) for k, r in enumerate(rows)], "id_registro string, fuente string, nombres string, hash_contenido string, activo boolean, seq long")
+    state = BucketState(spark, str(tmp_path / "s"), 16, NARROW_STATE)
+    rows = [(f"i{k}", "A" if k % 2 else "B", f"n{k}", f"h{k}") for k in range(400)]
+    assert state.read().count() == 0 and state.manifest() == {}
+    first = state.merge(batch_of(rows))
+    assert first.counts["nuevos"] == 400 and first.touched == list(range(16)) and state.versions() == [1]
+    # The same again changes nothing, and makes no version.
+    assert state.merge(batch_of(rows)).touched == [] and state.versions() == [1]
+    # One modified, one missing (deleted): two buckets at most are written, the others' folders are taken over.
+    changed = [("i7", "A", "new", "other"), *[r for r in rows if r[0] not in ("i7", "i8")]]
+    before, draft = state.manifest(), state.merge(batch_of(changed))
+    assert draft.counts == {"nuevos": 0, "modificados": 1, "sin_cambio": 398, "eliminados": 1} and 1 <= len(draft.touched) <= 2
+    assert {b for b, path in state.manifest().items() if before[b] != path} == set(draft.touched)
+    got = {r.id_registro: (r.nombres, r.estado_carga, r.activo) for r in state.read().collect()}
+    assert len(got) == 400 and got["i7"] == ("new", "MODIFICADO", True) and got["i8"] == ("n8", "ELIMINADO", False)
+    assert {r.id_registro for r in state.rows(draft, changed_only=True).collect()} == {"i7"}
+    # Of one bucket only its own files are read.
+    assert len(state.read([draft.touched[0]]).inputFiles()) < len(state.read().inputFiles()) and all(f"bucket={draft.touched[0]}/" in f for f in state.read([draft.touched[0]]).inputFiles())
+    # An older version reads as it was; vacuum spares what is young, and what the kept versions name.
+    assert state.read(version=1).where("estado_carga = 'NUEVO'").count() == 400
+    assert state.vacuum(keep=1, grace_seconds=3600) == []
+    gone = state.vacuum(keep=1, grace_seconds=0)
+    assert {int(g.split("bucket=")[1]) for g in gone} == set(draft.touched) and state.versions() == [2] and state.read().count() == 400
+    # Of two drafts on one version one is published.
+    drafts = [state.stage(batch_of([("x", "C", "x", h)])) for h in ("1", "2")]
+    state.publish(drafts[0])
+    with pytest.raises(RuntimeError):
+        state.publish(drafts[1])
+    assert state.read().where("id_registro = 'x'").first().hash_contenido == "1"
+    with pytest.raises(ValueError):
+        BucketState(spark, str(tmp_path / "s"), 8, NARROW_STATE).read()
+
+
+def test_bucket_state_equals_whole_merges(spark, tmp_path):
+    """Any sequence of batches, with repeated ids, deletions and returns, ends as a merge of the whole state would."""
+    import random
+
+    from vigil.operators.bucket_state import BucketState
+
+    rng = random.Random(2)
+    schema = "id_registro string, fuente string, nombres string, hash_contenido string, activo boolean, seq long"
+    for revive in (False, True):
+        state, whole = BucketState(spark, str(tmp_path / f"s{revive}"), 5, NARROW_STATE), spark.createDataFrame([], NARROW_STATE)
+        for turn in range(4):
+            ids = [f"i{rng.randint(0, 30)}" for _ in range(rng.choice([3, 25]))]
+            rows = [(i, "A" if int(i[1:]) % 2 else "B", f"n{turn}", rng.choice("xyz"), True, k) for k, i in enumerate(ids)]
+            batch = spark.createDataFrame(rows, schema)
+            counts = change_counts(batch, whole, revive_unchanged=revive).first().asDict()
+            whole = spark.createDataFrame(upsert(batch, whole, revive_unchanged=revive).collect(), NARROW_STATE)
+            assert state.merge(batch, revive_unchanged=revive).counts == counts
+            assert sorted(map(tuple, state.read().collect())) == sorted(map(tuple, whole.select(*state.read().columns).collect()))

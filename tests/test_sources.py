@@ -8,15 +8,17 @@ import zipfile
 import pytest
 from pyspark.sql import functions as F
 
+from vigil.operators.bucket_state import BucketState
 from vigil.operators.cdc import SnapshotTable
 from vigil.plans.run import main, run, synthetic_parties
-from vigil.schemas import SOURCES, STATE
+from vigil.schemas import SOURCES
 from vigil.sources import delimited, files
 from vigil.sources.canonical import canonical
 from vigil.sources.fetch import fetch, land, land_pages, land_source
 from vigil.sources.hits import read_hits, total_hits
 from vigil.sources.registry import ingest
 from vigil.sources.xml_lists import read_eu, read_sdn, read_un
+from vigil.streaming.changes import write_changes
 from vigil.streaming.incremental import merge_and_screen, start
 
 TS = "2024-06-01 00:00:00"
@@ -224,7 +226,7 @@ def test_whole_run(spark, tmp_path):
     checks = json.load(open(f"{root}/reports/quality.json"))
     assert len(checks["rules"]) == 8 and checks["total_errors"] == sum(r["error_count"] for r in checks["rules"])
     assert next(r for r in checks["rules"] if r["rule"] == "alerta_referencias_validas")["passed"]
-    assert SnapshotTable(spark, f"{root}/state").read(STATE).count() == 4
+    assert BucketState(spark, f"{root}/state").read().count() == 4
 
 
 def test_incremental(spark, tmp_path):
@@ -251,11 +253,11 @@ def test_incremental_survives_a_crash(spark, tmp_path, monkeypatch):
 
     def turn(name, when=None):
         root = tmp_path / name
-        state = SnapshotTable(spark, str(root / "state"))
+        state = BucketState(spark, str(root / "state"))
         if when == "screen":
             monkeypatch.setattr("vigil.streaming.incremental.screen", lambda *a: 1 / 0)
         elif when == "publish":
-            monkeypatch.setattr(SnapshotTable, "publish", lambda *a: 1 / 0)
+            monkeypatch.setattr(BucketState, "publish", lambda *a: 1 / 0)
         try:
             merge_and_screen(records, state, parties, str(root / "alerts"), "batch-0", TS)
             failed = False
@@ -271,7 +273,7 @@ def test_incremental_survives_a_crash(spark, tmp_path, monkeypatch):
     assert not turn("plain") and len(alerts("plain")) == 2  # after both: nothing has changed, and the alerts stay
     for when in ("screen", "publish"):
         assert turn(when, when) and not turn(when) and alerts(when) == alerts("plain")
-        assert SnapshotTable(spark, str(tmp_path / when / "state")).read(STATE).count() == records.count()
+        assert BucketState(spark, str(tmp_path / when / "state")).read().count() == records.count()
 
 
 def test_snapshot_version_is_taken_once(spark, tmp_path):
@@ -341,3 +343,42 @@ def test_portfolio_is_saved_and_used_again(spark, tmp_path, monkeypatch):
     assert synthetic_parties(spark, sanctions, str(tmp_path), 100, 20, reuse=True).exceptAll(first).count() == 0
     with pytest.raises(ZeroDivisionError):
         synthetic_parties(spark, sanctions, str(tmp_path), 100, 20, reuse=False)
+
+
+FEED = "id_registro string, seq long, hash_contenido string"
+
+
+def against_last(batches):
+    """The change feed by a plain loop over micro-batches."""
+    last, out = {}, []
+    for rows in batches:
+        for i, seq, h in sorted(rows, key=lambda r: r[1]):
+            before, version = last.get(i, (None, 0))
+            kind = "NUEVO" if i not in last else "SIN_CAMBIO" if before == h else "MODIFICADO"
+            version += kind != "SIN_CAMBIO"
+            last[i] = h, version
+            out.append((i, seq, h, before, version, kind))
+    return sorted(out, key=str)
+
+
+def test_change_feed_keeps_its_state(spark, tmp_path):
+    """Several micro-batches, nulls, an id with most rows, and a query that is started again after more has landed."""
+    rng = random.Random(4)
+    batches = [[("hot" if rng.random() < 0.4 else rng.choice(["a", "b", "c", None]), 100 * k + n, rng.choice(["x", "y", None])) for n in range(40)] for k in range(4)]
+    landing, out, checkpoint = (str(tmp_path / n) for n in ("in", "out", "checkpoint"))
+
+    def land(k):
+        spark.createDataFrame(batches[k], FEED).repartition(1).write.parquet(f"{landing}/{k}")
+
+    def turn():
+        write_changes(spark, landing, FEED, out, checkpoint).awaitTermination()
+        return sorted((tuple(r) for r in spark.read.parquet(out).collect()), key=str)
+
+    land(0)
+    land(1)
+    assert turn() == against_last(batches[:2])
+    land(2)
+    assert turn() == against_last(batches[:3])
+    assert turn() == against_last(batches[:3])  # nothing new has landed
+    land(3)
+    assert turn() == against_last(batches)

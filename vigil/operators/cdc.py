@@ -37,17 +37,18 @@ def _per_id(batch: DataFrame, picked: list[str], id_col: str, hash_col: str, seq
 
 def merge(
     batch: DataFrame, state: DataFrame, id_col: str = "id_registro", hash_col: str = "hash_contenido", seq_col: str = "seq", source_col: str = "fuente",
-    active_col: str = "activo", delete_missing: bool = True, revive_unchanged: bool = False,
+    active_col: str = "activo", delete_missing: bool = True, revive_unchanged: bool = False, seen: DataFrame | None = None, mark: str | None = None,
 ) -> DataFrame:
     """The next state, every id of batch or state once, with estado_carga and COUNTS; one full join.
 
     The last change of an id in the batch wins. delete_missing: stored records of a source that the batch has rows of,
-    and that it lacks, become deleted and inactive.
+    and that it lacks, become deleted and inactive. seen: those sources, where batch is a part of what came. mark: the
+    name of a further column, whether the stored row has to change.
     """
     columns = [c for c in state.columns if c != "estado_carga"]
     # Fields that updates keep come from the id's first row, the others from its last change.
     per_id = _per_id(batch, [c for c in columns if c != id_col], id_col, hash_col, seq_col)
-    sources = checked(batch.select(F.col(source_col).alias("__source")).distinct().withColumn("__seen", F.lit(True)))
+    sources = checked((batch if seen is None else seen).select(F.col(source_col).alias("__source")).distinct().withColumn("__seen", F.lit(True)))
     x = state.join(per_id, F.col(id_col) == F.col("__id"), "full_outer").join(sources, F.col(source_col) == F.col("__source"), "left")
     stored, sent = F.col(id_col).isNotNull(), F.col("__id").isNotNull()
     first_differs = stored & sent & ~F.col(hash_col).eqNullSafe(F.col("__first")[hash_col])
@@ -70,7 +71,8 @@ def merge(
     status = F.when(~stored & (mods > 0), MODIFIED).when(~stored, NEW).when(changed, MODIFIED).when(gone, DELETED).when(back, MODIFIED).otherwise(F.col("estado_carga"))
     one = lambda c: F.coalesce(c, F.lit(False)).cast("long")
     counts = [one(~stored), mods + one(first_differs), F.coalesce("__same", F.lit(0)) + one(stored & sent & ~first_differs), one(gone)]
-    return x.select(*out, status.alias("estado_carga"), *[n.cast("long").alias(name) for name, n in zip(COUNTS, counts)])
+    marked = [F.coalesce(~stored | changed | gone | back, F.lit(False)).alias(mark)] if mark else []
+    return x.select(*out, status.alias("estado_carga"), *[n.cast("long").alias(name) for name, n in zip(COUNTS, counts)], *marked)
 
 
 def upsert(batch: DataFrame, state: DataFrame, **how) -> DataFrame:

@@ -13,10 +13,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import monitoring, quality
-from ..operators.cdc import COUNTS, SnapshotTable, merge, tally
+from ..operators.bucket_state import BucketState
+from ..operators.cdc import COUNTS
 from ..operators.screening import Settings, alert_counts, evaluate, evaluation_samples, index_sizes, score_summary, screen
 from ..operators.synthetic import portfolio
-from ..schemas import INGESTION_LOG, SOURCES, STATE
+from ..schemas import INGESTION_LOG, SOURCES
 from ..sources.fetch import land_source
 from ..sources.registry import READERS, ingest
 
@@ -57,19 +58,15 @@ def read_parties(spark: SparkSession, path: str) -> DataFrame:
     return x.select(*[F.coalesce(F.col(c), F.lit("")).alias(c) if c != "es_match_plantado" else F.col(c).cast("int").alias(c) for c in x.columns])
 
 
-def ingest_all(spark: SparkSession, landing: dict[str, str], state: SnapshotTable, run_ts: str) -> tuple[DataFrame, DataFrame]:
-    """Merges every source into the state, a snapshot each: (this run's records, ingestion log rows)."""
+def ingest_all(spark: SparkSession, landing: dict[str, str], state: BucketState, run_ts: str) -> tuple[DataFrame, DataFrame]:
+    """Merges every source into the state, of which only buckets with a change are written: (this run's records, ingestion log rows)."""
     records, logs = None, []
     for name, path in landing.items():
         began = time.time()
         found, reason = ingest(spark, name, path, run_ts)
         found = found.withColumn("seq", F.monotonically_increasing_id()).persist()
-        merged = merge(found, state.read(STATE)).persist()  # counted, then written
-        counts = tally(merged).first()
         n = found.count()
-        if n:
-            state.commit(merged.drop(*COUNTS), ["fuente"])
-        merged.unpersist()
+        counts = state.merge(found).counts if n else dict.fromkeys(COUNTS, 0)
         end = time.time()
         if reason is None:
             stamp = datetime.fromtimestamp(began, timezone.utc), datetime.fromtimestamp(end, timezone.utc)
@@ -92,7 +89,7 @@ def run(
     parties_csv: str | None = None, reuse_portfolio: bool = False,
 ) -> dict:
     """All phases over landed files; reports under root/reports. Returns the summary."""
-    state = SnapshotTable(spark, f"{root}/state")
+    state = BucketState(spark, f"{root}/state")
     metrics, summary, checks, records = monitoring.empty_metrics(spark), {"run_ts": run_ts}, [], None
     if not only_matching:
         began = time.time()
@@ -103,7 +100,7 @@ def run(
         metrics = metrics.unionByName(monitoring.ingestion_metrics(expected, time.time() - began, run_ts))
         checks = [r.asDict() for r in quality.report(records, {"today": run_ts[:10]}, [r for r in quality.RULES if r is not quality.ALERT_RULE]).collect()]
         save_report(spark, [r.asDict() for r in logs.collect()], f"{root}/reports/ingestion.json")
-    sanctions = state.read(STATE).where(F.col("estado_carga") != "ELIMINADO")
+    sanctions = state.read().where(F.col("estado_carga") != "ELIMINADO")
     parties = read_parties(spark, parties_csv) if parties_csv else synthetic_parties(spark, sanctions, root, total, planted, reuse_portfolio)
     parties = parties.persist()
     began = time.time()

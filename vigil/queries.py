@@ -17,6 +17,7 @@ from .functions.hashing import content_hash, record_id
 from .functions.similarity import bound_columns, could_reach, name_similarity_expr, name_similarity_udf
 from .functions.text import match_name, normalize_text
 from .operators import monitoring, quality
+from .operators.bucket_state import BucketState
 from .operators.cdc import COUNTS, change_counts, keep_last, merge, upsert
 from .operators.screening import Settings, alert_counts, evaluate, index_sizes, score_summary, screen
 from .operators.synthetic import portfolio
@@ -27,6 +28,7 @@ from .sources.files import debarred
 from .sources.hits import read_hits
 from .sources.xml_lists import read_eu, read_sdn, read_un
 from .staging import fresh_path
+from .streaming.changes import write_changes
 from .streaming.incremental import event_windows
 
 RUN_TS = "2024-06-01 12:00:00"
@@ -318,17 +320,30 @@ _VERSIONS = """
                      true AS activo FROM orders WHERE o_orderkey % 11 <> 0 AND o_orderpriority <> '1-URGENT')"""
 
 
-@query(f"""WITH {_VERSIONS}, j AS (SELECT s.id AS s_id, b.id AS b_id, s.h IS DISTINCT FROM b.h AS diff, s.*, b.* FROM state s FULL JOIN batch b ON s.id = b.id)
+_UPSERT = f"""WITH {_VERSIONS}, j AS (SELECT s.id AS s_id, b.id AS b_id, s.h IS DISTINCT FROM b.h AS diff, s.*, b.* FROM state s FULL JOIN batch b ON s.id = b.id)
     SELECT coalesce(s_id, b_id) AS id_registro, CASE WHEN s_id IS NULL THEN s2.fuente ELSE s.fuente END AS fuente, CASE WHEN s_id IS NULL THEN s2.tipo_sujeto ELSE s.tipo_sujeto END AS tipo_sujeto,
            CASE WHEN s_id IS NULL OR (b_id IS NOT NULL AND diff) THEN s2.nombres ELSE s.nombres END AS nombres, CASE WHEN s_id IS NULL OR (b_id IS NOT NULL AND diff) THEN s2.h ELSE s.h END AS hash_contenido,
            CASE WHEN s_id IS NULL OR (b_id IS NOT NULL AND diff) THEN true WHEN b_id IS NULL AND s.e <> 'ELIMINADO' AND s.fuente IN (SELECT fuente FROM batch) THEN false ELSE s.activo END AS activo,
            CASE WHEN s_id IS NULL THEN 'NUEVO' WHEN b_id IS NOT NULL AND diff THEN 'MODIFICADO' WHEN b_id IS NULL AND s.fuente IN (SELECT fuente FROM batch) THEN 'ELIMINADO' ELSE s.e END AS estado_carga
-    FROM (SELECT s_id, b_id, diff FROM j) LEFT JOIN state s ON s.id = s_id LEFT JOIN batch s2 ON s2.id = b_id""")
+    FROM (SELECT s_id, b_id, diff FROM j) LEFT JOIN state s ON s.id = s_id LEFT JOIN batch s2 ON s2.id = b_id"""
+
+
+@query(_UPSERT)
 def cdc_upsert(spark, sf_dir):
     batch, state = _versions(spark, sf_dir)
     return upsert(batch, state)
 
 
+@query(_UPSERT)
+def cdc_buckets(spark, sf_dir):
+    """The same by a state in hash buckets: loaded, merged, and read in its new version."""
+    batch, state = _versions(spark, sf_dir)
+    stored = BucketState(spark, _landing(spark, "bucket-state"), 32, ", ".join(f"`{name}` {kind}" for name, kind in state.dtypes))
+    stored.replace(state)
+    stored.merge(batch)
+    return stored.read()
+
+
 @query(f"""WITH {_VERSIONS} SELECT count(*) FILTER (s.id IS NULL) AS nuevos, count(*) FILTER (s.id IS NOT NULL AND s.h <> b.h) AS modificados, count(*) FILTER (s.h = b.h) AS sin_cambio,
     (SELECT count(*) FROM state WHERE e <> 'ELIMINADO' AND fuente IN (SELECT fuente FROM batch) AND id NOT IN (SELECT id FROM batch)) AS eliminados
     FROM batch b LEFT JOIN state s ON s.id = b.id""")
@@ -658,6 +673,26 @@ def windowed_events(spark, sf_dir):
     return event_windows(table(spark, sf_dir, "events")).withColumn("mean_value", F.round("mean_value", 6)).withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
 
 
+#: Events of a landed file of the change feed.
+FEED_ROWS = 250_000
+
+
+@query("""WITH e AS (SELECT user_id || '/' || event_type AS id, event_id AS seq, md5(floor(value / 5)::BIGINT::VARCHAR) AS h FROM events),
+    l AS (SELECT *, lag(h) OVER w AS prev, row_number() OVER w AS k FROM e WINDOW w AS (PARTITION BY id ORDER BY seq)),
+    c AS (SELECT *, CASE WHEN k = 1 THEN 'NUEVO' WHEN h IS NOT DISTINCT FROM prev THEN 'SIN_CAMBIO' ELSE 'MODIFICADO' END AS cambio FROM l)
+    SELECT id AS id_registro, seq, h AS hash_contenido, prev AS hash_anterior, (sum((cambio <> 'SIN_CAMBIO')::INT) OVER (PARTITION BY id ORDER BY seq))::BIGINT AS version, cambio FROM c""")
+def change_stream(spark, sf_dir):
+    """A stateful stream over all events, landed in order, one file to a micro-batch: each against the last of its user and type."""
+    e = table(spark, sf_dir, "events").select(F.concat_ws("/", "user_id", "event_type").alias("id_registro"), F.col("event_id").alias("seq"), F.md5(F.floor(F.col("value") / 5).cast("string")).alias("hash_contenido"))
+    rows, last = e.agg(F.count(F.lit(1)), F.coalesce(F.max("seq"), F.lit(0))).first()
+    files = max(4, -(-rows // FEED_ROWS))
+    landing, out, checkpoint = (_landing(spark, f"feed-{name}") for name in ("in", "out", "checkpoint"))
+    for k in range(files):
+        e.where((F.col("seq") * files >= k * (last + 1)) & (F.col("seq") * files < (k + 1) * (last + 1))).coalesce(1).write.parquet(f"{landing}/{k:06d}")
+    write_changes(spark, landing, "id_registro string, seq long, hash_contenido string", out, checkpoint).awaitTermination()
+    return spark.read.parquet(out)
+
+
 @query("SELECT * FROM (VALUES (0, '', 9200), (1, 'EXACTO_NOMBRE', 320), (1, 'TIPOGRAFICO', 160), (1, 'NOMBRE_PARCIAL', 160), (1, 'ALIAS', 160)) AS t(planted, kind, n)")
 def synthetic_portfolio(spark, sf_dir):
     """Planted rows by kind: the entries have aliases but no documents, so that kind falls back to exact names."""

@@ -8,27 +8,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.cdc import MODIFIED, NEW, SnapshotTable, upsert
+from ..operators.bucket_state import BucketState
+from ..operators.cdc import MODIFIED, NEW
 from ..operators.screening import Settings, screen
-from ..schemas import SANCTION, STATE
+from ..schemas import SANCTION
 
 
-def merge_and_screen(batch: DataFrame, state: SnapshotTable, parties: DataFrame, alerts_path: str, run_id: str, run_ts: str, settings: Settings = Settings(), delete_missing: bool = False) -> int:
+def merge_and_screen(batch: DataFrame, state: BucketState, parties: DataFrame, alerts_path: str, run_id: str, run_ts: str, settings: Settings = Settings(), delete_missing: bool = False) -> int:
     """Merges a batch (with seq) into the state and writes the alerts of new and modified entries; the number of those.
 
     The alerts are a partition run_id=... of alerts_path, and are written before the state is published. So a run that
     is repeated under its run_id after a failure writes the same alerts over those of the first try or, if the state was
     published too, finds nothing changed and leaves them. run_id must be the same for a repeat, and no other batch's.
     """
-    before = state.read(STATE)
-    version = (state.versions() or [0])[-1] + 1
-    draft = state.stage(upsert(batch, before, delete_missing=delete_missing), ["fuente"])
-    known = before.select("id_registro", F.col("hash_contenido").alias("__hash"), F.lit(True).alias("__known"))
-    changed = state.staged(draft).where(F.col("estado_carga").isin(NEW, MODIFIED)).join(known, "id_registro", "left").where(F.col("__known").isNull() | ~F.col("hash_contenido").eqNullSafe(F.col("__hash"))).drop("__hash", "__known")
+    draft = state.stage(batch, delete_missing=delete_missing)
+    changed = state.rows(draft, changed_only=True).where(F.col("estado_carga").isin(NEW, MODIFIED))
     n = changed.count()
     if n:
         screen(parties, changed, settings, run_ts).write.mode("overwrite").parquet(f"{alerts_path}/run_id={run_id}")
-    state.publish(draft, version)
+    if draft.touched:
+        state.publish(draft)
     return n
 
 
@@ -39,7 +38,7 @@ def start(spark: SparkSession, landing: str, state_root: str, parties: DataFrame
     are written once; batches of other checkpoint folders have other run ids.
     """
     stream = spark.readStream.schema(SANCTION + ", seq long").parquet(landing)
-    state, name = SnapshotTable(spark, state_root), hashlib.sha256(checkpoint.rstrip("/").encode()).hexdigest()[:12]
+    state, name = BucketState(spark, state_root), hashlib.sha256(checkpoint.rstrip("/").encode()).hexdigest()[:12]
 
     def each(batch: DataFrame, batch_id: int) -> None:
         merge_and_screen(batch.persist(), state, parties, alerts_path, f"{name}-{batch_id}", run_ts, settings)

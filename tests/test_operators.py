@@ -157,6 +157,47 @@ def test_quality(spark):
     assert n["aliases_como_lista"] == 1 and n["activo_es_booleano"] == 1
 
 
+def test_quality_reads_the_records_once(spark, tmp_path, monkeypatch):
+    """One of the built-in rules' plans scans the records, the others what it leaves; a rule that fails leaves the others."""
+    import datetime as dt
+
+    rows = [(str(i), "EU", [], dt.date(2020, 1, 1), "h", str(i), "n" if i % 3 else None, None, True, i) for i in range(60)]
+    spark.createDataFrame(rows, QUALITY).write.parquet(str(tmp_path / "records"))
+    records, plans, write = spark.read.parquet(str(tmp_path / "records")), [], quality.staged
+
+    def seen(df, name):
+        plans.append([f for f in df.inputFiles() if f"{tmp_path}/records/" in f])
+        return write(df, name)
+
+    monkeypatch.setattr(quality, "staged", seen)
+    got = {r.rule: r for r in quality.report(records, {"today": "2024-01-01", "expected_sources": ["EU"]}).collect()}
+    assert sum(bool(p) for p in plans) == 1 and got["nombres_no_vacios"].error_count == 20
+
+    def broken(records, context):
+        raise ValueError("no such thing")
+
+    late = quality.Rule("tarde", "fails while it runs", lambda r, c: r.select(F.raise_error(F.lit("late")).cast("string").alias("detail")))
+    extra = [quality.Rule("rota", "fails when it is built", broken), late, quality.Rule("columna", "names a column that is missing", row=lambda r, c: (F.col("nowhere") > 0, [F.col("nowhere")]))]
+    again = {r.rule: r for r in quality.report(records, {"today": "2024-01-01", "expected_sources": ["EU"]}, quality.RULES + extra).collect()}
+    for name in ("rota", "tarde", "columna"):
+        assert not again[name].passed and again[name].error_count == 1 and again[name].errors_sample[0].startswith("the rule failed")
+    assert {k: v for k, v in again.items() if k in got} == got
+
+
+def test_alert_rules_are_evaluated_apart(spark):
+    rows = monitoring.metrics_frame(spark, {"pipeline_duration_seconds": 900, "avg_match_score": "no number", "records_per_source": {"EU": 0, "UN": "odd"}}, TS)
+
+    def broken(metrics, now):
+        return metrics.select(F.raise_error(F.lit("broken")))
+
+    def unbuilt(metrics, now):
+        raise ValueError("unbuilt")
+
+    fired, failed = monitoring.evaluate_each(rows, TS, [broken, *monitoring.ALERT_RULES, unbuilt])
+    assert {r.rule for r in fired.collect()} == {"LATENCIA_ALTA", "FUENTE_VACIA"}
+    assert [f["rule"] for f in failed] == ["broken", "unbuilt"] and "unbuilt" in failed[1]["reason"]
+
+
 def test_monitoring(spark):
     m = lambda values, ts=TS: monitoring.metrics_frame(spark, values, ts)
     fired = lambda x: {r.rule for r in monitoring.evaluate_alerts(x, TS).collect()}

@@ -211,6 +211,47 @@ def test_broken_source_is_reported(spark, tmp_path):
     assert ingest(spark, "NOPE", "x", TS)[1] == "unknown source NOPE"
 
 
+BROKEN_UN = """<LIST><INDIVIDUALS><INDIVIDUAL><DATAID>1</DATAID><FIRST_NAME>ALI</FIRST_NAME></INDIVIDUAL>
+<INDIVIDUAL><DATAID>2</DATAID><FIRST_NAME>BAD</SECOND_NAME></INDIVIDUAL>
+<INDIVIDUAL><DATAID>3</DATAID><FIRST_NAME>ZOE</FIRST_NAME></INDIVIDUAL></INDIVIDUALS></LIST>"""
+
+
+def test_bad_entries_are_set_aside(spark, tmp_path):
+    """Between others, of every source that can hold them; the others are read as ever."""
+    rejects = []
+    records, reason = ingest(spark, "UN", put(tmp_path, "un.xml", BROKEN_UN), TS, rejects)
+    assert reason is None and {r.id_fuente_original for r in records.collect()} == {"1", "3"}
+    aside = [tuple(r) for df in rejects for r in df.collect()]
+    assert [(a[0], a[2]) for a in aside] == [("UN", "malformed <INDIVIDUAL>")] and "BAD" in aside[0][1]
+    (tmp_path / "hits").mkdir()
+    put(tmp_path, "hits/0.json", json.dumps({"hits": {"total": 3, "hits": [{"_id": "1", "_source": {"name": "Firm LLC"}}, 7, None, {"_id": "2", "_source": {"name": "Other LLC"}}]}}))
+    put(tmp_path, "hits/1.json", '{"hits": {"hits": [')
+    rejects = []
+    records, reason = ingest(spark, "FCPA", str(tmp_path / "hits"), TS, rejects)
+    assert reason is None and {r.id_fuente_original for r in records.collect()} == {"1", "2"}
+    assert sorted(r.reason for df in rejects for r in df.collect()) == ["malformed hit", "malformed page"]
+
+
+def test_a_source_that_fails_late_does_not_stop_others(spark, tmp_path, monkeypatch):
+    """An error in a source's last rows is its own: it gives no records and a reason; the run lists it and goes on."""
+    from vigil.sources import registry
+
+    def late(spark, path, today, rejects):
+        """The first entry is read, the last one fails."""
+        return read_sdn(spark, path).withColumn("activo", F.when(F.col("id_fuente_original") == "36", F.lit(True)).otherwise(F.raise_error(F.lit("late failure")).cast("boolean")))
+
+    monkeypatch.setitem(registry.READERS, "EU", late)
+    landing = {"EU": put(tmp_path, "EU", SDN), "UN": put(tmp_path, "UN", BROKEN_UN)}
+    records, reason = registry.ingest(spark, "EU", landing["EU"], TS)
+    assert records.count() == 0 and "late failure" in reason
+    root = str(tmp_path / "root")
+    done = run(spark, landing, root, TS, total=100, planted=10)
+    assert done["total_terceros"] == 100
+    aside = {(r.fuente, r.reason if r.record else "source") for r in spark.read.parquet(f"{root}/quarantine").collect()}
+    assert aside == {("EU", "source"), ("UN", "malformed <INDIVIDUAL>")}
+    assert [(r.fuente, r.registros_total, r.errores) for r in spark.read.parquet(f"{root}/ingestion_log").collect()] == [("UN", 2, 1)]
+
+
 def test_whole_run(spark, tmp_path):
     landing = {"OFAC": put(tmp_path, "OFAC", SDN), "UN": put(tmp_path, "UN", UN), "EU": str(tmp_path / "none")}
     root = str(tmp_path / "root")

@@ -8,6 +8,7 @@ import logging
 import time
 from collections.abc import Callable
 from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -58,19 +59,30 @@ def read_parties(spark: SparkSession, path: str) -> DataFrame:
     return x.select(*[F.coalesce(F.col(c), F.lit("")).alias(c) if c != "es_match_plantado" else F.col(c).cast("int").alias(c) for c in x.columns])
 
 
-def ingest_all(spark: SparkSession, landing: dict[str, str], state: BucketState, run_ts: str) -> tuple[DataFrame, DataFrame]:
-    """Merges every source into the state, of which only buckets with a change are written: (this run's records, ingestion log rows)."""
+def ingest_all(spark: SparkSession, landing: dict[str, str], state: BucketState, run_ts: str, quarantine: str) -> tuple[DataFrame, DataFrame]:
+    """Merges every source into the state, of which only buckets with a change are written: (this run's records, ingestion log rows).
+
+    Records that can't be parsed, and sources that can't be read, are written to the folder quarantine (fuente, record,
+    reason), under this run's time; the log counts the former as errors.
+    """
     records, logs = None, []
     for name, path in landing.items():
-        began = time.time()
-        found, reason = ingest(spark, name, path, run_ts)
-        found = found.withColumn("seq", F.monotonically_increasing_id()).persist()
+        began, rejects = time.time(), []
+        found, reason = ingest(spark, name, path, run_ts, rejects)
+        found = found.withColumn("seq", F.monotonically_increasing_id())
         n = found.count()
         counts = state.merge(found).counts if n else dict.fromkeys(COUNTS, 0)
+        if reason is not None:
+            rejects = [spark.createDataFrame([(name, None, reason)], "fuente string, record string, reason string")]
+        aside = reduce(DataFrame.unionByName, rejects) if rejects else None
+        errors = aside.count() if aside is not None else 0
+        if errors:
+            log.warning("%s: %d records are set aside", name, errors)
+            aside.withColumn("run_ts", F.lit(run_ts)).write.mode("append").parquet(quarantine)
         end = time.time()
         if reason is None:
             stamp = datetime.fromtimestamp(began, timezone.utc), datetime.fromtimestamp(end, timezone.utc)
-            logs.append((name, *stamp, n, counts["nuevos"], counts["modificados"], counts["eliminados"], 0, end - began, "OK"))
+            logs.append((name, *stamp, n, counts["nuevos"], counts["modificados"], counts["eliminados"], errors, end - began, "OK"))
         records = found if records is None else records.unionByName(found)
     return records, spark.createDataFrame(logs, INGESTION_LOG)
 
@@ -93,7 +105,7 @@ def run(
     metrics, summary, checks, records = monitoring.empty_metrics(spark), {"run_ts": run_ts}, [], None
     if not only_matching:
         began = time.time()
-        records, logs = ingest_all(spark, landing, state, run_ts)
+        records, logs = ingest_all(spark, landing, state, run_ts, f"{root}/quarantine")
         logs.write.mode("append").parquet(f"{root}/ingestion_log")
         counts = records.groupBy("fuente").agg(F.count(F.lit(1)).alias("n"))
         expected = spark.createDataFrame([(s,) for s in landing], "fuente string").join(counts, "fuente", "left").select("fuente", F.coalesce("n", F.lit(0)).alias("n"))
@@ -119,8 +131,9 @@ def run(
     save_csv(alerts, f"{root}/reports/alerts_csv")
     metrics = metrics.unionByName(monitoring.matching_metrics(alerts, parties, run_ts))
     metrics.write.mode("append").parquet(f"{root}/metrics")
-    fired = [r.asDict() for r in monitoring.evaluate_alerts(spark.read.parquet(f"{root}/metrics"), run_ts).collect()]
-    save_report(spark, {"fired": fired, "metrics": [r.asDict() for r in monitoring.latest(metrics).collect()]}, f"{root}/reports/monitoring.json")
+    found, failed = monitoring.evaluate_each(spark.read.parquet(f"{root}/metrics"), run_ts)
+    fired = [r.asDict() for r in found.collect()]
+    save_report(spark, {"fired": fired, "failed_rules": failed, "metrics": [r.asDict() for r in monitoring.latest(metrics).collect()]}, f"{root}/reports/monitoring.json")
     return summary | result | {"fired": fired}
 
 

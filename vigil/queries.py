@@ -6,6 +6,7 @@ The portfolio is all of documents (names are the first words of a text), the lis
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -549,6 +550,28 @@ def read_un_feed(spark, sf_dir):
     return _shown(read_un(spark, path))
 
 
+@query("""SELECT CASE WHEN s_suppkey % 7 = 3 THEN 'malformed <INDIVIDUAL>' ELSE 'UN' END AS kind, CASE WHEN s_suppkey % 7 <> 3 THEN 'U' || s_suppkey END AS id_fuente_original, CASE WHEN s_suppkey % 7 <> 3 THEN 'ANA' END AS nombres FROM supplier
+    UNION ALL SELECT CASE WHEN s_suppkey % 5 = 2 THEN 'malformed hit' ELSE 'FCPA' END, CASE WHEN s_suppkey % 5 <> 2 THEN 'H' || s_suppkey END, CASE WHEN s_suppkey % 5 <> 2 THEN 'FIRM LLC' END FROM supplier
+    UNION ALL SELECT 'malformed page', NULL, NULL""")
+def quarantined_entries(spark, sf_dir):
+    """Entries that can't be parsed stand between others: the others are read, these are set aside with the reason."""
+    s, key, rejects = table(spark, sf_dir, "supplier"), F.col("s_suppkey"), []
+    broken = _tag("INDIVIDUAL", _tag("DATAID", "U", key), "<FIRST_NAME>Ana</SECOND_NAME>")
+    person = F.when(key % 7 == 3, broken).otherwise(_tag("INDIVIDUAL", _tag("DATAID", "U", key), "<FIRST_NAME>Ana</FIRST_NAME>"))
+    path = _landing(spark, "un-broken")
+    one = s.select(F.floor(key / 1000).alias("file"), person.alias("x")).groupBy("file").agg(F.array_join(F.collect_list("x"), "\n").alias("x"))
+    one.select(_tag("CONSOLIDATED_LIST", F.col("x")).alias("value")).write.option("maxRecordsPerFile", 1).text(path)
+    un = canonical(read_un(spark, path, rejects), RUN_TS)
+    hit = F.when(key % 5 == 2, F.lit('["no hit"]')).otherwise(F.to_json(F.struct(F.struct(F.lit("Firm LLC").alias("name"), F.concat(F.lit("H"), key.cast("string")).alias("file_num")).alias("_source"))))
+    pages = s.groupBy(F.floor(key / 100)).agg(F.array_join(F.collect_list(hit), ",").alias("hits")).select(F.concat(F.lit('{"hits": {"total": 1, "hits": ['), "hits", F.lit("]}}")).alias("value"))
+    path = _landing(spark, "hits-broken")
+    pages.unionByName(spark.createDataFrame([('{"hits": {"hits": [{',)], "value string")).write.text(path)
+    hits = canonical(read_hits(spark, path, multi_line=False, rejects=rejects), RUN_TS)
+    read = un.unionByName(hits).select(F.col("fuente").alias("kind"), "id_fuente_original", "nombres")
+    aside = reduce(DataFrame.unionByName, rejects).select(F.col("reason").alias("kind"), F.lit(None).cast("string").alias("id_fuente_original"), F.lit(None).cast("string").alias("nombres"))
+    return read.unionByName(aside)
+
+
 _eu_sql = _canonical_sql(
     "EU", "'E' || s_suppkey", f"CASE WHEN {_even} THEN 'PERSONA_NATURAL' ELSE 'PERSONA_JURIDICA' END", f"CASE WHEN {_even} THEN 'JOSE' ELSE 'FIRMA ' || s_suppkey END", f"CASE WHEN {_even} THEN 'RUIZ ' || s_suppkey END",
     "'OTHER ' || s_suppkey", "'DE'", "'D' || s_suppkey", "'PROG KIND'", "'2020-02-0' || (1 + s_nationkey % 9)")

@@ -9,11 +9,14 @@ from pyspark.sql import functions as F
 
 from ..functions.text import first_word_and_rest, non_empty
 from ..schemas import LEGAL, NATURAL
-from .xml_lists import _raw
+from ..staging import staged
+from .xml_lists import _raw, sound
 
-PAGE = (
-    "hits struct<total: string, hits: array<struct<_id: string, _source: struct<entity_name: string, display_names: string, title: string, name: string, file_num: string, release_no: string, "
-    "display_date_filed: string, period_of_report: string, date_filed: string, form_type: string, type: string>>>>"
+#: A page's hits stay texts until each is parsed by itself, so one that is no hit spoils no other.
+PAGE = "hits struct<total: string, hits: array<string>>"
+HIT = (
+    "_id string, _source struct<entity_name: string, display_names: string, title: string, name: string, file_num: string, release_no: string, display_date_filed: string, period_of_report: string, "
+    "date_filed: string, form_type: string, type: string>"
 )
 # Words that mark a company or a person.
 COMPANY = (
@@ -35,10 +38,13 @@ def _one(c: Column) -> Column:
     return F.when(c.startswith("["), first).otherwise(c)
 
 
-def read_hits(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
-    """Records of the pages: a page a file, or a page a line."""
-    pages = spark.read.option("multiLine", multi_line).schema(PAGE).json(path)
-    hit = pages.select(F.explode("hits.hits").alias("h")).select("h._id", "h._source.*")
+def read_hits(spark: SparkSession, path: str, multi_line: bool = True, rejects: list[DataFrame] | None = None) -> DataFrame:
+    """Records of the pages: a page a file, or a page a line. Pages and hits that can't be parsed are set aside."""
+    read = spark.read.option("multiLine", multi_line).option("columnNameOfCorruptRecord", "__bad").schema(PAGE + ", __bad string").json(path)
+    pages = sound(staged(read, "pages"), "__bad", "malformed page", rejects)
+    hit = pages.select(F.explode("hits.hits").alias("text")).where("text IS NOT NULL")
+    hit = hit.withColumn("h", F.from_json("text", HIT + ", __bad string", {"columnNameOfCorruptRecord": "__bad"})).withColumn("__bad", F.when(F.col("h.__bad").isNotNull() | F.col("h").isNull(), F.col("text")))
+    hit = sound(hit, "__bad", "malformed hit", rejects).select("h._id", "h._source.*")
     given = F.coalesce(*[F.nullif(F.nullif(F.col(c), F.lit("")), F.lit("[]")) for c in ("entity_name", "display_names", "title", "name")])
     x = hit.withColumn("__name", non_empty(_one(given))).where("__name IS NOT NULL").withColumn("__type", subject_type(F.col("__name")))
     first, rest = first_word_and_rest(F.col("__name"))

@@ -1,4 +1,4 @@
-"""The three XML lists, through Spark's splittable XML reader (one row tag each) and projections.
+"""The three XML lists: elements of a row tag each, parsed by themselves, and projections.
 
 Namespaces are left out, so a list with a default namespace reads like one without.
 """
@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import first_of, first_word_and_rest, non_empty, strip
 from ..schemas import LEGAL, NATURAL, RAW
+from ..staging import staged
 
 NAMES = "FIRST_NAME string, SECOND_NAME string, THIRD_NAME string, FOURTH_NAME string"
 SDN = (
@@ -34,8 +35,28 @@ EU = (
 )
 
 
-def _read(spark: SparkSession, path: str, tag: str, schema: str) -> DataFrame:
-    return spark.read.format("xml").option("rowTag", tag).option("ignoreNamespace", True).schema(schema).load(path)
+#: Rows that a reader sets aside: what it found, and why. Readers append to a list of such tables, if they are given one.
+REJECTED = "record string, reason string"
+
+
+def sound(df: DataFrame, bad: str, reason: str, rejects: list[DataFrame] | None) -> DataFrame:
+    """df without the rows whose column `bad` holds a record that couldn't be parsed; those go to rejects."""
+    if rejects is not None:
+        rejects.append(df.where(F.col(bad).isNotNull()).select(F.col(bad).cast("string").alias("record"), F.lit(reason).alias("reason")))
+    return df.where(F.col(bad).isNull()).drop(bad)
+
+
+def _read(spark: SparkSession, path: str, tag: str, schema: str, rejects: list[DataFrame] | None = None) -> DataFrame:
+    """The elements of a tag, parsed once; malformed ones are set aside.
+
+    Spark's XML reader ends a file at the first malformed element. So files are split at the tag's end marks, in as many
+    tasks as they have blocks, and every element is parsed by itself.
+    """
+    ends = spark.read.option("lineSep", f"</{tag}>").text(path)
+    element = ends.select(F.regexp_extract("value", rf"(?s)(<{tag}(?:\s[^>]*[^/>])?>.*)", 1).alias("element")).where("element <> ''").select(F.concat("element", F.lit(f"</{tag}>")).alias("element"))
+    options = {"ignoreNamespace": "true", "columnNameOfCorruptRecord": "__bad"}
+    parsed = element.select(F.from_xml("element", schema + ", __bad string", options).alias("x")).select("x.*")
+    return sound(staged(parsed, f"xml-{tag}"), "__bad", f"malformed <{tag}>", rejects)
 
 
 def _texts(values: Column) -> Column:
@@ -69,8 +90,8 @@ def _raw(df: DataFrame, **columns: Column) -> DataFrame:
     return df.select(*out)
 
 
-def read_sdn(spark: SparkSession, path: str) -> DataFrame:
-    x = _read(spark, path, "sdnEntry", SDN)
+def read_sdn(spark: SparkSession, path: str, rejects: list[DataFrame] | None = None) -> DataFrame:
+    x = _read(spark, path, "sdnEntry", SDN, rejects)
     first, last = non_empty(F.col("firstName")), non_empty(F.col("lastName"))
     return _raw(
         x, fuente=F.lit("OFAC"), id_fuente_original=F.coalesce(non_empty(F.col("_uid")), non_empty(F.col("uid")), F.lit("")),
@@ -84,9 +105,9 @@ def read_sdn(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def read_un(spark: SparkSession, path: str) -> DataFrame:
-    """Persons, then entities."""
-    p = _read(spark, path, "INDIVIDUAL", UN_PERSON)
+def read_un(spark: SparkSession, path: str, rejects: list[DataFrame] | None = None) -> DataFrame:
+    """Persons, then entities; malformed entries are set aside."""
+    p = _read(spark, path, "INDIVIDUAL", UN_PERSON, rejects)
     names = ["FIRST_NAME", "SECOND_NAME", "THIRD_NAME", "FOURTH_NAME"]
     first, rest = first_word_and_rest(_joined([F.col(n) for n in names]))
     known = F.concat(F.coalesce("AKA", F.array()), F.coalesce(F.flatten("INDIVIDUAL_ALIAS.AKA"), F.array()))
@@ -98,7 +119,7 @@ def read_un(spark: SparkSession, path: str) -> DataFrame:
         numero_documento=F.coalesce(non_empty(F.col("PASSPORT_NUMBER")), F.get(_texts(F.col("INDIVIDUAL_DOCUMENT._VALUE")), 0), F.get(_texts(F.col("INDIVIDUAL_DOCUMENT.NUMBER")), 0)),
         tipo_sancion=F.coalesce(non_empty(F.col("JUSTIFICATION")), F.lit("UN SANCTIONS")), fecha_sancion=F.col("LISTED_ON"),
     )
-    e = _read(spark, path, "ENTITY", UN_ENTITY)
+    e = _read(spark, path, "ENTITY", UN_ENTITY, rejects)
     entities = _raw(
         e, fuente=F.lit("UN"), id_fuente_original=F.coalesce(non_empty(F.col("DATAID")), non_empty(F.col("_DATAID")), F.lit("")), tipo_sujeto=F.lit(LEGAL), nombres=first_of(F.col("FIRST_NAME"), F.col("ENTITY_NAME")),
         aliases=F.transform(_texts(F.col("AKA.FIRST_NAME")), F.upper), nacionalidad=_texts(F.col("ENTITY_ADDRESS.COUNTRY")),
@@ -111,10 +132,15 @@ def read_un(spark: SparkSession, path: str) -> DataFrame:
 EU_TAGS = ("sanctionEntity", "entity", "Entity")
 
 
-def read_eu(spark: SparkSession, path: str, tags: tuple[str, ...] = EU_TAGS) -> DataFrame:
+def read_eu(spark: SparkSession, path: str, tags: tuple[str, ...] = EU_TAGS, rejects: list[DataFrame] | None = None) -> DataFrame:
     """The entries under the first row tag that the file has."""
-    tag = next((t for t in tags if not _read(spark, path, t, EU).isEmpty()), tags[0])
-    x = _read(spark, path, tag, EU)
+    for tag in tags:
+        own: list[DataFrame] = []
+        x = _read(spark, path, tag, EU, own)
+        if not x.isEmpty():
+            break
+    if rejects is not None:
+        rejects += own
     natural = F.contains(F.lower(F.coalesce(first_of(F.col("subjectType._code"), F.col("subjectType._classificationCode")), F.lit(""))), F.lit("person"))
     whole = lambda a: first_of(a["_wholeName"], a["_lastName"], a["_firstName"])
     named = F.filter(F.transform("nameAlias", lambda a: F.struct(whole(a).alias("name"), (F.lower(strip(a["_strong"])) == "true").alias("strong"))), lambda a: a["name"].isNotNull())

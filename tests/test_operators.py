@@ -316,3 +316,22 @@ def test_bucket_state_equals_whole_merges(spark, tmp_path):
             whole = spark.createDataFrame(upsert(batch, whole, revive_unchanged=revive).collect(), NARROW_STATE)
             assert state.merge(batch, revive_unchanged=revive).counts == counts
             assert sorted(map(tuple, state.read().collect())) == sorted(map(tuple, whole.select(*state.read().columns).collect()))
+
+
+def test_lineage_is_joined_once_a_run(spark, tmp_path, monkeypatch):
+    from vigil.schemas import ALERT as SCHEMA
+
+    history = monitoring.AlertHistory(spark, str(tmp_path / "h"))
+    alert = lambda t, r: spark.createDataFrame([(t, r, "EU", "ALIAS", 0.9, "n", "m", False, None)], SCHEMA)
+    people, list_ = parties(spark, [("t", "A", "B", "1", 0)]), entries(spark, [("r", "EU", "A", "B", "1", [])])
+    assert history.read().count() == 0 and history.refresh(list_, people) == []
+    history.store(alert("t", "r"), "2024-06-01 00:00:00")
+    assert history.refresh(list_, people) == ["2024-06-01-00-00-00"] and history.refresh(list_, people) == []
+    history.store(alert("gone", "r"), "2024-06-02 00:00:00")
+    # A later refresh joins the new run alone, so the older one keeps what was on record.
+    assert history.refresh(list_.withColumn("nombres", F.lit("renamed")), people) == ["2024-06-02-00-00-00"]
+    got = {r.run_id: (r.sancion_nombres, r.tercero_id) for r in history.read().collect()}
+    assert got == {"2024-06-01-00-00-00": ("A", "t"), "2024-06-02-00-00-00": ("renamed", None)}
+    # A run whose view was left half written is joined again.
+    (tmp_path / "h" / "lineage" / "run_id=2024-06-02-00-00-00" / "_SUCCESS").unlink()
+    assert history.runs("lineage") == ["2024-06-01-00-00-00"] and history.refresh(list_, people) == ["2024-06-02-00-00-00"] and history.read().count() == 2

@@ -116,10 +116,11 @@ def run(
     parties = read_parties(spark, parties_csv) if parties_csv else synthetic_parties(spark, sanctions, root, total, planted, reuse_portfolio)
     parties = parties.persist()
     began = time.time()
-    alerts = screen(parties, sanctions, settings, run_ts).persist()
+    history = monitoring.AlertHistory(spark, root)
+    alerts = history.store(screen(parties, sanctions, settings, run_ts), run_ts)
+    history.refresh(sanctions, parties)
     scores = score_summary(alerts, settings.high, settings.low).first().asDict()
     seconds, n = time.time() - began, parties.count()
-    alerts.withColumn("run_id", F.lit(run_ts)).write.mode("append").parquet(f"{root}/alerts")
     # Alerts can be checked only now; the report holds all rules.
     checks += [r.asDict() for r in quality.report(sanctions, {"alerts": alerts, "parties": parties, "sanctions": sanctions}, [quality.ALERT_RULE]).collect()]
     summary |= {"quality_passed": all(r["passed"] for r in checks), "quality_errors": sum(r["error_count"] for r in checks)}

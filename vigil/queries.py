@@ -289,15 +289,30 @@ def screening_evaluation(spark, sf_dir):
 _urls = ", ".join(f"('{k}', '{v}')" for k, v in monitoring.SOURCE_URLS.items())
 
 
-@query(f"""WITH {ALERTS}, urls(s, u) AS (VALUES {_urls})
+_LINEAGE = f"""WITH {ALERTS}, urls(s, u) AS (VALUES {_urls})
     SELECT a.id_tercero, a.id_registro, a.tipo_match, a.score_similitud AS score, p.id_tercero AS tercero_id, trim(concat_ws(' ', p.nombres, p.apellidos)) AS tercero_nombre, p.numero_documento AS tercero_documento,
            l.id_registro AS sancion_id, l.nombres AS sancion_nombres, l.fuente AS sancion_fuente, l.id_fuente_original, coalesce(u, 'desconocida') AS url,
            'look for id ' || coalesce(l.id_fuente_original, 'None') || ' in ' || coalesce(u, 'desconocida') AS instruccion
-    FROM alerts a LEFT JOIN people p USING (id_tercero) LEFT JOIN listed l ON l.id_registro = a.id_registro LEFT JOIN urls ON s = l.fuente""")
+    FROM alerts a LEFT JOIN people p USING (id_tercero) LEFT JOIN listed l ON l.id_registro = a.id_registro LEFT JOIN urls ON s = l.fuente"""
+
+
+@query(_LINEAGE)
 def alert_lineage(spark, sf_dir):
     return monitoring.lineage(_alerts(spark, sf_dir), entries(spark, sf_dir), parties(spark, sf_dir)).drop("timestamp")
 
 
+@query(f"""WITH v AS ({_LINEAGE}) SELECT 'a' AS run_id, * FROM v UNION ALL SELECT 'b', * FROM v WHERE tipo_match = 'EXACTO_DOCUMENTO'""")
+def lineage_view(spark, sf_dir):
+    """Two stored runs, the second with the first's document alerts alone; each refresh joins the run that is new, and screens none."""
+    history, list_, people = monitoring.AlertHistory(spark, _landing(spark, "history")), entries(spark, sf_dir), parties(spark, sf_dir)
+    first = history.store(_alerts(spark, sf_dir), "a")
+    joined = history.refresh(list_, people)
+    history.store(first.where("tipo_match = 'EXACTO_DOCUMENTO'"), "b")
+    joined += history.refresh(list_, people)
+    assert joined == ["a", "b"] and history.refresh(list_, people) == []
+    return history.read().drop("timestamp")
+
+
 # Change capture: the state is the orders, the batch the customers' and the orders' next version
 
 

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import STATE
-from .cdc import COUNTS, merge
+from .cdc import COUNTS, DELETED, merge
 
 NARROW = ["id_registro", "fuente", "hash_contenido", "activo", "estado_carga"]
 
@@ -79,6 +79,10 @@ class BucketState:
         paths = sorted({f"{self.root}/{path}" for b, path in found.items() if buckets is None or b in set(buckets)})
         return self.spark.read.schema(self.schema).parquet(*paths) if paths else self.spark.createDataFrame([], self.schema)
 
+    def current(self) -> DataFrame:
+        """The records that aren't deleted."""
+        return self.read().where(F.col("estado_carga") != DELETED)
+
     def stage(self, batch: DataFrame, delete_missing: bool = True, revive_unchanged: bool = False) -> Draft:
         """Merges a batch (with seq) as cdc.merge does, and writes the buckets where something changes. batch is read twice."""
         version, before = (self.versions() or [0])[-1] + 1, self.manifest()

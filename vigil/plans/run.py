@@ -112,7 +112,7 @@ def run(
         metrics = metrics.unionByName(monitoring.ingestion_metrics(expected, time.time() - began, run_ts))
         checks = [r.asDict() for r in quality.report(records, {"today": run_ts[:10]}, [r for r in quality.RULES if r is not quality.ALERT_RULE]).collect()]
         save_report(spark, [r.asDict() for r in logs.collect()], f"{root}/reports/ingestion.json")
-    sanctions = state.read().where(F.col("estado_carga") != "ELIMINADO")
+    sanctions = state.current()
     parties = read_parties(spark, parties_csv) if parties_csv else synthetic_parties(spark, sanctions, root, total, planted, reuse_portfolio)
     parties = parties.persist()
     began = time.time()

@@ -23,6 +23,7 @@ from .operators.cdc import COUNTS, change_counts, keep_last, merge, upsert
 from .operators.screening import Settings, alert_counts, evaluate, index_sizes, score_summary, screen
 from .operators.synthetic import portfolio
 from .packaging import ship
+from .plans.run import ingest_all, read_parties, save_csv, save_report
 from .sources.canonical import canonical
 from .sources.delimited import delimited, read_delimited
 from .sources.files import debarred
@@ -738,3 +739,82 @@ def synthetic_portfolio(spark, sf_dir):
     x = x.withColumn("tipo_sujeto", F.lit("PERSONA_NATURAL")).withColumn("fecha_nacimiento", F.lit(None).cast("date")).withColumn("nacionalidad", F.array(F.lit("CO")))
     rows, _ = portfolio(x, 10_000, 800)
     return rows.groupBy(F.col("es_match_plantado").alias("planted"), F.coalesce("tipo_match_plantado", F.lit("")).alias("kind")).agg(F.count(F.lit(1)).alias("n"))
+
+
+# What a run writes and reads again, and what it survives
+
+
+@query(f"WITH {ALERTS} SELECT * FROM alerts")
+def alerts_csv(spark, sf_dir):
+    """The alerts by way of the CSV report."""
+    path = _landing(spark, "alerts-csv")
+    alerts = _alerts(spark, sf_dir).drop("timestamp")
+    save_csv(alerts, path)
+    return spark.read.option("header", True).option("escape", '"').option("multiLine", True).schema(alerts.schema).csv(path).select(*[F.coalesce(c, F.lit("")).alias(c) if kind == "string" else F.col(c) for c, kind in alerts.dtypes])
+
+
+@query(f"""WITH {PEOPLE} SELECT id_tercero, 'PERSONA_NATURAL' AS tipo_sujeto, coalesce(nombres, '') AS nombres, coalesce(apellidos, '') AS apellidos, coalesce(numero_documento, '') AS numero_documento, planted::INT AS es_match_plantado FROM people""")
+def portfolio_csv(spark, sf_dir):
+    """The portfolio by way of a CSV file: texts only, nulls as empty texts, the planted flag as a number."""
+    path = _landing(spark, "portfolio-csv")
+    save_csv(parties(spark, sf_dir), path)
+    return read_parties(spark, path)
+
+
+@query(f"""WITH {ALERTS} SELECT count(*) AS total_alertas, coalesce(min(score_similitud), 0) AS min_score, coalesce(max(score_similitud), 0) AS max_score, round(coalesce(avg(score_similitud), 0), 6) AS avg_score FROM alerts""")
+def report_json(spark, sf_dir):
+    """The scores by way of the JSON report."""
+    path = _landing(spark, "report") + ".json"
+    save_report(spark, score_summary(_alerts(spark, sf_dir), SETTINGS.high, SETTINGS.low).first().asDict(), path)
+    x = spark.read.option("multiLine", True).schema("total_alertas long, min_score double, max_score double, avg_score double").json(path)
+    return x.withColumn("avg_score", F.round("avg_score", 6))
+
+
+@query(f"""WITH {_MEASURED} SELECT 'TASA_MATCHES_ANOMALA' AS rule, round(v, 6) AS value FROM b WHERE k = 1 AND base > 0 AND (v - base) / base > 0.5
+    UNION ALL SELECT 'FUENTE_VACIA', count(*)::DOUBLE FROM s WHERE n = 0 HAVING count(*) > 0
+    UNION ALL SELECT 'failed: fails_late', NULL UNION ALL SELECT 'failed: fails_at_once', NULL""")
+def isolated_alert_rules(spark, sf_dir):
+    """Rules that fail, when they are built or while they run, stand between others: those fire as ever, these are listed."""
+
+    def fails_at_once(metrics, now):
+        raise ValueError("no such metric")
+
+    def fails_late(metrics, now):
+        return metrics.where(F.raise_error(F.lit("bad value")).cast("boolean"))
+
+    fired, failed = monitoring.evaluate_each(_history(spark, sf_dir), RUN_TS, [fails_at_once, monitoring.rate_jump, fails_late, monitoring.empty_source])
+    listed = spark.createDataFrame([(f"failed: {f['rule']}", None) for f in failed], "rule string, value double")
+    return fired.select("rule", F.round("value", 6).alias("value")).unionByName(listed)
+
+
+def _people_feed(spark, sf_dir, keep: str, name: Column) -> str:
+    """A UN list of the suppliers that keep holds for; every 29th entry is malformed."""
+    key = F.col("s_suppkey")
+    person = F.when(key % 29 == 5, _tag("INDIVIDUAL", _tag("DATAID", "U", key), "<FIRST_NAME>")).otherwise(_tag("INDIVIDUAL", _tag("DATAID", "U", key), _tag("FIRST_NAME", "Ana "), _tag("LISTED_ON", "2019-01-01"), _tag("JUSTIFICATION", name)))
+    path = _landing(spark, "people")
+    one = table(spark, sf_dir, "supplier").where(keep).select(F.floor(key / 1000).alias("file"), person.alias("x")).groupBy("file").agg(F.array_join(F.collect_list("x"), "\n").alias("x"))
+    one.select(_tag("LIST", F.col("x")).alias("value")).write.option("maxRecordsPerFile", 1).text(path)
+    return path
+
+
+@query("""WITH s AS (SELECT *, s_suppkey % 29 = 5 AS bad FROM supplier), a AS (SELECT * FROM s WHERE s_suppkey % 3 <> 0), b AS (SELECT * FROM s WHERE s_suppkey % 3 <> 1)
+    SELECT 1 AS run, 'UN' AS fuente, count(*) FILTER (NOT bad) AS registros_total, count(*) FILTER (NOT bad) AS registros_nuevos, 0::BIGINT AS registros_modificados, 0::BIGINT AS registros_eliminados, (count(*) FILTER (bad))::INT AS errores FROM a
+    UNION ALL SELECT 2, 'UN', count(*) FILTER (NOT bad), count(*) FILTER (NOT bad AND s_suppkey % 3 = 0), count(*) FILTER (NOT bad AND s_suppkey % 3 = 2 AND s_suppkey % 2 = 0),
+        (SELECT count(*) FROM a WHERE NOT bad AND s_suppkey % 3 = 1), (count(*) FILTER (bad))::INT FROM b""")
+def ingestion_log(spark, sf_dir):
+    """Two runs over lists of the suppliers, with malformed entries, a source that can't be read and one that is unknown: the logs of the source that can."""
+    state, aside = BucketState(spark, _landing(spark, "run-state"), 16), _landing(spark, "quarantine")
+    logs = []
+    for n, keep, name in ((1, "s_suppkey % 3 <> 0", F.lit("first")), (2, "s_suppkey % 3 <> 1", F.when(F.col("s_suppkey") % 2 == 0, "second").otherwise("first"))):
+        landing = {"OFAC": _landing(spark, "nothing-there"), "UN": _people_feed(spark, sf_dir, keep, name), "NOPE": "x"}
+        logs.append(ingest_all(spark, landing, state, RUN_TS, aside)[1].withColumn("run", F.lit(n)))
+    return reduce(DataFrame.unionByName, logs).select("run", "fuente", "registros_total", "registros_nuevos", "registros_modificados", "registros_eliminados", "errores")
+
+
+@query(f"""WITH {_VERSIONS} SELECT id AS id_registro, fuente, h AS hash_contenido FROM state WHERE e <> 'ELIMINADO'""")
+def state_without_deleted(spark, sf_dir):
+    """What screening reads of the stored state: records that aren't deleted."""
+    _, state = _versions(spark, sf_dir)
+    stored = BucketState(spark, _landing(spark, "stored-state"), 16, ", ".join(f"`{name}` {kind}" for name, kind in state.dtypes))
+    stored.replace(state)
+    return stored.current().select("id_registro", "fuente", "hash_contenido")

@@ -423,3 +423,24 @@ def test_change_feed_keeps_its_state(spark, tmp_path):
     assert turn() == against_last(batches[:3])  # nothing new has landed
     land(3)
     assert turn() == against_last(batches)
+
+
+def test_pages_data_source_and_table_function(spark, tmp_path):
+    from vigil.sources import pages as source
+
+    source.register(spark)
+    (tmp_path / "p").mkdir()
+    for k in range(7):
+        put(tmp_path, f"p/{k:03d}.html", page([[f"Firm {k}", "Peru", "2020-01-01", "2030-01-01", "Fraud"], [f"Other {k}", "", "", "", ""]]))
+    put(tmp_path, "p/note.txt", "no page")
+    read = spark.read.format("vigil_pages").option("pattern", "*.html").option("taskBytes", 500).load(str(tmp_path / "p"))
+    assert read.rdd.getNumPartitions() > 2
+    rows = sorted(read.collect(), key=lambda r: r.page)
+    assert [r.page for r in rows] == list(range(7)) and all(bytes(r.content) == (tmp_path / "p" / f"{r.page:03d}.html").read_bytes() for r in rows)
+    whole = {str(tuple(r)) for r in files.read_debarred(spark, str(tmp_path / "p" / "*.html"), "2024-06-01").collect()}
+    assert {str(tuple(r)) for r in files.debarred(read, "2024-06-01").collect()} == whole and len(whole) == 14
+    read.selectExpr("page", "CAST(content AS STRING) AS html").unionByName(spark.createDataFrame([(99, None), (98, "<p>")], "page int, html string")).createOrReplaceTempView("landed")
+    got = {tuple(r) for r in spark.sql("SELECT l.page, t.row, t.name, t.country FROM landed l, LATERAL html_table_rows(l.html) t").collect()}
+    assert got == {(k, n, f"{w} {k}", c) for k in range(7) for n, w, c in ((1, "Firm", "Peru"), (2, "Other", ""))}
+    (tmp_path / "none").mkdir()
+    assert spark.read.format("vigil_pages").load(str(tmp_path / "none")).count() == 0

@@ -28,6 +28,7 @@ from .sources.canonical import canonical
 from .sources.delimited import delimited, read_delimited
 from .sources.files import debarred
 from .sources.hits import read_hits
+from .sources.pages import register as register_pages
 from .sources.xml_lists import read_eu, read_sdn, read_un
 from .staging import fresh_path
 from .streaming.changes import write_changes
@@ -664,17 +665,58 @@ def read_hits_feed(spark, sf_dir):
     return read_hits(spark, path, multi_line=False).select("id_fuente_original", "tipo_sujeto", "nombres", "apellidos", "tipo_sancion")
 
 
-@query("""SELECT 'Firm ' || url AS nombres, CASE WHEN page_id % 2 = 0 THEN 'Peru' ELSE 'Chile' END AS country, 'WB_1_' || substr('Firm ' || url, 1, 30) AS id_fuente_original,
-    CASE WHEN page_id % 3 = 0 THEN NULL ELSE '2023-01-31' END AS fecha_vencimiento, page_id % 3 = 0 AS activo FROM pages QUALIFY row_number() OVER (PARTITION BY upper('Firm ' || url) ORDER BY page_id) = 1""")
-def read_debarred_pages(spark, sf_dir):
+_DEBARRED = """SELECT 'Firm ' || url AS nombres, CASE WHEN page_id % 2 = 0 THEN 'Peru' ELSE 'Chile' END AS country, 'WB_1_' || substr('Firm ' || url, 1, 30) AS id_fuente_original,
+    CASE WHEN page_id % 3 = 0 THEN NULL ELSE '2023-01-31' END AS fecha_vencimiento, page_id % 3 = 0 AS activo FROM pages QUALIFY row_number() OVER (PARTITION BY upper('Firm ' || url) ORDER BY page_id) = 1"""
+
+
+def _debarred_html() -> Column:
     cell = lambda c: F.concat(F.lit("<td> "), c, F.lit(" </td>"))
-    body = F.concat(
+    return F.concat(
         F.lit("<html><table><tr><th>Firm Name</th><th>Country</th><th>From</th><th>To</th><th>Grounds</th></tr><tr>"), cell(F.concat(F.lit("Firm "), "url")),
         cell(F.when(F.col("page_id") % 2 == 0, "Peru").otherwise("Chile")), cell(F.lit("2020-01-31")), cell(F.when(F.col("page_id") % 3 == 0, "Indefinite").otherwise("2023-01-31")), cell(F.lit("Fraud")), F.lit("</tr></table></html>"))
-    pages = table(spark, sf_dir, "pages").select(F.lpad(F.col("page_id").cast("string"), 12, "0").alias("path"), body.cast("binary").alias("content"))
+
+
+def _debarred_shown(pages: DataFrame) -> DataFrame:
     return debarred(pages, "2024-06-01").select("nombres", F.get("nacionalidad", 0).alias("country"), "id_fuente_original", "fecha_vencimiento", "activo")
 
 
+@query(_DEBARRED)
+def read_debarred_pages(spark, sf_dir):
+    return _debarred_shown(table(spark, sf_dir, "pages").select(F.lpad(F.col("page_id").cast("string"), 12, "0").alias("path"), _debarred_html().cast("binary").alias("content")))
+
+
+@query(_DEBARRED)
+def read_landed_pages(spark, sf_dir):
+    """The same by the data source: the pages are landed, a file each, and read by several tasks."""
+    register_pages(spark)
+    path = _landing(spark, "pages")
+    named = table(spark, sf_dir, "pages").select(F.concat(F.lpad(F.col("page_id").cast("string"), 12, "0"), F.lit(".html")).alias("name"), _debarred_html().cast("binary").alias("content"))
+
+    def land(batches):
+        import os
+
+        import pyarrow as pa
+
+        folder = path.removeprefix("file://").removeprefix("file:")
+        os.makedirs(folder, exist_ok=True)
+        for batch in batches:
+            for name, content in zip(batch["name"].to_pylist(), batch["content"].to_pylist()):
+                with open(f"{folder}/{name}", "wb") as f:
+                    f.write(content)
+            yield pa.RecordBatch.from_pydict({"n": pa.array([len(batch)], pa.int64())})
+
+    named.mapInArrow(land, "n long").agg(F.sum("n")).collect()  # lands them
+    return _debarred_shown(spark.read.format("vigil_pages").option("pattern", "*.html").option("taskBytes", 1 << 16).load(path))
+
+
+@query("SELECT page_id, 1 AS row, 'Firm ' || url AS name, CASE WHEN page_id % 2 = 0 THEN 'Peru' ELSE 'Chile' END AS country, CASE WHEN page_id % 3 = 0 THEN 'Indefinite' ELSE '2023-01-31' END AS \"to\" FROM pages")
+def table_function(spark, sf_dir):
+    """HTML tables by the table function, in SQL."""
+    register_pages(spark)
+    pages = table(spark, sf_dir, "pages").select("page_id", _debarred_html().alias("html"))
+    return spark.sql("SELECT p.page_id, t.row, t.name, t.country, t.to FROM {pages} p, LATERAL html_table_rows(p.html) t", pages=pages)
+
+
 @query("""SELECT 'PACO_PENAL' AS fuente, 'C' || c_custkey AS numero_documento, c_name AS nombres, c_mktsegment AS tipo_sancion, c_nationkey % 2 = 0 AS activo FROM customer""")
 def read_delimited_files(spark, sf_dir):
     c = table(spark, sf_dir, "customer")

@@ -23,7 +23,6 @@ from fractions import Fraction
 from math import comb
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -147,22 +146,23 @@ def roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.array([find(x) for x in range(n)])
 
 
-def _verify(k: int, threshold: float, tolerance: float) -> Callable[[pd.DataFrame], pd.DataFrame]:
-    def run(tile: pd.DataFrame) -> pd.DataFrame:
-        within = tile["i"].iat[0] == tile["j"].iat[0]
-        tile = tile.drop_duplicates("node").sort_values("node", ignore_index=True)
+def _verify(k: int, threshold: float, tolerance: float) -> Callable[[pa.Table], pa.Table]:
+    def run(tile: pa.Table) -> pa.Table:
+        within = tile["i"][0].as_py() == tile["j"][0].as_py()
+        at = {node: row for row, node in enumerate(tile["node"].to_pylist())}  # a node's last row, if it has several
+        nodes = sorted(at)
+        tile = tile.take(pa.array([at[node] for node in nodes], pa.int64()))
         sets: list[np.ndarray] = []
-        for _, data, offsets in chunks(pa.array(tile["text"], pa.large_string())):
+        for _, data, offsets in chunks(tile["text"].combine_chunks()):
             flat, counts = shingles(*word_hashes(data, offsets), k)
             sets += [np.unique(x) for x in np.split(flat, np.cumsum(counts)[:-1])]
-        a, b = similar_pairs(sets, None if within else tile["side"].to_numpy(), threshold, tolerance)
-        weight = tile["copies"].to_numpy()
-        links = np.zeros(len(tile), np.int64)
+        a, b = similar_pairs(sets, None if within else np.asarray(tile["side"]), threshold, tolerance)
+        weight, links = np.asarray(tile["copies"]), np.zeros(len(nodes), np.int64)
         np.add.at(links, a, weight[b])
         np.add.at(links, b, weight[a])
         some = np.flatnonzero(links)
-        root = roots(len(tile), a, b)
-        return pd.DataFrame({"node": tile["node"].to_numpy()[some], "root": tile["node"].to_numpy()[root[some]], "links": links[some]})
+        root = roots(len(nodes), a, b)
+        return pa.table({"node": pa.array([nodes[x] for x in some], pa.binary()), "root": pa.array([nodes[root[x]] for x in some], pa.binary()), "links": pa.array(links[some])})
 
     return run
 
@@ -210,7 +210,7 @@ def ngram_join(docs: DataFrame, words: int = 5, threshold: float = 0.8, toleranc
         "root", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"), "node", "text", "copies",
         F.when(F.col("block") > F.col("with"), 1).otherwise(0).alias("side"),
     )
-    found = tiles.groupBy("root", "i", "j").applyInPandas(_verify(words, threshold, tolerance), "node binary, root binary, links long")
+    found = tiles.groupBy("root", "i", "j").applyInArrow(_verify(words, threshold, tolerance), "node binary, root binary, links long")
     found = written(found, "join-found")
     clusters = written(connected(found.select(F.col("node").alias("a"), F.col("root").alias("b"))), "join-clusters")
     named = clusters.join(classes.select("node", "first_id"), "node").groupBy("root").agg(F.min("first_id").alias("cluster_id"), F.count(F.lit(1)).alias("texts"))

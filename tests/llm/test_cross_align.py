@@ -80,9 +80,7 @@ def test_edges(spark, edges, edge_rows, nothing, clashing, paths):
 
 
 def test_random_texts(spark, paths, monkeypatch):
-    monkeypatch.setattr(cross_align, "BLOCK_ROWS", 16)
-    monkeypatch.setattr(cross_align, "BLOCK_TEXT", 32)
-    monkeypatch.setattr(cross_align, "AT_ONCE", 20)
+    monkeypatch.setattr(cross_align, "BLOCK_BYTES", 1500)
     rng = random.Random(8)
     alphabet = ["a", "b", "'s", "'", "1", "23", "é", "漢", "字", " ", " ", " ", "  ", "\n", "\t", " ", "　", "!", "...", "<|endoftext|>", "<s>", "<0x41>", "The", "\U0001f600", "\0", "́", "½", "▁", "İ", "ﬁ", "word", "\r"]
     texts = ["".join(rng.choice(alphabet) for _ in range(rng.randint(1, 40))) for _ in range(400)]

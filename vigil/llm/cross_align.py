@@ -42,19 +42,27 @@ from .encoding import _byte_letters, _ranks
 SPACE = "▁"
 #: A border: a single space between visible ASCII characters, letters or digits.
 BORDER = r"(?<=[!-~\p{L}\p{N}]) (?=[!-~\p{L}\p{N}])"
-#: A block holds at most BLOCK_ROWS texts of BLOCK_TEXT bytes, or half as many of twice the size, and so on.
-BLOCK_ROWS, BLOCK_TEXT = 8192, 16384
+#: Bytes of the texts that are put together in one task, on average; a longer text makes its block larger.
+BLOCK_BYTES = 16 << 20
+#: Bytes of rows of one block that are packed together at most.
+PACK = 8 << 20
 #: Segments that are put together at once.
-AT_ONCE = 500_000
+AT_ONCE = 200_000
 
 
 @cache
-def byte_level(path: str) -> tuple[Callable[[list[str]], list[list[int]]], list[bytes]]:
-    """A's encoder of texts, each with a space before it, and the bytes of its ids. Special strings are plain text."""
+def _library(path: str):
+    """The library's own tokenizer, loaded only where it is needed: idle workers keep what they have loaded."""
     from tokenizers import Tokenizer
 
     whole = Tokenizer.from_file(path)
     whole.encode_special_tokens = True
+    return whole
+
+
+@cache
+def byte_level(path: str) -> tuple[Callable[[list[str]], list[list[int]]], list[bytes]]:
+    """A's encoder of texts, each with a space before it, and the bytes of its ids. Special strings are plain text."""
     with open(path, encoding="utf-8") as f:
         spec = json.load(f)
     if spec.get("normalizer") or (spec.get("pre_tokenizer") or {}).get("type") != "ByteLevel" or spec["pre_tokenizer"].get("add_prefix_space"):
@@ -64,7 +72,7 @@ def byte_level(path: str) -> tuple[Callable[[list[str]], list[list[int]]], list[
     ranks = _ranks(path)
 
     def library(text: str) -> list[int]:
-        return whole.encode(text, add_special_tokens=False).ids
+        return _library(path).encode(text, add_special_tokens=False).ids
 
     if ranks is None:
         return lambda texts: [library(" " + t) for t in texts], tokens
@@ -117,16 +125,16 @@ def _encoded(segments: DataFrame, a_path: str, b_path: str) -> tuple[DataFrame,
                     raise ValueError("a tokenizer changed the bytes of a text")
                 columns.append(_ids(got))
             yield pa.RecordBatch.from_arrays([batch["seg"], batch["n"], *columns], names=["seg", "n", "a", "b"])
+        pa.default_memory_pool().release_unused()
 
     out = segments.mapInArrow(encode, "seg string, n long, a array<int>, b array<int>")
     return kept(out.select(F.monotonically_increasing_id().alias("num"), "*"), "segments")
 
 
 def _lengths(spark: SparkSession, tokens: list[list[bytes]]) -> DataFrame:
-    """Byte lengths of both vocabularies: side, id, len."""
+    """Byte lengths of both vocabularies: token (twice the id, and 1 for B), len."""
     rows = pa.table({
-        "side": pa.array([s for s, side in enumerate(tokens) for _ in side], pa.int32()), "id": pa.array([i for side in tokens for i in range(len(side))], pa.int32()),
-        "len": pa.array([len(t) for side in tokens for t in side], pa.int64()),
+        "token": pa.array([2 * i + side for side, own in enumerate(tokens) for i in range(len(own))], pa.int32()), "len": pa.array([len(t) for own in tokens for t in own], pa.int32()),
     })
     return spark.createDataFrame(rows)
 
@@ -135,24 +143,23 @@ def _aligned(encoded: DataFrame, lengths: DataFrame) -> DataFrame:
     """For each segment (num, seg, n): n_a, n_b, its groups as text, and links, the pairs of tokens that end together."""
 
     def stream(column: str, side: int):
-        return F.transform(column, lambda id, pos: F.struct(F.lit(side).alias("side"), pos.alias("pos"), id.alias("id")))
+        return F.transform(column, lambda id, pos: F.struct(F.lit(side).alias("side"), pos.alias("pos"), (id * 2 + side).alias("token")))
 
     # Dealt by segment before tokens are rows; none of what follows moves them again.
-    tokens = encoded.select("num", "a", "b").repartition("num").select("num", F.explode(F.concat(stream("a", 0), stream("b", 1))).alias("t")).select("num", "t.*")
+    tokens = encoded.select("num", "a", "b").repartition("num").select("num", F.inline(F.concat(stream("a", 0), stream("b", 1))))
     until = Window.partitionBy("num", "side").orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ends = tokens.join(F.broadcast(lengths), ["side", "id"]).withColumn("end", F.sum("len").over(until))
+    ends = tokens.join(F.broadcast(lengths), "token").withColumn("end", F.sum("len").over(until))
     # The equi-join of the two streams on (segment, end), as one grouping: a side has one token an end.
-    a, b = F.col("side") == 0, F.col("side") == 1
-    met = ends.groupBy("num", "end").agg(*[F.max(F.when(side, F.col(c))).alias(f"{name}_{c}") for name, side in (("a", a), ("b", b)) for c in ("id", "pos")]).where("a_id IS NOT NULL AND b_id IS NOT NULL")
-    cuts = met.withColumn("grp", F.row_number().over(Window.partitionBy("num").orderBy("end")) - 1)
-    links = cuts.groupBy("num").agg(F.array_sort(F.collect_list(F.struct("grp", "a_id", "b_id", "a_pos", "b_pos"))).alias("links"))
+    met = ends.groupBy("num", "end").agg(*[F.max(F.when(F.col("side") == side, F.col(c))).alias(f"{name}_{c}") for name, side in (("a", 0), ("b", 1)) for c in ("token", "pos")]).where("a_token IS NOT NULL AND b_token IS NOT NULL")
+    # In the order of their ends, the number of cuts before a cut is its group's.
+    links = met.groupBy("num").agg(F.array_sort(F.collect_list(F.struct("end", "a_token", "b_token", "a_pos", "b_pos"))).alias("links"))
 
     def part(ids: str, pos: str, link, at):
         before = F.when(at == 0, F.lit(-1)).otherwise(F.get("links", at - 1)[pos])
         return F.array_join(F.slice(F.col(ids), before + 2, link[pos] - before).cast("array<string>"), ",")
 
     groups = F.array_join(F.transform("links", lambda x, i: F.concat(part("a", "a_pos", x, i), F.lit("|"), part("b", "b_pos", x, i))), ";")
-    pairs = F.transform("links", lambda x: F.shiftleft(x["a_id"].cast("long"), 32) + x["b_id"])
+    pairs = F.transform("links", lambda x: F.shiftleft((x["a_token"] / 2).cast("long"), 32) + ((x["b_token"] - 1) / 2).cast("long"))
     both = encoded.select("num", "seg", "n", "a", "b").repartition("num").join(links, "num")
     return both.select("num", "seg", "n", F.size("a").alias("n_a"), F.size("b").alias("n_b"), groups.alias("groups"), pairs.alias("links"))
 
@@ -181,6 +188,42 @@ COUNTS = ("n_a", "n_b", "n_groups", "n_best", "count_sum")
 SCHEMA = "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups string"
 
 
+def _packed(columns: list[str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Rows (block, columns), those of a block together, as compressed Arrow tables (block, packed): text is shuffled at half its size."""
+
+    def pack(block: int, held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        table, sink = pa.Table.from_batches(held).select(columns), pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+            out.write_table(table.combine_chunks())
+        return pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([sink.getvalue().to_pybytes()], pa.binary())], names=["block", "packed"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of, held, size = None, [], 0
+        for batch in batches:
+            blocks = np.asarray(batch["block"])
+            begins = np.flatnonzero(np.diff(blocks, prepend=blocks[:1] - 1))
+            for begin, end in zip(begins, [*begins[1:], len(batch)]):
+                if held and (blocks[begin] != of or size >= PACK):
+                    yield pack(of, held)
+                    held, size = [], 0
+                of, part = int(blocks[begin]), batch.slice(begin, end - begin)
+                held.append(part)
+                size += part.get_total_buffer_size() * len(part) // max(1, len(batch))
+        if held:
+            yield pack(of, held)
+
+    return run
+
+
+def _unpacked(rows: pa.Table, schema: pa.Schema) -> pa.Table:
+    tables = [pa.ipc.open_stream(blob.as_buffer()).read_all().cast(schema) for blob in rows["packed"]]
+    return pa.concat_tables(tables) if tables else schema.empty_table()
+
+
+TEXTS = pa.schema([("doc_id", pa.int64()), ("marked", pa.string())])
+ENTRIES = pa.schema([("seg", pa.string()), *[(c, pa.int64()) for c in COUNTS], ("groups", pa.string())])
+
+
 def _assemble(texts: pa.Table, entries: pa.Table) -> pa.Table:
     """A block's texts, from the entries of its segments."""
     schema = pa.schema([("doc_id", pa.int64()), *[(c, pa.int64()) for c in ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum")], ("groups", pa.string())])
@@ -204,6 +247,7 @@ def _assemble(texts: pa.Table, entries: pa.Table) -> pa.Table:
             own = places[offsets[i] : offsets[j]]
             sums = {c: pa.array(np.add.reduceat(v[own], offsets[i:j] - offsets[i])) for c, v in columns.items()}
             strings = pc.binary_join(pa.ListArray.from_arrays(pa.array((offsets[i : j + 1] - offsets[i]).astype(np.int32)), groups.take(pa.array(own))), ";")
+            del own
             out.append(pa.RecordBatch.from_arrays([ids[i:j], sums["n_a"], sums["n_b"], sums["n_groups"], sums["n_groups"], sums["n_best"], sums["count_sum"], strings], schema=schema))
             i = j
     return pa.Table.from_batches(out, schema=schema)
@@ -214,20 +258,29 @@ def align(docs: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id", tex
     spark = docs.sparkSession
     ship(spark)
     text = F.col(text_col).cast("string")
+    blocks = docs.agg(F.ceil(F.coalesce(F.sum(F.octet_length(text)), F.lit(0)) / BLOCK_BYTES).alias("n")).first()["n"]
     marked = F.when((F.length(text) > 0) & ~F.contains(text, F.lit(SPACE)), F.regexp_replace(text, BORDER, SPACE))
-    larger = F.least(F.lit(int(np.log2(BLOCK_ROWS))), F.greatest(F.lit(0), F.ceil(F.log2(F.octet_length(F.coalesce(text, F.lit(""))) / BLOCK_TEXT))))
-    # Rows of a task, by size, in order.
-    row, sizes = F.monotonically_increasing_id(), int(np.log2(BLOCK_ROWS)) + 1
-    block = F.floor(row / F.pow(F.lit(2.0), F.lit(sizes - 1) - larger)) * sizes + larger
-    rows = written(docs.select(F.col(id_col).cast("long").alias("doc_id"), marked.alias("marked"), block.cast("long").alias("block")), "marked")
-    needs = written(rows.select("block", F.explode(F.split("marked", SPACE)).alias("seg")).groupBy("block", "seg").agg(F.count(F.lit(1)).alias("n")), "block-segments")
+    number = F.col(id_col).cast("long")
+    # By id and text, so that copies of a text spread.
+    rows = docs.select(number.alias("doc_id"), marked.alias("marked"), F.pmod(F.xxhash64(number, text), F.lit(max(1, int(blocks)))).cast("int").alias("block"))
+    needs, needs_path = kept(rows.select("block", F.explode(F.split("marked", SPACE)).alias("seg")).groupBy("block", "seg").agg(F.count(F.lit(1)).alias("n")), "block-segments")
     _collect_garbage(spark)
     encoded, encoded_path = _encoded(needs.groupBy("seg").agg(F.sum("n").alias("n")), a_path, b_path)
     aligned, path = kept(_aligned(encoded, _lengths(spark, [byte_level(a_path)[1], pieces(b_path)[1]])), "aligned")
     drop_table(spark, encoded_path)
     _collect_garbage(spark)
-    entries = written(_entries(aligned, _pairs(aligned)), "entries")
+    entries, entries_path = kept(_entries(aligned, _pairs(aligned)), "entries")
     drop_table(spark, path)
     _collect_garbage(spark)
-    own = needs.select("block", "seg").join(entries, "seg").select("block", "seg", *COUNTS, "groups")
-    return rows.groupBy("block").cogroup(own.groupBy("block")).applyInArrow(lambda texts, some: _assemble(texts, some), SCHEMA)
+    own = written(needs.select("block", "seg").join(entries, "seg").select("block", "seg", *COUNTS, "groups"), "block-entries")
+    drop_table(spark, needs_path)
+    drop_table(spark, entries_path)
+    _collect_garbage(spark)
+    sides = [df.sortWithinPartitions("block").mapInArrow(_packed(schema.names), "block int, packed binary") for df, schema in ((rows.select("block", "doc_id", "marked"), TEXTS), (own, ENTRIES))]
+
+    def assemble(texts: pa.Table, some: pa.Table) -> pa.Table:
+        out = _assemble(_unpacked(texts, TEXTS), _unpacked(some, ENTRIES))
+        pa.default_memory_pool().release_unused()  # the worker stays, and would keep what it needed most
+        return out
+
+    return sides[0].groupBy("block").cogroup(sides[1].groupBy("block")).applyInArrow(assemble, SCHEMA)

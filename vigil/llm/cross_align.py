@@ -2,7 +2,8 @@
 
 The token streams of a text are compared relationally: tokens are exploded with their places, a window sums their byte
 lengths to ends, both streams meet on (text, end), a running count of the ends they share numbers the groups, and a
-shared end links the two tokens that end there. All of it is DataFrame functions; Python only calls the tokenizers.
+shared end links the two tokens that end there. That is DataFrame functions; Python calls the tokenizers before it and
+lays the groups of a text's segments end to end after it.
 
 It runs on distinct segments rather than on every occurrence. A single space between two visible characters is a border
 for both tokenizers, whatever stands around (A splits there before it merges; no piece of B holds a space behind another

@@ -259,6 +259,34 @@ def test_similar_names_in_tiles(spark, monkeypatch):
     assert name_join.similar_names(nothing, spark.createDataFrame(right, "key string, name string"), 0.7).count() == 0
 
 
+def test_alerts_are_not_shuffled(spark, monkeypatch):
+    """Names of many rows in small tiles, documents that hide names, repeated ids; without those the alerts need no window."""
+    from vigil.operators import name_join
+
+    rng = random.Random(5)
+    names = [(a, b) for a in ("ANA", "ANNA", "AL") for b in ("LOPEZ", "LOPES", "RUIZ")]
+    p = [(f"p{k}", *(names[0] if k % 2 else rng.choice(names)), rng.choice(["1", "2", None]), 0) for k in range(60)]
+    e = [(f"e{k}", "EU", *(names[1] if k % 3 else rng.choice(names)), rng.choice(["1", "3", None]), []) for k in range(40)]
+    for name, value in (("TILE", 4), ("LEAST_TILE", 4), ("BEARERS", 3), ("PAIRS_AT_ONCE", 5)):
+        monkeypatch.setattr(name_join, name, value)
+
+    def check(p, e):
+        want = {}
+        for i, a, b, d, _ in p:
+            for j, _, x, y, c, _ in e:
+                score = round(name_similarity(f"{a} {b}", f"{x} {y}") + 1e-12, 4) if x[0] in (a[0], b[0]) else 0
+                kind = (0, 1.0) if d == c and d else (1, -score) if score >= 0.8 else None
+                if kind:
+                    want[i, j] = min(want.get((i, j), kind), kind)
+        got = screen(parties(spark, p), entries(spark, e), Settings(low=0.8), TS)
+        rows = got.collect()
+        assert len(rows) == len(want) and {(r.id_tercero, r.id_registro): (0, 1.0) if r.tipo_match == "EXACTO_DOCUMENTO" else (1, -r.score_similitud) for r in rows} == want
+        return got._jdf.queryExecution().optimizedPlan().toString()
+
+    assert "Window" not in check(p, e)
+    assert "Window" in check(p + [("p1", "ANA", "RUIZ", "3", 0), ("p2", "AL", "RUIZ", None, 0)], e + [("e1", "EU", "ANA", "LOPEZ", "2", [])])
+
+
 NARROW_STATE = "id_registro string, fuente string, nombres string, hash_contenido string, activo boolean, estado_carga string"
 
 

@@ -425,6 +425,23 @@ def test_change_feed_keeps_its_state(spark, tmp_path):
     assert turn() == against_last(batches)
 
 
+def test_csv_report_computes_its_rows_once(spark, tmp_path):
+    from vigil.plans.run import save_csv
+
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(x):
+        seen.add(1)
+        return x
+
+    rows = spark.range(0, 20, 1, 1).select(F.udf(count, "long")("id").alias("id"), F.array(F.lit("a")).alias("names"))
+    assert save_csv(rows, str(tmp_path / "r")) and seen.value == 20
+    assert {tuple(r) for r in spark.read.option("header", True).csv(str(tmp_path / "r")).collect()} == {(str(k), '["a"]') for k in range(20)}
+    # An empty one leaves what was there, and nothing beside it.
+    assert not save_csv(rows.where("id < 0"), str(tmp_path / "r")) and spark.read.option("header", True).csv(str(tmp_path / "r")).count() == 20
+    assert [x.name for x in tmp_path.iterdir()] == ["r"]
+
+
 def test_pages_data_source_and_table_function(spark, tmp_path):
     from vigil.sources import pages as source
 

@@ -287,6 +287,24 @@ def test_alerts_are_not_shuffled(spark, monkeypatch):
     assert "Window" in check(p + [("p1", "ANA", "RUIZ", "3", 0), ("p2", "AL", "RUIZ", None, 0)], e + [("e1", "EU", "ANA", "LOPEZ", "2", [])])
 
 
+def test_equal_pairs_of_names_are_scored_once(spark, tmp_path):
+    """Copies of a row, nulls and names that are equal only when normalised; scoring stands behind a grouping of the raw pairs."""
+    from vigil import queries
+
+    names = [("old ring", "RING OLD"), ("Old ring", "RING OLD"), ("hot bolt", "LARGE"), (None, "LARGE"), ("hot bolt", None), ("", "SMALL")]
+    rows = [(100 * k + n, *pair) for n, pair in enumerate(names) for k in range(n + 1)]
+    spark.createDataFrame(rows, "p_partkey long, p_name string, p_type string").write.parquet(str(tmp_path / "part.parquet"))
+    got = queries.name_similarities(spark, str(tmp_path))
+    scores = {r.p_partkey: (r.udf, r.expr) for r in got.collect()}
+    want = {k: round(name_similarity((a or "").upper() or None, b), 9) for k, a, b in rows}
+    assert len(scores) == len(rows) and {k: x for k, (x, _) in scores.items()} == want and all(abs(x - y) < 1e-9 for x, y in scores.values())
+    assert "ArrowEvalPython" not in got._jdf.queryExecution().optimizedPlan().toString()
+    bound = queries.similarity_bound(spark, str(tmp_path))
+    assert tuple(bound.first()) == (0, len(rows))
+    plan = bound._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate [p_name" in plan[plan.index("ArrowEvalPython") :]
+
+
 NARROW_STATE = "id_registro string, fuente string, nombres string, hash_contenido string, activo boolean, estado_carga string"
 
 

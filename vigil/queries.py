@@ -20,6 +20,7 @@ from .functions.text import match_name, normalize_text
 from .operators import monitoring, quality
 from .operators.bucket_state import BucketState
 from .operators.cdc import COUNTS, change_counts, keep_last, merge, upsert
+from .operators.joins import checked
 from .operators.screening import Settings, alert_counts, evaluate, index_sizes, score_summary, screen
 from .operators.synthetic import portfolio
 from .packaging import ship
@@ -30,7 +31,7 @@ from .sources.files import debarred
 from .sources.hits import read_hits
 from .sources.pages import register as register_pages
 from .sources.xml_lists import read_eu, read_sdn, read_un
-from .staging import fresh_path
+from .staging import fresh_path, staged
 from .streaming.changes import write_changes
 from .streaming.incremental import event_windows
 
@@ -237,18 +238,28 @@ def record_hashes(spark, sf_dir):
 
 @query(f"WITH src AS (SELECT p_partkey, {_match('p_name')} AS a, {_match('p_type')} AS b FROM part), {_similarity('src')} SELECT p_partkey, round(score, 9) AS udf, round(score, 9) AS expr FROM src JOIN name_scores USING (a, b)")
 def name_similarities(spark, sf_dir):
+    """Every distinct pair of raw names is normalised and scored once, in tasks of few pairs, and joined back to the rows that have it."""
     ship(spark)
-    x = table(spark, sf_dir, "part").select("p_partkey", match_name(F.col("p_name")).alias("a"), match_name(F.col("p_type")).alias("b"))
-    return x.select("p_partkey", F.round(name_similarity_udf()("a", "b"), 9).alias("udf"), F.round(name_similarity_expr(F.col("a"), F.col("b")), 9).alias("expr"))
+    x = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type")
+    pairs = _spread(x.select("p_name", "p_type").distinct()).select(F.col("p_name").alias("name"), F.col("p_type").alias("type"), match_name(F.col("p_name")).alias("a"), match_name(F.col("p_type")).alias("b"))
+    scored = staged(pairs.select("name", "type", F.round(name_similarity_udf()("a", "b"), 9).alias("udf"), F.round(name_similarity_expr(F.col("a"), F.col("b")), 9).alias("expr")), "name-pairs")
+    return x.join(checked(scored), F.col("p_name").eqNullSafe(F.col("name")) & F.col("p_type").eqNullSafe(F.col("type"))).select("p_partkey", "udf", "expr")
+
+
+def _spread(df: DataFrame) -> DataFrame:
+    """Rows of few bytes and much work, dealt over as many tasks as there are cores; a number of its own keeps small ones apart."""
+    spark = df.sparkSession
+    return df.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism))
 
 
 @query("SELECT 0::BIGINT AS lost, count(*) AS pairs FROM part")
 def similarity_bound(spark, sf_dir):
-    """Pairs that the bound would drop although they reach the threshold: none."""
+    """Pairs that the bound would drop although they reach the threshold: none. A pair counts for every row that has it, and is tested once."""
     ship(spark)
-    x = table(spark, sf_dir, "part").select(match_name(F.col("p_name")).alias("a"), match_name(F.col("p_type")).alias("b"))
-    x = x.select(name_similarity_udf()("a", "b").alias("s"), could_reach(bound_columns(F.col("a")), bound_columns(F.col("b")), 0.6).alias("may"))
-    return x.agg(F.count_if((F.col("s") >= 0.6) & ~F.col("may")).alias("lost"), F.count(F.lit(1)).alias("pairs"))
+    n = _spread(table(spark, sf_dir, "part").groupBy("p_name", "p_type").agg(F.count(F.lit(1)).alias("n")))
+    x = n.select("n", match_name(F.col("p_name")).alias("a"), match_name(F.col("p_type")).alias("b"))
+    x = x.select("n", name_similarity_udf()("a", "b").alias("s"), could_reach(bound_columns(F.col("a")), bound_columns(F.col("b")), 0.6).alias("may"))
+    return x.agg(F.coalesce(F.sum(F.when((F.col("s") >= 0.6) & ~F.col("may"), F.col("n"))), F.lit(0).cast("long")).alias("lost"), F.coalesce(F.sum("n"), F.lit(0).cast("long")).alias("pairs"))
 
 
 # Screening

@@ -5,6 +5,7 @@ import random
 import urllib.error
 import zipfile
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -425,6 +426,27 @@ def test_change_feed_keeps_its_state(spark, tmp_path):
     assert turn() == against_last(batches)
 
 
+def test_change_feed_calls_go_by_buckets(spark, tmp_path):
+    """Ids that are new, known and both, by the loop; the function is called for a bucket with the records of many ids."""
+    from vigil.streaming import changes
+
+    class State:
+        value = None
+        exists = property(lambda self: self.value is not None)
+        get = property(lambda self: self.value)
+
+        def update(self, value):
+            self.value = value
+
+    rng, state, got = random.Random(6), State(), []
+    batches = [[(rng.choice([f"i{rng.randint(0, 40)}", None]), rng.randint(0, 9) + 10 * k, rng.choice(["x", "y", None])) for _ in range(90)] for k in range(4)]
+    for rows in batches:
+        frames = [pd.DataFrame(rows[:50], columns=["id", "seq", "hash"]), pd.DataFrame(rows[50:], columns=["id", "seq", "hash"])]
+        for out in changes._against_last((0,), iter(frames), state):
+            got += [tuple(None if pd.isna(v) else v for v in r) for r in out.itertuples(index=False)]
+    assert sorted(got, key=str) == against_last(batches)
+
+
 def test_csv_report_computes_its_rows_once(spark, tmp_path):
     from vigil.plans.run import save_csv
 

@@ -779,8 +779,12 @@ def change_stream(spark, sf_dir):
     rows, last = e.agg(F.count(F.lit(1)), F.coalesce(F.max("seq"), F.lit(0))).first()
     files = max(4, -(-rows // FEED_ROWS))
     landing, out, checkpoint = (_landing(spark, f"feed-{name}") for name in ("in", "out", "checkpoint"))
+    # One pass deals the rows to their files; these land one after the other, since the stream takes them by their age.
+    dealt = _landing(spark, "feed-dealt")
+    e.withColumn("file", F.expr(f"int(seq * {files} div {last + 1})")).repartition(files, "file").write.partitionBy("file").parquet(dealt)
+    rows = spark.read.schema("id_registro string, seq long, hash_contenido string, file int").parquet(dealt)
     for k in range(files):
-        e.where((F.col("seq") * files >= k * (last + 1)) & (F.col("seq") * files < (k + 1) * (last + 1))).coalesce(1).write.parquet(f"{landing}/{k:06d}")
+        rows.where(F.col("file") == k).drop("file").coalesce(1).write.parquet(f"{landing}/{k:06d}")
     write_changes(spark, landing, "id_registro string, seq long, hash_contenido string", out, checkpoint).awaitTermination()
     return spark.read.parquet(out)
 

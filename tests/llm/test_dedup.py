@@ -391,3 +391,44 @@ def test_gap_matches_against_quadratic():
                 left, row[j] = row[j], left + 1 if u == v else max(row[j], row[j - 1])
         got = gap_matches(np.array(x, np.uint64), np.array(y, np.uint64))
         assert got == row[-1] or got <= row[-1] < 0.5 * max(len(x), len(y))
+
+
+def test_passages_of_frequent_parts_edited(spark):
+    """Passages of which every 6 words also occur in twelve or in ninety other texts, before and between those that hold them;
+    5% of the second one's words are replaced. Both texts of each are linked."""
+    rng = random.Random(14)
+    texts, whole = [], []
+    for i in range(16):
+        passage, others = fresh_words(rng, 60), 90 if i % 4 == 0 else 12
+        pair = [" ".join([*fresh_words(rng, 30), *p, *fresh_words(rng, 40)]) for p in (passage, replaced(rng, passage, 3))]
+        grams = [i for i in range(55) for _ in range(others)]
+        rng.shuffle(grams)
+        n = 11 * others
+        texts += [*pair, *(" ".join(w for i in grams[j::n] for w in [*fresh_words(rng, 8), *passage[i : i + 6]]) for j in range(n))]
+        whole.append(frozenset(pair))
+    rng.shuffle(texts)
+    got = repeated_passages(spark.createDataFrame(rows_of(texts), SCHEMA).repartition(8)).collect()
+    assert {frozenset((texts[r.doc_id], texts[r.other_doc_id])) for r in got} == set(whole)
+
+
+def test_crowded_seeds_against_all_pairs():
+    """What tile() links within and between blocks holds together what a comparison of all pairs of contexts does."""
+    import numpy as np
+
+    from vigil.llm.substring_dedup import Likeness, tile
+
+    like, rng, n = Likeness(5, 50, 0.8), np.random.default_rng(3), 150
+    for share, nx in ((0.05, n), (0.12, n), (0.18, n), (0.12, 70)):
+        base = rng.integers(1, 1 << 16, (10, 90))[rng.integers(0, 10, n)]
+        rows = np.where(rng.random((n, 90)) < share, rng.integers(1, 1 << 16, (n, 90)), base).astype(np.uint16)
+        key, roots = np.sort(rng.permutation(2 * n)[:n] // 2), []
+        a, b = np.nonzero(np.triu(np.ones((n, n), bool), 1) & (key[:, None] != key[None, :]))
+        a, b = (a, b) if nx == n else (a[(a < nx) & (b >= nx)], b[(a < nx) & (b >= nx)])
+        passes = np.array([any(np.count_nonzero(rows[p, s : s + 45] == rows[q, s : s + 45]) >= 35 for s in range(46)) for p, q in zip(a, b)])
+        for links in (zip(a[passes], b[passes]), zip(*tile(key, rows, nx, like))):
+            root = list(range(n))
+            for p, q in links:
+                old, new = root[p], root[q]
+                root = [new if r == old else r for r in root]
+            roots.append(root)
+        assert len(set(zip(*roots))) == len(set(roots[0])) == len(set(roots[1]))

@@ -432,3 +432,52 @@ def test_crowded_seeds_against_all_pairs():
                 root = [new if r == old else r for r in root]
             roots.append(root)
         assert len(set(zip(*roots))) == len(set(roots[0])) == len(set(roots[1]))
+
+
+def test_crowded_seeds_compare_few_rows(monkeypatch):
+    """Rows with a short line in common are compared only where they share more: not each with each. What is linked is the same
+    as with all compared, between blocks too."""
+    import numpy as np
+
+    from vigil.llm import substring_dedup as module
+
+    compared = []
+
+    class Counting(module.Likeness):
+        def unequal(self, *args, **kwargs):
+            compared.append((out := super().unequal(*args, **kwargs)).size)
+            return out
+
+        def apart(self, *args):
+            compared.append((out := super().apart(*args)).size)
+            return out
+
+    rng, n = np.random.default_rng(5), 4000
+    rows = rng.integers(1, 1 << 16, (n, 90)).astype(np.uint16)
+    rows[:, 40:50] = rows[0, 40:50]
+    copies = rng.permutation(n)[:200].reshape(100, 2)
+    for a, b in copies:
+        rows[b] = np.where(rng.random(90) < 0.12, rows[b], rows[a])
+    keys = np.arange(n)
+    i, j = module.tile(keys, rows, n, Counting(5, 50, 0.8))
+    assert sum(compared) < n * n / 20
+    i, j = set(zip(i.tolist(), j.tolist())), {(min(x), max(x)) for x in copies.tolist()}
+    assert i <= j and len(i) > 80
+    # Half of the rows hold an edited boilerplate, so that only common stretches join them.
+    rows[::2] = np.where(rng.random((n // 2, 90)) < 0.14, rows[::2], rows[0])
+    for nx in (n, 1500):
+        labels = []
+        for indexed in (n, 50):
+            monkeypatch.setattr(module, "INDEXED", indexed)
+            a, b = module.tile(keys, rows, nx, module.Likeness(5, 50, 0.8))
+            labels.append(module.forest(np.arange(n), a, b)[1].tolist())
+        assert len(set(zip(*labels))) == len(set(labels[0])) == len(set(labels[1])) < n - 1000
+
+
+def test_a_match_is_close_if_any_link_says_so():
+    import pyarrow as pa
+
+    from vigil.llm.substring_dedup import _chain
+
+    links = pa.RecordBatch.from_pydict({"a": [2, 2], "a_pos": [7, 7], "b": [1, 1], "b_pos": [3, 3], "likely": [False, True]})
+    assert sum(x.num_rows for x in _chain(5, 0.05)(iter([links]))) == 1

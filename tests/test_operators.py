@@ -381,3 +381,23 @@ def test_lineage_is_joined_once_a_run(spark, tmp_path, monkeypatch):
     # A run whose view was left half written is joined again.
     (tmp_path / "h" / "lineage" / "run_id=2024-06-02-00-00-00" / "_SUCCESS").unlink()
     assert history.runs("lineage") == ["2024-06-01-00-00-00"] and history.refresh(list_, people) == ["2024-06-02-00-00-00"] and history.read().count() == 2
+
+
+def test_tiles_give_numbers_and_rows_meet_them_later(spark, monkeypatch):
+    """Names of many rows, in tiles and columns of a few names, repeated and missing keys; no text of a pair leaves a tile, and what isn't used isn't read."""
+    from vigil.functions import similarity
+    from vigil.operators import name_join
+
+    for module, name, value in ((name_join, "TILE", 4), (name_join, "LEAST_TILE", 4), (name_join, "BEARERS", 3), (name_join, "PAIRS_AT_ONCE", 5), (similarity, "WIDE", 3), (similarity, "IN_ORDER", 2), (similarity, "KEPT", 6)):
+        monkeypatch.setattr(module, name, value)
+    rng = random.Random(7)
+    names = ["ANA LOPEZ", "ANNA LOPEZ", "LOPEZ ANA", "AL", "ALA RUIZ", "A" * 40 + " LOPEZ", "ANA " + "LOPEZ " * 12 + "X", "", None]
+    left = [(rng.choice([["A"], ["A", "L"], ["B"], None]), rng.choice(names), f"p{k}", "t") for k in range(70)]
+    right = [([rng.choice("AL")], rng.choice(names), f"e{k}") for k in range(50)]
+    want = {(p, e): name_similarity(a, b) for ks, a, p, _ in left for (key,), b, e in right if ks and key in ks and a and b and name_similarity(a, b) >= 0.7}
+    got = name_join.similar_rows(spark.createDataFrame(left, "keys array<string>, name string, p string, unused string"), spark.createDataFrame(right, "keys array<string>, name string, e string"), 0.7)
+    rows = got.collect()
+    assert len(rows) == len(want) and {(r.p, r.e): pytest.approx(r.score, abs=1e-12) for r in rows} == want
+    plan = got.select("score").groupBy().sum()._jdf.queryExecution().optimizedPlan().toString()
+    lines = [line for line in plan.splitlines() if "Relation" not in line]
+    assert not any("unused" in line for line in lines) and any("FlatMapGroupsInArrow" in line and "l_unit" in line and "r_unit" in line for line in lines)

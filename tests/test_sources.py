@@ -483,3 +483,18 @@ def test_pages_data_source_and_table_function(spark, tmp_path):
     assert got == {(k, n, f"{w} {k}", c) for k in range(7) for n, w, c in ((1, "Firm", "Peru"), (2, "Other", ""))}
     (tmp_path / "none").mkdir()
     assert spark.read.format("vigil_pages").load(str(tmp_path / "none")).count() == 0
+
+
+def test_csv_report_of_alerts_is_compressed(spark, tmp_path):
+    """Texts with commas, line ends and nulls come back as they were, from a fraction of the disk."""
+    from vigil.plans.run import save_csv
+
+    rows = spark.range(0, 5000, 1, 1).selectExpr("id", "CASE WHEN id % 3 > 0 THEN concat('a, b', char(10), id % 7) END AS name")
+    sizes = []
+    for how in ("none", "gzip"):
+        path = tmp_path / how
+        assert save_csv(rows, str(path), how)
+        sizes.append(sum(f.stat().st_size for f in path.glob("part-*")))
+        back = spark.read.option("header", True).option("escape", '"').option("multiLine", True).schema(rows.schema).csv(str(path))
+        assert {tuple(r) for r in back.collect()} == {tuple(r) for r in rows.collect()}
+    assert sizes[1] * 3 < sizes[0]
